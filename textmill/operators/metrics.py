@@ -24,15 +24,13 @@ GROUP_SIZE = 8
 # ---- n-gram scores ---------------------------------------------------------
 def ngram_counts(tokens: Column, n: int = BLEU_ORDER) -> Column:
     """``array<struct<n, gram, count>>`` for 1..n, counted inside the row."""
-    return F.concat(
-        *(
-            F.transform(
-                term_counts(ngrams(tokens, i)),
-                lambda run, i=i: F.struct(F.lit(i).alias("n"), run["term"].alias("gram"), run["tf"].alias("count")),
-            )
-            for i in range(1, n + 1)
+    def order(i: int) -> Column:
+        return F.transform(
+            term_counts(ngrams(tokens, i)),
+            lambda run: F.struct(F.lit(i).alias("n"), run["term"].alias("gram"), run["tf"].alias("count")),
         )
-    )
+
+    return F.concat(*map(order, range(1, n + 1)))
 
 
 def _precisions(reference: Column, output: Column, n: int) -> list[Column]:

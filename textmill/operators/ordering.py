@@ -30,19 +30,20 @@ def prefix_sum(df: DataFrame, key: str, value: str, out: str = "start", bucket:
 
 
 def _prefix_sum(df: DataFrame, key: str, value: str, out: str, bucket: int, levels: int) -> DataFrame:
-    ranged = df.withColumn("_range", F.floor(F.col(key) / F.lit(bucket)).cast("long"))
-    inside = Window.partitionBy("_range").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    shift, part = f"_shift{levels}", f"_range{levels}"
+    ranged = df.withColumn(part, F.floor(F.col(key) / F.lit(bucket)).cast("long"))
+    inside = Window.partitionBy(part).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn(out, F.coalesce(F.sum(value).over(inside), F.lit(0)).cast("long"))
     if levels <= 1:
         # One range is left (negative keys add a second one): finish by offsets of at most two rows.
-        totals = ranged.groupBy("_range").agg(F.sum(value).alias("_sum"))
-        top = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = totals.select("_range", F.coalesce(F.sum("_sum").over(top), F.lit(0)).alias("_offset"))
+        totals = ranged.groupBy(part).agg(F.sum(value).alias("_sum"))
+        top = Window.partitionBy(F.lit(0)).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = totals.select(part, F.coalesce(F.sum("_sum").over(top), F.lit(0)).alias(shift))
     else:
-        totals = ranged.groupBy("_range").agg(F.sum(value).cast("long").alias("_sum"))
-        offsets = _prefix_sum(totals, "_range", "_sum", "_offset", bucket, levels - 1).select("_range", "_offset")
-    joined = local.join(offsets, "_range")
-    return joined.withColumn(out, (F.col(out) + F.col("_offset")).cast("long")).drop("_range", "_offset")
+        totals = ranged.groupBy(part).agg(F.sum(value).cast("long").alias("_sum"))
+        offsets = _prefix_sum(totals, part, "_sum", shift, bucket, levels - 1).select(part, shift)
+    joined = local.join(offsets, part)
+    return joined.withColumn(out, (F.col(out) + F.col(shift)).cast("long")).drop(part, shift)
 
 
 def row_numbers(df: DataFrame, key: str, out: str = "row_no", bucket: int = BUCKET) -> DataFrame:

@@ -36,11 +36,8 @@ def _assemble(pieces: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     collected = pieces.groupBy(*keys, "block_id").agg(
         F.sort_array(F.collect_list(F.struct("_at", *cols))).alias("_parts")
     )
-    return collected.select(
-        *keys,
-        "block_id",
-        *(F.flatten(F.transform("_parts", lambda p, c=c: p[c])).alias(c) for c in cols),
-    )
+    joined = (F.flatten(F.col(f"_parts.{c}")).alias(c) for c in cols)
+    return collected.select(*keys, "block_id", *joined)
 
 
 def pack(

@@ -72,12 +72,15 @@ def prepare(df: DataFrame, spec: SourceSpec, keep_columns: tuple[str, ...] = ())
     prompt, response = strip_cr(prompt), strip_cr(text_or_empty(spec.response))
     if spec.collapse:
         prompt, response = (collapse_punct(c, variant=spec.collapse) for c in (prompt, response))
-    raw = kept.select(
-        *keep_columns, prompt.alias("prompt"), response.alias("response"), text_or_empty(spec.response).alias("_raw")
+    # The length tests run on the built struct, so the long expressions are
+    # evaluated once; a plain filter would be pushed down and repeat them.
+    pair = F.struct(prompt.alias("prompt"), response.alias("response"), text_or_empty(spec.response).alias("raw"))
+    tested = "raw" if spec.test_raw_response else "response"
+    passing = F.filter(
+        F.array(pair),
+        lambda p: (F.length(p[tested]) >= spec.least_response) & (F.length(p["prompt"]) >= spec.least_prompt),
     )
-    tested = F.col("_raw") if spec.test_raw_response else F.col("response")
-    long_enough = (F.length(tested) >= spec.least_response) & (F.length("prompt") >= spec.least_prompt)
-    return raw.filter(long_enough).drop("_raw")
+    return kept.select(*keep_columns, F.inline(passing)).drop("raw")
 
 
 def prepare_samples(df: DataFrame, spec: SourceSpec, keep_columns: tuple[str, ...] = ()) -> DataFrame:

@@ -35,3 +35,18 @@ def load_all() -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a small table out to all cores.
+
+    Only a table with fewer input splits than cores is touched, so its size is
+    bounded by cores x split size; a large table keeps its scan partitions.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Documents for text-heavy work: needed columns only, spread over the cores."""
+    return spread(table(spark, sf_dir, "documents").select(*columns))

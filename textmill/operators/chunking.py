@@ -26,7 +26,9 @@ SHORTEST = 6
 HEADER_TOP = (17, 20)
 # ----------------------------------------------------------------------------
 
-_NO_SPANS = F.array().cast("array<struct<b:int,e:int>>")
+
+def _no_spans() -> Column:
+    return F.array().cast("array<struct<b:int,e:int>>")
 
 
 def _span(b: Column, e: Column) -> Column:
@@ -79,7 +81,7 @@ def sliding_chunks(c: ColumnOrName, kernel: int = 512, stop: str = STOP) -> Colu
             )
 
         zero = F.struct(
-            F.lit(0).alias("begin"), F.lit(0).alias("slow"), F.lit(0).alias("pos"), _NO_SPANS.alias("spans")
+            F.lit(0).alias("begin"), F.lit(0).alias("slow"), F.lit(0).alias("pos"), _no_spans().alias("spans")
         )
         spans = F.aggregate(lengths, zero, step, lambda acc: acc["spans"])
         return _cut(F.concat(s["text"], F.lit(stop)), spans)
@@ -108,7 +110,7 @@ def _greedy(lengths: Column, closes: Callable[[Column, Column], Column], begin_a
             .alias("spans"),
         )
 
-    zero = F.struct(F.lit(0).alias("begin"), F.lit(0).alias("pos"), _NO_SPANS.alias("spans"))
+    zero = F.struct(F.lit(0).alias("begin"), F.lit(0).alias("pos"), _no_spans().alias("spans"))
 
     def finish(acc: Column) -> Column:
         if not tail:

@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textmill.functions.text import ColumnOrName, chars, col, let, strip, text_or_empty
 from textmill.functions.tokens import multiset_overlap, ngrams, set_overlap, term_counts
@@ -115,7 +116,7 @@ def rouge_n(reference: Column, output: Column, n: int) -> Column:
     )
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def _common_length(a: pd.Series, b: pd.Series) -> pd.Series:
     """Length of the longest common subsequence, one bit row per token.
 

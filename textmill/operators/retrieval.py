@@ -59,14 +59,20 @@ def rerank(hits: DataFrame, score: Column, k: int = RERANKED, query: str = "quer
 
 
 def rrf(hits: DataFrame, question: str = "question_id", doc: str = "chunk_id", k: int = FUSION_K) -> DataFrame:
-    """Reciprocal-rank fusion of several result lists (ranks start at 1 here)."""
-    fused = hits.groupBy(question, doc).agg(F.sum(1.0 / (F.col("rank") - 1 + k)).alias("score"))
+    """Reciprocal-rank fusion of several result lists (ranks start at 1 here).
+
+    ``hits`` is usually a union of lists that are each partitioned by question.
+    The explicit exchange brings them together again: a runtime re-plan may turn
+    such a union into plain concatenation, and then rows of one question would sit
+    in two partitions.  Lists are top-k, so little is moved.
+    """
+    fused = hits.repartition(question, doc).groupBy(question, doc).agg(F.sum(1.0 / (F.col("rank") - 1 + k)).alias("score"))
     return fused.withColumn("score", F.round("score", DIGITS))
 
 
 def multi_query(hits: DataFrame, question: str = "question_id", doc: str = "chunk_id") -> DataFrame:
     """Distinct documents found by any query of a question."""
-    return hits.select(question, doc).distinct()
+    return hits.select(question, doc).repartition(question, doc).distinct()
 
 
 def expand_to_parent(hits: DataFrame, docs: DataFrame, query: str = "query_id", parent: str = "doc_id") -> DataFrame:

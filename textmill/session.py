@@ -18,6 +18,9 @@ def build_session(app: str = "textmill", cpus: str = "*", **conf: str) -> SparkS
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        # A union of equally partitioned inputs must not be taken as partitioned: the
+        # adaptive re-plan may concatenate its inputs instead of zipping them.
+        "spark.sql.unionOutputPartitioning": "false",
         "spark.driver.memory": "16g",
     } | {k.replace("__", "."): v for k, v in conf.items()}
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)

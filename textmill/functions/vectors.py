@@ -60,11 +60,6 @@ def quantize_groups(a: ColumnOrName, group: int = 8) -> Column:
 
     Returns ``array<struct<scale double, q array<int>>>``.
     """
-    values = _doubles(a)
-    starts = F.filter(
-        F.sequence(F.lit(1), F.greatest(F.size(values), F.lit(1)), F.lit(group)),
-        lambda i: i <= F.size(values),
-    )
 
     def one(part: Column) -> Column:
         scale = F.array_max(F.transform(part, F.abs)) / 127.0
@@ -76,7 +71,12 @@ def quantize_groups(a: ColumnOrName, group: int = 8) -> Column:
             ),
         )
 
-    return F.transform(starts, lambda i: let(F.slice(values, i, group), one))
+    def groups(values: Column) -> Column:
+        last = F.ceil(F.size(values) / F.lit(group)).cast("int") - 1
+        index = F.when(last < 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), last))
+        return F.transform(index, lambda g: let(F.slice(values, g * group + 1, group), one))
+
+    return let(_doubles(a), groups)
 
 
 def dequantize_groups(c: ColumnOrName) -> Column:

@@ -148,11 +148,13 @@ def text_blocks(c: ColumnOrName, size: int = 2048) -> Column:
     """Whole lines until a block has ``size`` characters; a shorter rest is dropped."""
 
     def blocks(text: Column) -> Column:
-        lines = F.split(text, "\n")
-        last = F.size(lines)
         # Every line but the last keeps its line break.
-        lengths = F.transform(lines, lambda s, i: F.length(s) + (i < last - 1).cast("int"))
-        return _cut(text, _greedy(lengths, lambda held, n: held + n >= size, "end", tail=False))
+        lengths = let(
+            F.split(text, "\n"),
+            lambda lines: F.transform(lines, lambda s, i: F.length(s) + (i < F.size(lines) - 1).cast("int")),
+        )
+        spans = _greedy(lengths, lambda held, n: held + n >= size, "end", tail=False)
+        return _cut(text, spans)
 
     return let(text_or_empty(c), blocks)
 

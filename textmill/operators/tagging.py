@@ -19,43 +19,57 @@ def bio_spans(chars: ColumnOrName, labels: ColumnOrName, legacy_prefix: bool = F
     ``legacy_prefix`` a span that is closed by the next span keeps its full label.
     """
 
-    def spans(s: Column) -> Column:
-        chars_, labels_ = s["c"], s["l"]
-        n = F.size(labels_)
+    # Every helper list is bound once: an unbound list inside a lambda would be
+    # rebuilt for each element.
+    def with_index(s: Column) -> Column:
+        n = F.size(s["l"])
         index = F.when(n == 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), n - 1))
+        return let(index, lambda i: with_governing(s, i))
+
+    def with_governing(s: Column, index: Column) -> Column:
+        labels_ = s["l"]
+        governing = F.filter(index, lambda i: ~F.startswith(F.get(labels_, i), F.lit("I-")))
+        return let(governing, lambda g: let(borders(labels_, index, g), lambda edge: spans(s, edge)))
+
+    def borders(labels_: Column, index: Column, governing: Column) -> Column:
+        """Where something ends or begins, and the end of the sentence."""
+
+        def begins(i: Column, j: Column) -> Column:
+            here = F.get(labels_, i)
+            return (
+                F.startswith(here, F.lit("B-"))
+                | (j == 0)
+                | (here == OUTSIDE)
+                | (here != F.get(labels_, F.get(governing, j - 1)))
+            )
 
-        def label(i: Column) -> Column:
-            return F.get(labels_, i)
-
-        inside = F.filter(index, lambda i: F.startswith(label(i), F.lit("I-")))
-        governing = F.filter(index, lambda i: ~F.startswith(label(i), F.lit("I-")))
-        # Positions where something ends or begins, among labels that are not I-.
-        fresh = F.filter(
-            governing,
-            lambda i, j: F.startswith(label(i), F.lit("B-"))
-            | (j == 0)
-            | (label(i) == OUTSIDE)
-            | (label(i) != label(F.get(governing, j - 1))),
+        orphan = F.filter(
+            index,
+            lambda i: F.startswith(F.get(labels_, i), F.lit("I-")) & ((i == 0) | (F.get(labels_, i - 1) == OUTSIDE)),
         )
-        orphan = F.filter(inside, lambda i: (i == 0) | (label(i - 1) == OUTSIDE))
-        borders = F.sort_array(F.concat(fresh, orphan, F.array(n)))
+        return F.sort_array(F.concat(F.filter(governing, begins), orphan, F.array(F.size(labels_))))
+
+    def spans(s: Column, edges: Column) -> Column:
+        n = F.size(s["l"])
+
+        def label(i: Column) -> Column:
+            return F.get(s["l"], i)
 
         def span(b: Column, j: Column) -> Column:
-            end = F.get(borders, j + 1)
-            followed = (end < n) & (label(end) != OUTSIDE)
+            end = F.get(edges, j + 1)
             kind = F.substring(label(b), 3, F.length(label(b)))
             if legacy_prefix:
-                kind = F.when(followed, label(b)).otherwise(kind)
+                kind = F.when((end < n) & (label(end) != OUTSIDE), label(b)).otherwise(kind)
             return F.struct(
                 kind.alias("type"),
-                F.array_join(F.slice(chars_, b + 1, end - b), "").alias("text"),
+                F.array_join(F.slice(s["c"], b + 1, end - b), "").alias("text"),
                 b.alias("begin"),
             )
 
-        cut = F.transform(borders, lambda b, j: F.when((b < n) & (label(b) != OUTSIDE), span(b, j)))
+        cut = F.transform(edges, lambda b, j: F.when((b < n) & (label(b) != OUTSIDE), span(b, j)))
         return F.filter(cut, lambda x: x.isNotNull())
 
-    return let(F.struct(col(chars).alias("c"), col(labels).alias("l")), spans)
+    return let(F.struct(col(chars).alias("c"), col(labels).alias("l")), with_index)
 
 
 def ner_target(spans: ColumnOrName) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions.text import ColumnOrName, clean_chunk, col, let, strip, text_or_empty
 from textmill.operators.dedup import dedup_exact
+from textmill.operators.exploding import explode_items, explode_structs
 from textmill.operators.filters import page_text
 
 # --- fixed values -----------------------------------------------------------
@@ -228,7 +229,7 @@ def block_chunks(words: ColumnOrName, max_seq: int = 1024) -> Column:
 
 def explode_chunks(df: DataFrame, chunks: Column, method: str, *keys: str) -> DataFrame:
     """One row per chunk: keys, method, position and text."""
-    return df.select(*keys, F.posexplode(chunks).alias("pos", "chunk")).withColumn("method", F.lit(method))
+    return explode_items(df, [*keys], chunks, "chunk").withColumn("method", F.lit(method))
 
 
 def document_text(pages: ColumnOrName, min_len: int = SHORTEST) -> Column:
@@ -266,8 +267,8 @@ def build_chunks(
             for i, (name, chunks) in enumerate(runs)
         )
     )
-    methods = prepared.select(key, F.inline(packed))
-    rows = methods.select(key, "method_no", "method", F.posexplode("chunks").alias("pos", "chunk"))
+    methods = explode_structs(prepared, [key], packed)
+    rows = explode_items(methods, [key, "method_no", "method"], F.col("chunks"), "chunk")
     return dedup_exact(rows, "chunk", ["method_no", key, "pos"])
 
 

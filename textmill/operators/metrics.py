@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from textmill.functions.text import ColumnOrName, chars, col, let, strip, text_or_empty
 from textmill.functions.tokens import multiset_overlap, ngrams, set_overlap, term_counts
 from textmill.functions.vectors import cosine
+from textmill.operators.exploding import explode_items
 
 # --- fixed values -----------------------------------------------------------
 NO_ANSWER = "无答案"
@@ -182,7 +183,7 @@ def f1_by_type(items: DataFrame, gold: str = "gold", pred: str = "pred") -> Data
     in one row, so the outer join of their types is a union of the keys.
     """
     kinds = F.array_union(F.map_keys(gold), F.map_keys(pred))
-    per_type = items.select(gold, pred, F.explode(kinds).alias("type")).select(
+    per_type = explode_items(items, [gold, pred], kinds, "type").select(
         "type", f1_sets(F.try_element_at(gold, F.col("type")), F.try_element_at(pred, F.col("type"))).alias("f1")
     )
     return per_type.groupBy("type").agg(F.avg("f1").alias("f1"), F.count("*").alias("items"))

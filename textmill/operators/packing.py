@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmill.functions.arrays import IGNORED_LABEL
+from textmill.operators.exploding import explode_structs
 from textmill.operators.ordering import BUCKET, prefix_sum, row_numbers
 
 
@@ -28,7 +29,7 @@ def _pieces(placed: DataFrame, ids: str, block: int, keys: list[str], cols: list
             *(F.slice(F.col(c), offset + 1, length).alias(c) for c in cols),
         )
 
-    return placed.select(*keys, F.inline(F.transform(F.sequence(first, last), piece)))
+    return explode_structs(placed, [*keys], F.transform(F.sequence(first, last), piece))
 
 
 def _assemble(pieces: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions.tokens import term_counts, words
 from textmill.functions.vectors import l2_distance, l2_normalise
+from textmill.operators.exploding import explode_structs
 from textmill.session import cut_lineage
 
 # --- fixed values -----------------------------------------------------------
@@ -244,7 +245,7 @@ def lexical_docs(corpus: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def postings(index: DataFrame) -> DataFrame:
     """``chunk_id, term, tf, n_terms``: one row per distinct term of a document."""
-    return index.select("chunk_id", "n_terms", F.inline("terms"))
+    return explode_structs(index, ["chunk_id", "n_terms"], F.col("terms"))
 
 
 def document_frequency(index: DataFrame) -> DataFrame:
@@ -267,7 +268,7 @@ def tfidf_idf(n_docs: Column, df: Column) -> Column:
 
 def _query_terms(queries: DataFrame, query_id: str, text: str) -> DataFrame:
     """``query_id, term, qtf`` counted inside the row."""
-    counted = queries.select(F.col(query_id).cast("long").alias("query_id"), F.inline(term_counts(words(text))))
+    counted = explode_structs(queries, [F.col(query_id).cast("long").alias("query_id")], term_counts(words(text)))
     return counted.withColumnRenamed("tf", "qtf")
 
 
@@ -281,7 +282,7 @@ def _asked_statistics(index: DataFrame, asked: DataFrame, small: bool) -> tuple[
     One pass: every document also emits a marker row that counts it.
     """
     marker = F.struct(F.lit(ANY_DOCUMENT).alias("term"), F.lit(0).alias("tf"))
-    rows = index.select("n_terms", F.inline(F.concat(F.array(marker), F.col("terms"))))
+    rows = explode_structs(index, ["n_terms"], F.concat(F.array(marker), F.col("terms")))
     spark = index.sparkSession
     wanted = asked.select("term").unionByName(spark.createDataFrame([(ANY_DOCUMENT,)], "term string")).distinct()
     counted = (
@@ -351,7 +352,7 @@ def _search(index: DataFrame, weighted: DataFrame, scale: Column, saturate: Call
         )
     else:
         # Many queries: meet on the term, add up per (query, document), rank.
-        stored = scaled.select("chunk_id", "scale", F.inline("terms"))
+        stored = explode_structs(scaled, ["chunk_id", "scale"], F.col("terms"))
         part = F.col("weight") * saturate(F.col("tf"), F.col("scale"))
         found = (
             stored.join(weighted, "term")
@@ -401,13 +402,18 @@ def _with_idf(rows: DataFrame, df: DataFrame, n_docs: int) -> DataFrame:
 
 
 def tfidf_index(index: DataFrame) -> DataFrame:
-    """Forward index with the length of every document's TF-IDF vector."""
+    """Forward index with the length of every document's TF-IDF vector.
+
+    The vocabulary and the result are written once: searches read the stored index.
+    """
     n_docs = index.count()
-    rows = _with_idf(postings(index), document_frequency(index), n_docs)
-    return rows.groupBy("chunk_id", "n_terms").agg(
+    vocabulary = cut_lineage(document_frequency(index), "vocabulary")
+    rows = _with_idf(postings(index), vocabulary, n_docs)
+    weighed = rows.groupBy("chunk_id", "n_terms").agg(
         F.sqrt(F.sum((F.col("tf") * F.col("idf")) ** 2)).alias("norm"),
         F.collect_list(F.struct("term", "tf")).alias("terms"),
     )
+    return cut_lineage(weighed, "tfidf-index")
 
 
 def tfidf_search(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions.prompts import ENTITY_QUESTIONS, ENTITY_SUFFIX, TARGET_HEADER, fill_template
 from textmill.functions.text import ColumnOrName, col, let, pick_template
+from textmill.operators.exploding import explode_items
 
 OUTSIDE = "O"
 
@@ -85,7 +86,7 @@ def label_inventory(sentences: DataFrame, labels: str = "labels") -> DataFrame:
 
     Labels are reduced inside each row first, so the shuffle is tiny.
     """
-    distinct = sentences.select(F.explode(F.array_distinct(labels)).alias("label")).distinct()
+    distinct = explode_items(sentences, [], F.array_distinct(labels), "label").select("label").distinct()
     # The label set is a small closed vocabulary: one ordered list, numbered.
     listed = distinct.agg(F.sort_array(F.collect_set("label")).alias("all"))
     return listed.select(F.posexplode("all").alias("label_id", "label")).withColumn(

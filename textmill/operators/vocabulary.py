@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions.text import ColumnOrName, chars
 from textmill.functions.tokens import pretokenize
+from textmill.operators.exploding import explode_items, explode_structs
 from textmill.session import cut_lineage
 
 # --- fixed values -----------------------------------------------------------
@@ -26,7 +27,7 @@ CUT_EVERY = 4
 
 def word_counts(df: DataFrame, text: ColumnOrName, min_freq: int = 1) -> DataFrame:
     """``word, freq`` of the pre-tokenised pieces, counted before the shuffle."""
-    pieces = df.select(F.explode(pretokenize(text)).alias("word"))
+    pieces = explode_items(df, [], pretokenize(text), "word")
     counted = pieces.groupBy("word").agg(F.count("*").alias("freq"))
     return counted.filter(F.col("freq") >= min_freq) if min_freq > 1 else counted
 
@@ -74,7 +75,7 @@ def _pair_counts(words: DataFrame) -> DataFrame:
         F.when(last < 1, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), last - 1)),
         lambda i: F.struct(F.get("symbols", i).alias("a"), F.get("symbols", i + 1).alias("b")),
     )
-    return words.select("freq", F.inline(pairs)).groupBy("a", "b").agg(F.sum("freq").alias("n"))
+    return explode_structs(words, ["freq"], pairs).groupBy("a", "b").agg(F.sum("freq").alias("n"))
 
 
 def choose_merges(ranked: list[tuple[str, str, int]], known: set[str], min_freq: int, room: int, complete: bool) -> list[tuple[str, str]]:

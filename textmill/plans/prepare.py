@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.functions.text import collapse_punct, compose_optional, compose_prompt, strip_cr, text_or_empty, to_sample
+from textmill.operators.exploding import explode_structs
 from textmill.operators.filters import ordinary_task
 
 
@@ -80,7 +81,7 @@ def prepare(df: DataFrame, spec: SourceSpec, keep_columns: tuple[str, ...] = ())
         F.array(pair),
         lambda p: (F.length(p[tested]) >= spec.least_response) & (F.length(p["prompt"]) >= spec.least_prompt),
     )
-    return kept.select(*keep_columns, F.inline(passing)).drop("raw")
+    return explode_structs(kept, [*keep_columns], passing).drop("raw")
 
 
 def prepare_samples(df: DataFrame, spec: SourceSpec, keep_columns: tuple[str, ...] = ()) -> DataFrame:

@@ -20,6 +20,7 @@ from textmill.operators.chunking import (
     split_overlap,
     text_blocks,
 )
+from textmill.operators.exploding import explode_items
 from textmill.operators.filters import noise_line, page_text
 from textmill.plans.registered import documents, query
 from textmill.plans.registered.sqltext import collapse, hash32, lit, strip as sql_strip, zh_punct
@@ -89,7 +90,7 @@ RULE_SQL = """
 
 def chunk_rows(spark: SparkSession, sf_dir: str, chunks: Column) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text")
-    return docs.select("doc_id", F.posexplode(chunks).alias("pos", "chunk"))
+    return explode_items(docs, ["doc_id"], chunks, "chunk")
 
 
 @query(
@@ -118,7 +119,7 @@ def fixed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def sliding_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text").select("doc_id", page_text("text").alias("page"))
-    return docs.select("doc_id", F.posexplode(sliding_chunks("page", 512, STOP)).alias("pos", "chunk"))
+    return explode_items(docs, ["doc_id"], sliding_chunks("page", 512, STOP), "chunk")
 
 
 @query(
@@ -127,7 +128,7 @@ def sliding_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def rule_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text").select("doc_id", page_text("text").alias("page"))
-    return docs.select("doc_id", F.posexplode(rule_chunks("page", 512, stop=STOP)).alias("pos", "chunk"))
+    return explode_items(docs, ["doc_id"], rule_chunks("page", 512, stop=STOP), "chunk")
 
 
 @query(
@@ -246,9 +247,7 @@ def page_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def font_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return page_words(spark, sf_dir).select(
-        "doc_id", F.posexplode(block_chunks("words", 2048)).alias("pos", "chunk")
-    )
+    return explode_items(page_words(spark, sf_dir), ["doc_id"], block_chunks("words", 2048), "chunk")
 
 
 ARTICLE_LINE_SQL = collapse(zh_punct(WIKI_SQL.format(c="(l || chr(10))")))

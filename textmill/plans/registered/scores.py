@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from textmill.functions.tokens import words
 from textmill.functions.vectors import letter_vector
 from textmill.operators.conversations import exchanges
+from textmill.operators.exploding import explode_structs
 from textmill.operators.metrics import (
     bleu4,
     f1_by_type,
@@ -72,7 +73,7 @@ CLIPPED_SQL = f"""
 def ngram_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """n-gram counts of all replies: counted in the row, summed across rows."""
     pairs = reply_pairs(spark, sf_dir)
-    grams = pairs.select(F.inline(ngram_counts(F.col("ref"))))
+    grams = explode_structs(pairs, [], ngram_counts(F.col("ref")))
     return grams.groupBy("n", "gram").agg(F.sum("count").alias("count"))
 
 

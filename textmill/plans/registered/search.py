@@ -19,6 +19,7 @@ from textmill.functions.vectors import (
     quantize_groups,
 )
 from textmill.operators.chunking import split_overlap
+from textmill.operators.exploding import explode_items
 from textmill.operators.filters import SearchSpec, metadata_filter
 from textmill.operators.quantise import quantize_tensor, quantize_zero_point
 from textmill.operators.retrieval import (
@@ -332,9 +333,8 @@ CHUNK_SOURCE = (
 )
 def parent_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks are searched, whole documents are returned."""
-    pieces = documents(spark, sf_dir, "doc_id", "text").select(
-        "doc_id", F.posexplode(split_overlap("text", 1000, 200)).alias("pos", "text")
-    )
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    pieces = explode_items(docs, ["doc_id"], split_overlap("text", 1000, 200), "text")
     keyed = pieces.select((F.col("doc_id") * 1_000_000 + F.col("pos")).alias("chunk_id"), "text")
     hits = bm25_search(passages(spark, sf_dir), lexical_docs(keyed, "chunk_id", "text"), 8)
     owned = hits.withColumn("doc_id", F.floor(F.col("chunk_id") / F.lit(1_000_000)).cast("long"))
@@ -352,9 +352,8 @@ def passage_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
         "query_id", "text", F.array_join(F.slice(words("text"), 2, 8), " ").alias("window")
     )
     docs = documents(spark, sf_dir, "doc_id", "text")
-    windows = docs.select(
-        F.col("doc_id").alias("chunk_id"), F.explode(F.array_distinct(ngrams(words("text"), 8))).alias("window")
-    )
+    grams = F.array_distinct(ngrams(words("text"), 8))
+    windows = explode_items(docs, [F.col("doc_id").alias("chunk_id")], grams, "window")
     pairs = windows.join(asked, "window").select("chunk_id", "query_id", F.col("text").alias("passage"))
     texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("chunk_id"), "text")
     return pairs.join(texts, "chunk_id").filter(F.contains("text", F.col("passage"))).select("query_id", "chunk_id").distinct()

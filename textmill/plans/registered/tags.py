@@ -17,6 +17,7 @@ from textmill.functions.prompts import (
     extract_entities,
     question_part,
 )
+from textmill.operators.exploding import explode_structs
 from textmill.operators.tagging import bio_spans, label_inventory, map_labels, ner_instructions
 from textmill.plans.registered import documents, query
 from textmill.plans.registered.sqltext import hash32, lit
@@ -59,7 +60,7 @@ TAGS_SQL = rf"""
 )
 def tagged_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = tagged(spark, sf_dir)
-    return rows.select("doc_id", F.inline(bio_spans("chars", "labels"))).select("doc_id", "begin", "type", "text")
+    return explode_structs(rows, ["doc_id"], bio_spans("chars", "labels")).select("doc_id", "begin", "type", "text")
 
 
 @query(

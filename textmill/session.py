@@ -18,6 +18,8 @@ def build_session(app: str = "textmill", cpus: str = "*", **conf: str) -> SparkS
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        # Long expressions are built call by call; do not record a stack for each.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         # A union of equally partitioned inputs must not be taken as partitioned: the
         # adaptive re-plan may concatenate its inputs instead of zipping them.
         "spark.sql.unionOutputPartitioning": "false",

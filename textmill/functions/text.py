@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -92,10 +94,6 @@ def map_chars(c: ColumnOrName, mapping: dict[str, str]) -> Column:
 
 def map_phrases(c: ColumnOrName, mapping: dict[str, str]) -> Column:
     """Phrase mapping from a user dictionary, longest match first."""
-    import re
-
-    import pandas as pd
-
     if not mapping:
         return col(c)
     longest_first = sorted(mapping, key=len, reverse=True)

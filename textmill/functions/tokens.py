@@ -7,6 +7,7 @@ work is linear after the sort.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,8 +44,6 @@ def pretokenize(c: ColumnOrName) -> Column:
 
 
 def nfkc(c: ColumnOrName) -> Column:
-    import pandas as pd
-
     @F.pandas_udf("string")
     def normalise(values: pd.Series) -> pd.Series:
         return values.str.normalize("NFKC")

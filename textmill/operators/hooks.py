@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +31,6 @@ def prepare_where(df: DataFrame, where: Column | Callable) -> DataFrame:
     """Row predicate: a Column, or a function over named pandas columns."""
     if isinstance(where, Column):
         return df.filter(where)
-    import pandas as pd
-
     @F.pandas_udf("boolean")
     def keep(rows: pd.DataFrame) -> pd.Series:
         return pd.Series([bool(where(r)) for r in rows.to_dict("records")])

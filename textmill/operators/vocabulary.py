@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textmill.functions.text import ColumnOrName, chars
+from textmill.functions.text import ColumnOrName, chars, let
 from textmill.functions.tokens import pretokenize
 from textmill.operators.exploding import explode_items, explode_structs
 from textmill.session import cut_lineage
@@ -22,7 +24,7 @@ MIN_FREQUENCY = 100
 
 # Best pairs fetched per round; a round applies those that cannot affect each other.
 CANDIDATES = 512
-CUT_EVERY = 4
+CUT_EVERY = 10
 
 
 def word_counts(df: DataFrame, text: ColumnOrName, min_freq: int = 1) -> DataFrame:
@@ -44,38 +46,35 @@ class Vocabulary:
         return {t: i for i, t in enumerate(self.tokens)}
 
 
-def _pair_key(a: Column, b: Column) -> Column:
-    """Unambiguous text form of a pair."""
-    return F.concat(F.length(a).cast("string"), F.lit(":"), a, b)
+# Symbols of a word are kept in one string with this control character between them.
+SEPARATOR = "\x1f"
+
+
+def _symbols(word: Column) -> Column:
+    """Single characters; the separator itself cannot be a symbol and is replaced."""
+    return F.array_join(chars(F.translate(word, SEPARATOR, "\ufffd")), SEPARATOR)
 
 
 def _apply(symbols: Column, merges: list[tuple[str, str]]) -> Column:
     """Join adjacent symbols of the given pairs, left to right.
 
-    The pairs of one call share no symbol, so a joined symbol never joins again.
+    The pairs of one call share no symbol, so a joined symbol never joins again and
+    one alternation serves them all.
     """
-    wanted = F.array(*(F.lit(f"{len(a)}:{a}{b}") for a, b in merges))
-
-    def step(acc: Column, x: Column) -> Column:
-        last = F.element_at(acc["done"], -1)
-        joins = (F.size(acc["done"]) > 0) & ~acc["fresh"] & F.array_contains(wanted, _pair_key(last, x))
-        head = F.slice(acc["done"], 1, F.greatest(F.size(acc["done"]) - 1, F.lit(0)))
-        return F.when(
-            F.coalesce(joins, F.lit(False)),
-            F.struct(F.array_append(head, F.concat(last, x)).alias("done"), F.lit(True).alias("fresh")),
-        ).otherwise(F.struct(F.array_append(acc["done"], x).alias("done"), F.lit(False).alias("fresh")))
-
-    zero = F.struct(F.array().cast("array<string>").alias("done"), F.lit(False).alias("fresh"))
-    return F.aggregate(symbols, zero, step, lambda acc: acc["done"])
+    pairs = "|".join(f"({re.escape(a)}){SEPARATOR}({re.escape(b)})" for a, b in merges)
+    whole = f"(?<![^{SEPARATOR}])(?:{pairs})(?![^{SEPARATOR}])"
+    groups = "".join(f"${i}" for i in range(1, 2 * len(merges) + 1))
+    return F.regexp_replace(symbols, whole, groups)
 
 
 def _pair_counts(words: DataFrame) -> DataFrame:
-    last = F.size("symbols") - 1
-    pairs = F.transform(
-        F.when(last < 1, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), last - 1)),
-        lambda i: F.struct(F.get("symbols", i).alias("a"), F.get("symbols", i + 1).alias("b")),
-    )
-    return explode_structs(words, ["freq"], pairs).groupBy("a", "b").agg(F.sum("freq").alias("n"))
+    def pairs(parts: Column) -> Column:
+        last = F.size(parts) - 1
+        index = F.when(last < 1, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), last - 1))
+        return F.transform(index, lambda i: F.struct(F.get(parts, i).alias("a"), F.get(parts, i + 1).alias("b")))
+
+    found = explode_structs(words, ["freq"], let(F.split("symbols", SEPARATOR), pairs))
+    return found.groupBy("a", "b").agg(F.sum("freq").alias("n"))
 
 
 def choose_merges(ranked: list[tuple[str, str, int]], known: set[str], min_freq: int, room: int, complete: bool) -> list[tuple[str, str]]:
@@ -116,10 +115,12 @@ def train_bpe(
     counts pairs with map-side sums, brings a fixed number of best pairs to the
     driver and merges all that are independent.
     """
-    counted = word_counts(df, text)
-    words = cut_lineage(counted.select("freq", chars("word").alias("symbols")), "words")
+    # The rounds work on this table only; deal it out so that every core has a share.
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    counted = word_counts(df, text).repartition(cores, "word")
+    words = cut_lineage(counted.select("freq", _symbols(F.col("word")).alias("symbols")), "words")
     alphabet = [
-        r["c"] for r in words.select(F.explode(F.array_distinct("symbols")).alias("c")).distinct().orderBy("c").limit(vocabulary_size).collect()
+        r["c"] for r in words.select(F.explode(F.array_distinct(F.split("symbols", SEPARATOR))).alias("c")).distinct().orderBy("c").limit(vocabulary_size).collect()
     ]
     vocabulary = Vocabulary([*specials, *sorted(set(alphabet) - set(specials))])
     limit = min(vocabulary_size - len(vocabulary.tokens), max_merges if max_merges is not None else vocabulary_size)
@@ -167,8 +168,6 @@ def _merge_word(word: str, ranks: dict[tuple[str, str], int]) -> list[str]:
 
 def encode(text: ColumnOrName, vocabulary: Vocabulary) -> Column:
     """Token ids of a text: pieces are cut by the engine, merged per Arrow batch."""
-    import pandas as pd
-
     ids = vocabulary.ids
     ranks = {pair: i for i, pair in enumerate(vocabulary.merges)}
     unknown = ids.get(UNKNOWN, 0)

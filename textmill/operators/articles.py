@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions.prompts import WIKI_QUESTIONS, fill_title
 from textmill.functions.text import END_MARK, let, normalise_line, pick_template, text_or_empty
+from textmill.operators.exploding import built_rows
 
 HEADER_END = "："
 
@@ -71,10 +72,6 @@ def article_sample(
 
 def wiki_samples(articles: DataFrame, key: str, text: str, max_len: int = 512, cut: bool = False, **options) -> DataFrame:
     """One sample per article that has a heading and a body."""
-    sampled = articles.select(key, article_sample(key, text, max_len, cut, **options).alias("_sample"))
-    return sampled.filter(F.col("_sample").isNotNull()).select(
-        key,
-        F.col("_sample.prompt").alias("prompt"),
-        F.col("_sample.response").alias("response"),
-        F.concat("_sample.prompt", "_sample.response", F.lit(END_MARK)).alias("sample"),
-    )
+    sample = article_sample(key, text, max_len, cut, **options)
+    sampled = built_rows(articles, [key], sample, lambda s: s.isNotNull())
+    return sampled.withColumn("sample", F.concat("prompt", "response", F.lit(END_MARK)))

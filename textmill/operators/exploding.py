@@ -7,6 +7,8 @@ get no such filter; the position tells an empty array from a real element.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,3 +24,12 @@ def explode_structs(df: DataFrame, keys: list[str | Column], items: Column) -> D
     rows = explode_items(df, keys, items, "_item", "_pos")
     names = [k for k in rows.columns if k not in ("_pos", "_item")]
     return rows.select(*names, "_item.*")
+
+
+def built_rows(df: DataFrame, keys: list[str | Column], row: Column, keep: Callable[[Column], Column]) -> DataFrame:
+    """Keys and the fields of a computed struct, for the rows whose struct passes ``keep``.
+
+    The test runs on the built struct.  A plain filter on its fields would be pushed
+    down and evaluate the long expressions a second time.
+    """
+    return explode_structs(df, keys, F.filter(F.array(row), keep))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.functions.text import collapse_punct, compose_optional, compose_prompt, strip_cr, text_or_empty, to_sample
-from textmill.operators.exploding import explode_structs
+from textmill.operators.exploding import built_rows
 from textmill.operators.filters import ordinary_task
 
 
@@ -73,15 +73,14 @@ def prepare(df: DataFrame, spec: SourceSpec, keep_columns: tuple[str, ...] = ())
     prompt, response = strip_cr(prompt), strip_cr(text_or_empty(spec.response))
     if spec.collapse:
         prompt, response = (collapse_punct(c, variant=spec.collapse) for c in (prompt, response))
-    # The length tests run on the built struct, so the long expressions are
-    # evaluated once; a plain filter would be pushed down and repeat them.
     pair = F.struct(prompt.alias("prompt"), response.alias("response"), text_or_empty(spec.response).alias("raw"))
     tested = "raw" if spec.test_raw_response else "response"
-    passing = F.filter(
-        F.array(pair),
+    return built_rows(
+        kept,
+        [*keep_columns],
+        pair,
         lambda p: (F.length(p[tested]) >= spec.least_response) & (F.length(p["prompt"]) >= spec.least_prompt),
-    )
-    return explode_structs(kept, [*keep_columns], passing).drop("raw")
+    ).drop("raw")
 
 
 def prepare_samples(df: DataFrame, spec: SourceSpec, keep_columns: tuple[str, ...] = ()) -> DataFrame:

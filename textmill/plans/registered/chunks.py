@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.functions.prompts import WIKI_QUESTIONS
-from textmill.functions.text import first_sentence
+from textmill.functions.text import first_sentence, let
 from textmill.operators.articles import wiki_samples
 from textmill.operators.chunking import (
     as_documents,
@@ -20,7 +20,7 @@ from textmill.operators.chunking import (
     split_overlap,
     text_blocks,
 )
-from textmill.operators.exploding import explode_items
+from textmill.operators.exploding import built_rows, explode_items
 from textmill.operators.filters import noise_line, page_text
 from textmill.plans.registered import documents, query
 from textmill.plans.registered.sqltext import collapse, hash32, lit, strip as sql_strip, zh_punct
@@ -161,12 +161,15 @@ def line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kept_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that survive the noise rule, counted inside the row."""
     docs = documents(spark, sf_dir, "doc_id", "text")
-    kept = docs.select("doc_id", F.filter(F.split("text", "\n"), lambda s: ~noise_line(s)).alias("kept"))
-    return kept.filter(F.size("kept") > 0).select(
-        "doc_id",
-        F.size("kept").cast("long").alias("lines"),
-        F.aggregate("kept", F.lit(0).cast("long"), lambda acc, s: acc + F.length(s)).alias("chars"),
+    kept = F.filter(F.split("text", "\n"), lambda s: ~noise_line(s))
+    counted = let(
+        kept,
+        lambda lines: F.struct(
+            F.size(lines).cast("long").alias("lines"),
+            F.aggregate(lines, F.lit(0).cast("long"), lambda acc, s: acc + F.length(s)).alias("chars"),
+        ),
     )
+    return built_rows(docs, ["doc_id"], counted, lambda c: c["lines"] > 0)
 
 
 @query(

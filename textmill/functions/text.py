@@ -48,7 +48,8 @@ def char_class(chars: str) -> str:
 
 def chars(c: ColumnOrName) -> Column:
     """Code points as an array; the empty string gives an empty array."""
-    return F.regexp_extract_all(col(c), F.lit("(?s)."), F.lit(0))
+    text = col(c)
+    return F.when(F.length(text) == 0, F.array().cast("array<string>")).otherwise(F.split(text, ""))
 
 
 def strip(c: ColumnOrName) -> Column:

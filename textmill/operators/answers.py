@@ -16,13 +16,13 @@ from pyspark.sql import types as T
 from textmill.functions.prompts import NO_REPLY, format_docs, format_qa, split_queries
 from textmill.operators.filters import keep_relevant
 from textmill.operators.hooks import Loader, call_model, generate, grade
-from textmill.operators.retrieval import DEFAULT_K, Retriever, expand_to_parent, knn
+from textmill.operators.retrieval import DEFAULT_K, Retriever, expand_to_parent, knn, meet_hits
 from textmill.session import cut_lineage
 
 
 def attach_texts(hits: DataFrame, corpus: DataFrame, chunk_id: str = "chunk_id", text: str = "text") -> DataFrame:
     """Hits with the text of their chunk."""
-    return hits.join(corpus.select(F.col(chunk_id).alias("chunk_id"), F.col(text).alias("document")), "chunk_id")
+    return meet_hits(hits, corpus.select(F.col(chunk_id).alias("chunk_id"), F.col(text).alias("document")), "chunk_id")
 
 
 def ranked_documents(hits: DataFrame, query: str = "query_id") -> DataFrame:

@@ -76,10 +76,25 @@ def multi_query(hits: DataFrame, question: str = "question_id", doc: str = "chun
     return hits.select(question, doc).repartition(question, doc).distinct()
 
 
+# Rows of a stored hit table that may be broadcast.
+MAX_BROADCAST_HITS = 2_000_000
+
+
+def meet_hits(hits: DataFrame, big: DataFrame, key: str) -> DataFrame:
+    """Join a hit table to a corpus by key.
+
+    The hits are stored first, so their number is known: a small table is broadcast
+    and the corpus is scanned in place, a large one meets the corpus in a shuffle.
+    """
+    stored = cut_lineage(hits, "hits")
+    small = stored.count() <= MAX_BROADCAST_HITS
+    return big.join(F.broadcast(stored) if small else stored, key)
+
+
 def expand_to_parent(hits: DataFrame, docs: DataFrame, query: str = "query_id", parent: str = "doc_id") -> DataFrame:
     """Whole documents of the hits, once per query, best rank first kept."""
     best = hits.groupBy(query, parent).agg(F.min("rank").alias("rank"), F.max("score").alias("score"))
-    return best.join(docs, parent)
+    return meet_hits(best, docs, parent)
 
 
 # ---- bounded query side ----------------------------------------------------
@@ -114,6 +129,15 @@ def _hits(rows: np.ndarray, cols: np.ndarray, scores: np.ndarray, ids: np.ndarra
 HIT_SCHEMA = "query_id long, chunk_id long, score double"
 
 
+# Scores one task may hold at a time.
+MAX_SCORES = 4_000_000
+
+
+def _slice_rows(width: int, most: int = 512) -> int:
+    """Rows per slice, so that a slice times ``width`` stays below the bound."""
+    return max(1, min(most, MAX_SCORES // max(width, 1)))
+
+
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(column), dim)
@@ -155,13 +179,14 @@ def _near(vectors: np.ndarray, batch: np.ndarray) -> np.ndarray:
 
 def _distance_pass(query_ids: np.ndarray, vectors: np.ndarray, k: int) -> Callable:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            ids = batch["chunk_id"].to_numpy()
-            near = _near(vectors, _matrix(batch["v"], vectors.shape[1]))
-            rows, cols = _best(-near, ids, k)
-            yield _hits(rows, cols, near, ids, query_ids)
+        for whole in batches:
+            step = _slice_rows(len(query_ids))
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
+                ids = batch["chunk_id"].to_numpy()
+                near = _near(vectors, _matrix(batch["v"], vectors.shape[1]))
+                rows, cols = _best(-near, ids, k)
+                yield _hits(rows, cols, near, ids, query_ids)
 
     return score
 
@@ -188,10 +213,8 @@ def _knn_blocks(left: DataFrame, right: DataFrame, k: int, max_values: int) -> D
         if queries.num_rows == 0 or corpus.num_rows == 0:
             return pa.table({"query_id": pa.array([], pa.int64()), "chunk_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         vectors = _matrix(queries["v"].combine_chunks(), len(queries["v"][0]))
-        ids = corpus["chunk_id"].to_numpy()
-        near = _near(vectors, _matrix(corpus["v"].combine_chunks(), vectors.shape[1]))
-        rows, cols = _best(-near, ids, k)
-        return pa.Table.from_batches([_hits(rows, cols, near, ids, queries["query_id"].to_numpy())])
+        score = _distance_pass(queries["query_id"].to_numpy(), vectors, k)
+        return pa.Table.from_batches(list(score(iter(corpus.combine_chunks().to_batches()))))
 
     return asked.groupBy("block", "cell").cogroup(stored.groupBy("block", "cell")).applyInArrow(meet, HIT_SCHEMA)
 
@@ -314,8 +337,9 @@ def _sparse_pass(query_ids: np.ndarray, weights: np.ndarray, vocabulary: list[st
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             # Small slices keep the dense document x term block modest.
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
+            step = _slice_rows(max(len(vocabulary), len(query_ids)))
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
                 ids = batch["chunk_id"].to_numpy()
                 rows = np.repeat(np.arange(batch.num_rows), np.diff(batch["terms"].offsets.to_numpy()))
                 flat = batch["terms"].flatten()

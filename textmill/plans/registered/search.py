@@ -29,6 +29,7 @@ from textmill.operators.retrieval import (
     fuse_searches,
     knn,
     lexical_docs,
+    meet_hits,
     multi_query,
     rerank,
     route_semantic,
@@ -39,6 +40,7 @@ from textmill.operators.retrieval import (
 from textmill.operators.metrics import retrieval_metrics
 from textmill.plans.registered import documents, query, table
 from textmill.plans.registered.sqltext import words as sql_words
+from textmill.session import cut_lineage
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
@@ -304,7 +306,7 @@ def hybrid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = fused(spark, sf_dir).select("query_id", "chunk_id")
     asked = passages(spark, sf_dir).select("query_id", F.col("text").alias("q"))
     texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("chunk_id"), F.col("text").alias("d"))
-    pairs = hits.join(asked, "query_id").join(texts, "chunk_id")
+    pairs = meet_hits(hits, texts, "chunk_id").join(asked, "query_id")
     sets = pairs.select(
         "query_id",
         "chunk_id",
@@ -376,11 +378,10 @@ def passage_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def retrieval_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hit rate and mean reciprocal rank at 5 of two search methods."""
-    truth = passage_truth(spark, sf_dir)
-    methods = {
-        "bm25": bm25_search(passages(spark, sf_dir), index(spark, sf_dir), 15),
-        "fused": fused(spark, sf_dir),
-    }
+    # Both are small and used twice: stored once.
+    truth = cut_lineage(passage_truth(spark, sf_dir), "truth")
+    lexical = cut_lineage(bm25_search(passages(spark, sf_dir), index(spark, sf_dir), 15), "hits")
+    methods = {"bm25": lexical, "fused": fuse_searches(lexical, vector_hits(spark, sf_dir, 15), k=15)}
     parts = [retrieval_metrics(hits, truth, 5).withColumn("method", F.lit(name)) for name, hits in methods.items()]
     union = reduce(DataFrame.unionByName, parts)
     return union.select("method", "queries", F.round("hit_rate", 6).alias("hit_rate"), F.round("mrr", 6).alias("mrr"))

@@ -86,6 +86,8 @@ def test_running_sums(spark):
         assert got == want
     numbers = {r["k"]: r["row_no"] for r in row_numbers(df, "k", bucket=16).collect()}
     assert numbers == {k: i for i, k in enumerate(keys)}
+    far = spark.createDataFrame([(2**62 + i, 1) for i in range(9)], "k long, v long")
+    assert sorted(r["start"] for r in prefix_sum(far, "k", "v", bucket=4).drop("x").collect()) == list(range(9))
     negative = spark.createDataFrame([(-3, 1), (2, 1), (5, 1)], "k long, v long")
     assert sorted(r["start"] for r in prefix_sum(negative, "k", "v", bucket=4).collect()) == [0, 1, 2]
 

@@ -2,21 +2,29 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textmill.session import cut_lineage
+
 BUCKET = 1024
 
 
-def _width(df: DataFrame, key: str, bucket: int) -> int:
-    """How many bucket levels the key range needs."""
+def whole_div(x: Column, n: int) -> Column:
+    """Floor division of integers, exact for every 64-bit value."""
+    divisor = F.lit(n).cast("long")
+    return F.call_function("div", x - F.pmod(x, divisor), divisor)
+
+
+def _key_range(df: DataFrame, key: str, bucket: int) -> tuple[int, int]:
+    """Lowest key and how many bucket levels the key range needs."""
     low, high = df.agg(F.min(key), F.max(key)).first()
     if high is None:
-        return 1
-    span = max(int(high) - (int(low) if int(low) < 0 else 0) + 1, 2)
-    return max(1, math.ceil(math.log(span, bucket)))
+        return 0, 1
+    levels, covered = 1, bucket
+    while covered < high - low + 1:
+        levels, covered = levels + 1, covered * bucket
+    return low, levels
 
 
 def prefix_sum(df: DataFrame, key: str, value: str, out: str = "start", bucket: int = BUCKET) -> DataFrame:
@@ -26,24 +34,23 @@ def prefix_sum(df: DataFrame, key: str, value: str, out: str = "start", bucket:
     the range offsets down, so no window ever holds more than ``bucket`` rows.
     Rows are shuffled once by range; offsets are joined on the same range.
     """
-    return _prefix_sum(df, key, value, out, bucket, _width(df, key, bucket))
+    low, levels = _key_range(df, key, bucket)
+    return _prefix_sum(df, key, value, out, bucket, low, levels)
 
 
-def _prefix_sum(df: DataFrame, key: str, value: str, out: str, bucket: int, levels: int) -> DataFrame:
-    shift, part = f"_shift{levels}", f"_range{levels}"
-    ranged = df.withColumn(part, F.floor(F.col(key) / F.lit(bucket)).cast("long"))
+def _prefix_sum(df: DataFrame, key: str, value: str, out: str, bucket: int, low: int, levels: int) -> DataFrame:
+    part, shift = f"_range{levels}", f"_shift{levels}"
+    ranged = df.withColumn(part, whole_div(F.col(key) - F.lit(low).cast("long"), bucket))
     inside = Window.partitionBy(part).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn(out, F.coalesce(F.sum(value).over(inside), F.lit(0)).cast("long"))
-    if levels <= 1:
-        # One range is left (negative keys add a second one): finish by offsets of at most two rows.
-        totals = ranged.groupBy(part).agg(F.sum(value).alias("_sum"))
-        top = Window.partitionBy(F.lit(0)).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-        offsets = totals.select(part, F.coalesce(F.sum("_sum").over(top), F.lit(0)).alias(shift))
-    else:
-        totals = ranged.groupBy(part).agg(F.sum(value).cast("long").alias("_sum"))
-        offsets = _prefix_sum(totals, part, "_sum", shift, bucket, levels - 1).select(part, shift)
-    joined = local.join(offsets, part)
-    return joined.withColumn(out, (F.col(out) + F.col(shift)).cast("long")).drop(part, shift)
+    if levels == 1:
+        # A single range is left.
+        return local.drop(part)
+    totals = ranged.groupBy(part).agg(F.sum(value).cast("long").alias("_sum"))
+    # The next level uses the totals twice; stored, they are computed once.
+    stored = cut_lineage(totals, "range-totals")
+    offsets = _prefix_sum(stored, part, "_sum", shift, bucket, 0, levels - 1).select(part, shift)
+    return local.join(offsets, part).withColumn(out, (F.col(out) + F.col(shift)).cast("long")).drop(part, shift)
 
 
 def row_numbers(df: DataFrame, key: str, out: str = "row_no", bucket: int = BUCKET) -> DataFrame:

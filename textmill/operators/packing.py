@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions.arrays import IGNORED_LABEL
 from textmill.operators.exploding import explode_structs
-from textmill.operators.ordering import BUCKET, prefix_sum, row_numbers
+from textmill.operators.ordering import BUCKET, prefix_sum, row_numbers, whole_div
 
 
 def _pieces(placed: DataFrame, ids: str, block: int, keys: list[str], cols: list[str]) -> DataFrame:
@@ -15,9 +15,9 @@ def _pieces(placed: DataFrame, ids: str, block: int, keys: list[str], cols: list
 
     Slices are taken before the explode, so a long row is copied once only.
     """
-    start, width = F.col("start"), F.lit(block)
-    first = F.floor(start / width)
-    last = F.floor((start + F.size(ids) - 1) / width)
+    start = F.col("start")
+    first = whole_div(start, block)
+    last = whole_div(start + F.size(ids) - 1, block)
 
     def piece(b: Column) -> Column:
         begin = F.greatest(b * block, start)
@@ -74,7 +74,7 @@ def pack_groups(
     unpadded.
     """
     numbered = row_numbers(df.select(order_by, ids, labels), order_by, "_row", group)
-    grouped = numbered.withColumn("group_id", F.floor(F.col("_row") / F.lit(group)).cast("long"))
+    grouped = numbered.withColumn("group_id", whole_div(F.col("_row"), group))
     sized = grouped.withColumn("_len", F.size(ids))
     before = Window.partitionBy("group_id").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
     placed = sized.withColumn("start", F.coalesce(F.sum("_len").over(before), F.lit(0)).cast("long"))
@@ -85,7 +85,7 @@ def pack_groups(
     frame = totals.select(
         "group_id",
         "_total",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("_total") / F.lit(block)))).alias("block_id"),
+        F.explode(F.sequence(F.lit(0).cast("long"), whole_div(F.col("_total"), block))).alias("block_id"),
     ).filter(F.col("_total") > 0)
     whole = frame.join(blocks, ["group_id", "block_id"], "left")
 

@@ -280,7 +280,24 @@ def normalised_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---- markup ----------------------------------------------------------------
-@query("page_texts")
+def entities_sql(c: str) -> str:
+    for name, char in (("middot", "·"), ("copy", "©"), ("quot", '"'), ("amp", "&")):
+        c = f"replace({c}, '&{name};', '{char}')"
+    return c
+
+
+BARE_SQL = "html"
+for _pattern in (r"(?s)<script[^>]*>.*?</script>", r"(?s)<style[^>]*>.*?</style>", r"(?s)<!--.*?-->", r"<[^>]+>"):
+    BARE_SQL = f"regexp_replace({BARE_SQL}, '{_pattern}', '', 'g')"
+
+
+@query(
+    "page_texts",
+    f"""
+    SELECT page_id, {entities_sql(BARE_SQL)} AS text,
+           {entities_sql("regexp_extract(html, '<div class=\"ad\">([^<]*)</div>', 1)")} AS ads FROM pages
+    """,
+)
 def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spread(table(spark, sf_dir, "pages").select("page_id", "html"))
     return pages.select("page_id", html_to_text("html").alias("text"), html_to_text("html", ("ad",)).alias("ads"))

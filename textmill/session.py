@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+SCRATCH_KEY = "spark.textmill.scratch"
 
 
 def build_session(app: str = "textmill", cpus: str = "*", **conf: str) -> SparkSession:
@@ -36,15 +37,16 @@ def build_session(app: str = "textmill", cpus: str = "*", **conf: str) -> SparkS
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting falls back to a temporary
-    folder; on a cluster a missing setting is an error.
+    Where that is unset, ``spark.textmill.scratch`` may name one.  Only a local session,
+    whose tasks share one disk, gets a folder of its own; elsewhere a missing setting
+    is an error.
     """
-    folder = spark.conf.get(CHECKPOINT_KEY, None)
+    folder = spark.conf.get(CHECKPOINT_KEY, None) or spark.conf.get(SCRATCH_KEY, None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError(f"set {CHECKPOINT_KEY} to a shared folder")
         folder = tempfile.mkdtemp(prefix="textmill-")
-        spark.conf.set(CHECKPOINT_KEY, folder)
+        spark.conf.set(SCRATCH_KEY, folder)
     return folder
 
 
@@ -63,3 +65,9 @@ def cut_lineage(df: DataFrame, label: str = "step") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stored(spark: SparkSession, path: str) -> None:
+    """Delete a stored intermediate that no later plan reads."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import byte_bpe
+from textmill.llm import byte_bpe, exact_names, simhash_tree
 from textmill.llm.registry import QUERIES, TWINS, query, table
 
 __all__ = ["QUERIES", "TWINS"]
@@ -25,3 +25,17 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("token_ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op9_block_names")
+def op9_block_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return exact_names.exact_groups(docs).drop("n_points")
+
+
+@query("op10_simhash_trees")
+def op10_simhash_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    groups = simhash_tree.near_groups(docs)
+    digits = F.lower(F.lpad(F.hex("bits"), 16, "0"))
+    return groups.select("doc_id", digits.alias("fingerprint"), "component_id")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import byte_bpe, exact_names, simhash_tree
+from textmill.llm import byte_bpe, decontaminate, exact_names, language_id, sharding, simhash_tree, toxicity
 from textmill.llm.registry import QUERIES, TWINS, query, table
 
 __all__ = ["QUERIES", "TWINS"]
@@ -39,3 +39,36 @@ def op10_simhash_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_tree.near_groups(docs)
     digits = F.lower(F.lpad(F.hex("bits"), 16, "0"))
     return groups.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query("op4_string_kernel_toxicity")
+def op4_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+    apart = language_id.held_out(F.col("doc_id"), 5, 0)
+    model = toxicity.fit(docs, labels.filter(~apart))
+    return toxicity.score(docs, model).select("doc_id", apart.alias("held_out"), "score", "predicted")
+
+
+@query("op8_language_filters")
+def op8_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    apart = language_id.held_out(F.col("doc_id"), 3, 1)
+    model = language_id.fit(docs.filter(~apart), "doc_id", "text", "lang")
+    return language_id.predict(docs.select("doc_id", "text"), model).select("doc_id", apart.alias("held_out"), "lang_pred", "score")
+
+
+@query("op2_benchmark_alignment")
+def op2_benchmark_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.matches(docs, table(spark, sf_dir, "benchmark"))
+
+
+@query("op3_bounded_ring")
+def op3_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    keys = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32")
+    )
+    placed = sharding.assign(keys, ["doc_id", "size", "text_crc32"], 16)
+    return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})

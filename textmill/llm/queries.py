@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import byte_bpe, decontaminate, exact_names, language_id, sharding, simhash_tree, toxicity
+from textmill.llm import (
+    byte_bpe,
+    decontaminate,
+    exact_names,
+    language_id,
+    licenses,
+    line_dedup,
+    sharding,
+    simhash_tree,
+    token_counts,
+    toxicity,
+)
 from textmill.llm.registry import QUERIES, TWINS, query, table
 
 __all__ = ["QUERIES", "TWINS"]
@@ -72,3 +83,34 @@ def op3_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     placed = sharding.assign(keys, ["doc_id", "size", "text_crc32"], 16)
     return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+
+
+@query("op1_token_lengths")
+def op1_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("text")
+    return token_counts.histogram(token_counts.lengths(docs, RANKS, PATTERN))
+
+
+@query("op6_license_rules")
+def op6_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    met = F.filter("places", lambda p: p["n"] > 0)
+    base = F.array_sort(F.transform(met, lambda p: p["label"]))
+    own = F.transform(F.coalesce("detections", F.array().cast(found.schema["detections"].dataType)), lambda d: d["label"])
+    weights = F.create_map(*[F.lit(x) for pair in licenses.WEIGHTS.items() for x in pair])
+    best = F.array_min(F.transform("detections", lambda d: d["priority"]))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.aggregate("places", F.lit(0).cast("long"), lambda n, p: n + p["n"]).alias("n_base"),
+        F.array_min(F.transform(met, lambda p: p["first"])).alias("first_word"),
+        F.array_max(F.transform(met, lambda p: p["last"])).alias("last_word"),
+        F.array_join(base, ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, own)), ",").alias("labels"),
+        F.greatest(F.coalesce(weights[best], F.lit(0.0)), F.when(F.size(base) > 0, 0.5).otherwise(0.0)).alias("score"),
+    )
+
+
+@query("op7_site_lines")
+def op7_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_boilerplate(table(spark, sf_dir, "pages"))

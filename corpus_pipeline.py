@@ -1,0 +1,75 @@
+"""A corpus for training: what is toxic, copied or leaked goes, the rest is encoded.
+
+Each stage is one operator over all rows that the stage before kept; its result is written
+as Parquet and read again.  Null and empty texts pass all stages (as one text: copies of
+it go), repeated rows go as exact copies.  A document of a near-duplicate group goes if its
+id is not the group's smallest; rows without an id stay.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from textmill.llm import byte_bpe, decontaminate, exact_names, simhash_tree, toxicity
+from textmill.llm.registry import table
+from textmill.session import cut_lineage
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the string-kernel machine, trained on all labels, does not call toxic."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).filter("predicted = 0").select(*docs.columns)
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of all whose texts have the same block name."""
+    return exact_names.drop_exact(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked fingerprints."""
+    groups = simhash_tree.near_groups(docs)
+    gone = groups.filter("doc_id <> component_id").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage that aligns with a test item."""
+    found = decontaminate.matches(docs, table(spark, sf_dir, "benchmark"))
+    gone = cut_lineage(found.select("doc_id").distinct(), "leaks")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every text, and a digest of what they decode to."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = byte_bpe.encode(docs, path, public_tokenizers.PATTERN, decoded=True)
+    return coded.select(
+        "doc_id",
+        "lang",
+        "source",
+        "n_tokens",
+        F.sha2("token_ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_exact_copies),
+    ("simhash_near_dedup", drop_near_copies),
+    ("decontamination", drop_leaks),
+    ("byte_bpe", encode_texts),
+]
+
+#: Learned scores, alignment and merges are not SQL; the tests hold each stage against brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = cut_lineage(stage(spark, docs, sf_dir), name)
+    return docs

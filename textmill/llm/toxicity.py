@@ -3,7 +3,7 @@
 Kernel: two strings are as alike as the three-letter subsequences they share, each
 occurrence weighted by ``DECAY ** span``.  Letters need not be adjacent (span up to ``SPAN``),
 so gapped and padded spellings ("i.d.i.o.t", "idxiot") stay close to the plain word.
-Characters other than letters count as gaps; look-alike digits and signs count as letters.
+Characters other than letters are skipped; look-alike digits and signs count as letters.
 
 A text's units are its words; single characters in a row ("i d i o t") are one unit, and
 longer runs are cut every ``UNIT`` characters.  Features are, for each landmark, the
@@ -50,7 +50,7 @@ _CODES: np.ndarray | None = None
 
 
 def _codes() -> np.ndarray:
-    """Symbol of every code point: 0 a gap, 1 to 26 the letters a to z, the rest shared by other letters."""
+    """Symbol of every code point: 0 none, 1 to 26 the letters a to z, the rest shared by other letters."""
     global _CODES
     if _CODES is None:
         table = np.zeros(0x110000, dtype=np.uint8)
@@ -77,16 +77,13 @@ def units(texts: list[str], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     inner = np.zeros(len(flat), dtype=bool)
     inner[1:-1] = blank[1:-1] & single[:-2] & single[2:] & (owner[:-2] == owner[2:])
     border = blank & ~inner
-    run = np.cumsum(border)
-    start = np.zeros(len(flat), dtype=np.int64)
-    at = np.flatnonzero(border)
-    start[at] = at + 1
-    start = np.maximum.accumulate(start)
-    keep = ~border
-    place = (np.arange(len(flat)) - start)[keep] // UNIT
-    run, owner = run[keep], owner[keep]
+    # Only letters count; signs between them are no distance.
+    keep = ~border & (codes[flat] > 0)
+    run, owner = np.cumsum(border)[keep], owner[keep]
     if not len(run):
         return np.empty(0, np.uint8), np.empty(0, np.int64), np.empty(0, np.int64)
+    first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+    place = (np.arange(len(run)) - np.repeat(first, np.diff(np.append(first, len(run))))) // UNIT
     new = np.concatenate([[True], (run[1:] != run[:-1]) | (place[1:] != place[:-1])])
     return codes[flat[keep]], np.cumsum(new) - 1, owner[new]
 

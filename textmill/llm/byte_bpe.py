@@ -34,11 +34,11 @@ from pyspark.sql import types as T
 TABLE_WORDS = 400_000
 FOLD_BYTES = 512
 SLICE_WORDS = 200_000
-# Ids have 17 bits at most; this one stands for "no such pair".
-NO_RANK = 1 << 17
+# Ids have 17 bits at most.  The order of a pair is twice its rank, plus one if the merged
+# piece has splits that can overlap; this number stands for "no such pair".
+_ID_BITS = 17
+NO_PAIR = 1 << (_ID_BITS + 1)
 _BIG = 1 << 40
-# A place in a word that the fold merges takes this many bits.
-_PLACE_BITS = 10
 
 # White space as the rank files' pattern means it (Unicode White_Space).
 _SPACE = r"\x09-\x0D\x20\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
@@ -55,7 +55,7 @@ def load_pieces(path: str) -> tuple[bytes, ...]:
     """The pieces of a rank file in rank order."""
     with open(path, "rb") as lines:
         ranked = {int(rank): base64.b64decode(piece) for piece, rank in map(bytes.split, lines)}
-    if sorted(ranked) != list(range(len(ranked))) or len(ranked) >= NO_RANK:
+    if sorted(ranked) != list(range(len(ranked))) or len(ranked) >= 1 << _ID_BITS:
         raise ValueError(f"{path} does not rank its pieces from 0 on")
     return tuple(ranked[i] for i in range(len(ranked)))
 
@@ -74,15 +74,23 @@ def pair_ranks(pieces: tuple[bytes, ...]) -> dict[tuple[int, int], int]:
 
 @lru_cache(maxsize=4)
 def rank_table(path: str) -> tuple[list[int], list[int]]:
-    """``shift`` per left piece and ``cells``: the cell at ``shift[a] + b`` holds ``a`` and the rank.
+    """``shift`` per left piece and ``cells``: the cell at ``shift[a] + b`` holds ``a`` and the pair's order.
 
     Rows of the sparse pair matrix are laid over each other, longest first, each at the
     first place where none of its cells is taken.
     """
     pieces = load_pieces(path)
+    pairs = pair_ranks(pieces)
+    splits: dict[int, tuple[set[int], set[int]]] = {}
+    for (left, right), rank in pairs.items():
+        lefts, rights = splits.setdefault(rank, (set(), set()))
+        lefts.add(left)
+        rights.add(right)
+    # Pairs (x, y) and (y, z) of one rank overlap; with one split only, the order by id is the order by place.
+    odd = {rank for rank, (lefts, rights) in splits.items() if len(lefts) > 1 and lefts & rights}
     rows: dict[int, list[tuple[int, int]]] = {}
-    for (left, right), rank in pair_ranks(pieces).items():
-        rows.setdefault(left, []).append((right, rank))
+    for (left, right), rank in pairs.items():
+        rows.setdefault(left, []).append((right, 2 * rank + (rank in odd)))
     cells = np.full(16 * len(pieces) + (1 << 16), -1, dtype=np.int64)
     free = np.ones(len(cells), dtype=bool)
     shift = [0] * len(pieces)
@@ -102,8 +110,8 @@ def rank_table(path: str) -> tuple[list[int], list[int]]:
         low[len(row)] = place + int(columns.min())
         shift[left] = place
         free[place + columns] = False
-        for right, rank in row:
-            cells[place + right] = left * NO_RANK + rank
+        for right, order in row:
+            cells[place + right] = left * NO_PAIR + order
     top = int(np.flatnonzero(cells >= 0).max()) + 1 if len(rows) else 0
     return shift, cells[: top + len(pieces)].tolist()
 
@@ -116,43 +124,50 @@ def _let(value: Column, use) -> Column:
 def fold_merges(symbols: Column, shift: Column, cells: Column) -> Column:
     """Ids of one word, given the ids of its single bytes.
 
-    The state is the id array and the ranks of its adjacent pairs; a step merges the
-    first pair of lowest rank and looks up the two pairs that this makes new.
+    The state is one number a symbol: the order of the pair that begins there, above the
+    symbol's id.  A step merges the first pair of lowest order and looks up the two pairs
+    that this makes new.
     """
-    nothing = F.array().cast("array<int>")
+    top = F.lit((1 << _ID_BITS) - 1).cast("long")
 
-    def rank(left: Column, right: Column) -> Column:
-        # A cell of another row gives a difference below 0 or beyond the largest rank.
-        found = F.get(cells, F.get(shift, left) + right) - left * F.lit(NO_RANK).cast("long")
-        return F.least(F.pmod(found, F.lit(_BIG)), F.lit(NO_RANK).cast("long")).cast("int")
+    def order(left: Column, right: Column) -> Column:
+        # A cell of another row gives a difference below 0 or beyond the largest order.
+        found = F.get(cells, (F.get(shift, left.cast("int")) + right).cast("int")) - left * F.lit(NO_PAIR).cast("long")
+        return F.least(F.pmod(found, F.lit(_BIG)), F.lit(NO_PAIR).cast("long"))
 
-    def step(state: Column, _: Column) -> Column:
-        ids, ranks = state["ids"], state["ranks"]
-
-        def merge(at: Column, best: Column) -> Column:
-            n = F.size(ids)
-            before = F.when(at > 1, F.array(rank(F.get(ids, at - 2), best))).otherwise(nothing)
-            after = F.when(at + 1 < n, F.array(rank(best, F.get(ids, at + 1)))).otherwise(nothing)
-            return F.struct(
-                F.concat(F.slice(ids, F.lit(1), at - 1), F.array(best), F.slice(ids, at + 2, n)).alias("ids"),
-                F.concat(
-                    F.slice(ranks, F.lit(1), F.greatest(at - 2, F.lit(0))), before, after, F.slice(ranks, at + 2, n)
-                ).alias("ranks"),
-            )
+    def packed(left: Column, right: Column) -> Column:
+        return F.shiftleft(order(left, right), _ID_BITS).bitwiseOR(left)
+
+    def alone(x: Column) -> Column:
+        return x.bitwiseOR(F.lit(NO_PAIR << _ID_BITS))
 
+    def merge(state: Column, at: Column, best: Column) -> Column:
+        right = F.get(state, at + 1)
+        whole = F.when(right.isNull(), alone(best)).otherwise(packed(best, right.bitwiseAND(top)))
+        left = F.get(state, at - 2).bitwiseAND(top)
+        return F.concat(
+            F.slice(state, F.lit(1), F.greatest(at - 2, F.lit(0))),
+            F.when(at > 1, F.array(packed(left, best), whole)).otherwise(F.array(whole)),
+            F.slice(state, at + 2, F.size(state)),
+        )
+
+    def step(state: Column, _: Column) -> Column:
         def lowest(low: Column) -> Column:
-            # Rank and place of the first lowest pair in one number.
-            best, at = F.shiftright(low, _PLACE_BITS), low.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)) + 1
-            return F.when(best >= NO_RANK, state).otherwise(merge(at, best))
+            first = F.shiftright(low, _ID_BITS)
+            # An odd order marks a piece whose splits can overlap: then the leftmost place counts, not the id.
+            place = F.when(
+                first % 2 == 1, F.array_position(F.transform(state, lambda x: F.shiftright(x, _ID_BITS)), first)
+            ).otherwise(F.array_position(state, low))
+            merged = _let(place.cast("int"), lambda at: merge(state, at, F.shiftright(low, _ID_BITS + 1)))
+            return F.when(low >= F.lit(NO_PAIR << _ID_BITS), state).otherwise(merged)
 
-        placed = F.transform(ranks, lambda r, i: F.shiftleft(r, _PLACE_BITS).bitwiseOR(i))
-        return _let(F.coalesce(F.array_min(placed), F.lit(NO_RANK << _PLACE_BITS)), lowest)
+        return _let(F.array_min(state), lowest)
 
-    rest = F.size(symbols) - 1
-    pairs = F.zip_with(F.slice(symbols, F.lit(1), rest), F.slice(symbols, F.lit(2), rest), rank)
-    start = F.struct(symbols.alias("ids"), pairs.alias("ranks"))
-    folded = _let(start, lambda s: F.aggregate(s["ranks"], s, step, lambda done: done["ids"]))
-    return F.when(F.size(symbols) < 2, symbols).otherwise(folded)
+    n = F.size(symbols)
+    pairs = F.zip_with(F.slice(symbols, F.lit(1), n - 1), F.slice(symbols, F.lit(2), n - 1), packed)
+    start = F.concat(pairs, F.array(alone(F.get(symbols, n - 1))))
+    ids = F.aggregate(pairs, start, step, lambda done: F.transform(done, lambda x: x.bitwiseAND(top)))
+    return F.when(n < 2, symbols).otherwise(ids)
 
 
 def heap_merges(symbols: list[int], pairs: dict[tuple[int, int], int]) -> list[int]:
@@ -185,8 +200,11 @@ def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total, dtype=np.int64)
 
 
-def _number_words(passed: list[str], byte_ids: np.ndarray, schema: pa.Schema):
-    """Replace the word arrays by numbers; new words go out with the batch's first row."""
+def _number_words(passed: list[str], byte_ids: np.ndarray, ids: dict[bytes, int], schema: pa.Schema):
+    """Replace the word arrays by numbers; new words go out with the batch's first row.
+
+    A word that is a piece is its id; no merge is looked for there.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
@@ -214,13 +232,20 @@ def _number_words(passed: list[str], byte_ids: np.ndarray, schema: pa.Schema):
                     numbers[k] = at
                 codes = numbers[flat.indices.to_numpy(zero_copy_only=False)] if len(flat) else numbers
                 offsets = np.concatenate([[0], np.cumsum(counts[end - batch.num_rows : end])]).astype(np.int32)
-                short = [b"" if len(w) > FOLD_BYTES else w for w in fresh]
-                ends = np.concatenate([[0], np.cumsum([len(w) for w in short])]).astype(np.int32)
-                symbols = byte_ids[np.frombuffer(b"".join(short), dtype=np.uint8)]
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(symbols))
+                symbols, ends = [], [0]
+                for word in fresh:
+                    if word in ids:
+                        symbols.append(np.array([ids[word]], dtype=np.int64))
+                    elif len(word) <= FOLD_BYTES:
+                        symbols.append(byte_ids[np.frombuffer(word, dtype=np.uint8)])
+                    else:
+                        symbols.append(byte_ids[:0])
+                    ends.append(ends[-1] + len(symbols[-1]))
+                flat_symbols = np.concatenate([byte_ids[:0], *symbols])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat_symbols))
                 n = batch.num_rows
                 first = np.concatenate([[0, len(fresh)], np.full(n - 1, len(fresh))]).astype(np.int32)
-                long_words = [w for w in fresh if len(w) > FOLD_BYTES]
+                long_words = [w for w in fresh if len(w) > FOLD_BYTES and w not in ids]
                 columns = [batch.column(c) for c in passed] + [
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(codes)),
                     pa.ListArray.from_arrays(pa.array(first), lists),
@@ -315,7 +340,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", decoded:
     pieces = load_pieces(path)
     shift, cells = rank_table(path)
     ids = {piece: i for i, piece in enumerate(pieces)}
-    byte_ids = np.array([ids[bytes([b])] for b in range(256)], dtype=np.int32)
+    byte_ids = np.array([ids[bytes([b])] for b in range(256)], dtype=np.int64)
     spark = df.sparkSession
     shared = spark.sparkContext.broadcast((pieces, pair_ranks(pieces)))
 
@@ -324,15 +349,21 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", decoded:
     words = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(java_pattern(pattern)), F.lit(0))
     split = df.select(*[F.col(f"`{c}`") for c in passed], words.alias("_words"))
 
-    ints = T.ArrayType(T.IntegerType())
+    ints, longs = T.ArrayType(T.IntegerType()), T.ArrayType(T.LongType())
     numbered = [
         *kept,
         T.StructField("_codes", ints),
-        T.StructField("_fresh", T.ArrayType(ints)),
+        T.StructField("_fresh", T.ArrayType(longs)),
         T.StructField("_long", T.ArrayType(T.BinaryType())),
         T.StructField("_base", T.IntegerType()),
     ]
-    coded = split.mapInArrow(_number_words(passed, byte_ids, _arrow(numbered)), T.StructType(numbered))
+    arrow_numbered = _arrow(numbered)
+
+    def number(batches):
+        known = {piece: i for i, piece in enumerate(shared.value[0])}
+        return _number_words(passed, byte_ids, known, arrow_numbered)(batches)
+
+    coded = split.mapInArrow(number, T.StructType(numbered))
 
     shifts = F.from_json(F.lit(json.dumps(shift)), "array<int>")
     table = F.from_json(F.lit(json.dumps(cells)), "array<bigint>")

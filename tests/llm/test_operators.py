@@ -83,6 +83,16 @@ def test_word_table_starts_anew(spark, coder, monkeypatch):
         assert list(struct.unpack(f"<{r.n_tokens}I", r.token_ids)) == coder.encode_ordinary(dict(rows)[r.doc_id])
 
 
+@pytest.mark.parametrize("docs, words", [(10**6, 10**6), (10**6, 2), (10**6, 0), (1, 10**6)])
+def test_common_words_change_nothing(spark, coder, monkeypatch, docs, words):
+    monkeypatch.setattr(byte_bpe, "COMMON_DOCS", docs)
+    monkeypatch.setattr(byte_bpe, "COMMON_WORDS", words)
+    rows = [(i, f"Zwirblung quorfled Zwirblung x{i} Zwirblung quorfled {'na' * 300} unzusammen") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for r in byte_bpe.encode(df, RANKS, PATTERN).collect():
+        assert np.frombuffer(r.token_ids, dtype="<u4").tolist() == coder.encode_ordinary(rows[r.doc_id][1])
+
+
 def test_length_histogram(odd, none, coder):
     lengths = sorted(len(coder.encode_ordinary(t or "")) for _, t in ODD)
     bars = token_counts.histogram(token_counts.lengths(odd, RANKS, PATTERN)).collect()

@@ -1,14 +1,18 @@
 """Byte-level BPE: encode texts by a rank file and decode ids back to bytes.
 
-Encoding runs in one stage without a shuffle:
+Encoding runs in one stage without a shuffle of texts:
 
 1. a regular expression cuts the text into words (JVM);
 2. each task numbers the distinct words it meets and passes every word on once, as the
-   array of its bytes;
+   array of its bytes; pieces and common words have a number and ids beforehand;
 3. a fold of higher-order functions merges the adjacent pair of lowest rank until no pair
    has a rank.  The rank map is a literal: pair (a, b) is looked up at ``shift[a] + b``;
 4. each document's word numbers are replaced by the ids of the words.
 
+Common words are folded once for all tasks: those that occur at least twice in about
+``COMMON_DOCS`` documents, ``COMMON_WORDS`` at most.  They are broadcast with their ids.  This only
+saves folds: a word that is not among them gets the same ids in its task.
+
 The words of a task come before the documents that use them, so the table of a task is
 built once and stays bounded: after ``TABLE_WORDS`` distinct words both sides start anew.
 
@@ -22,6 +26,7 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,6 +36,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textmill.session import cut_lineage
+
+COMMON_DOCS = 24_000
+COMMON_WORDS = 500_000
 TABLE_WORDS = 400_000
 FOLD_BYTES = 512
 SLICE_WORDS = 200_000
@@ -200,14 +209,19 @@ def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total, dtype=np.int64)
 
 
-def _number_words(passed: list[str], byte_ids: np.ndarray, ids: dict[bytes, int], schema: pa.Schema):
-    """Replace the word arrays by numbers; new words go out with the batch's first row.
+def _byte_lists(words: list[bytes], byte_ids: np.ndarray) -> pa.ListArray:
+    """The ids of each word's bytes; a word beyond the fold's length has an empty list."""
+    folded = [w if len(w) <= FOLD_BYTES else b"" for w in words]
+    ends = np.cumsum([0, *map(len, folded)])
+    flat = byte_ids[np.frombuffer(b"".join(folded), dtype=np.uint8)]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
 
-    A word that is a piece is its id; no merge is looked for there.
-    """
+
+def _number_words(passed: list[str], byte_ids: np.ndarray, common: dict[bytes, int], schema: pa.Schema):
+    """Replace the word arrays by numbers; new words go out with the batch's first row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
+        known = dict(common)
         for whole in batches:
             words = whole.column("_words")
             counts = np.diff(words.offsets.to_numpy())
@@ -220,9 +234,9 @@ def _number_words(passed: list[str], byte_ids: np.ndarray, ids: dict[bytes, int]
                 held = batch.column("_words")
                 flat = held.flatten().cast(pa.binary()).dictionary_encode()
                 distinct = flat.dictionary.to_pylist()
-                if len(known) + len(distinct) > TABLE_WORDS:
-                    known = {}
-                base, fresh = len(known), []
+                if len(known) + len(distinct) > len(common) + TABLE_WORDS:
+                    known = dict(common)
+                base, fresh = len(known) - len(common), []
                 numbers = np.empty(len(distinct), dtype=np.int32)
                 for k, word in enumerate(distinct):
                     at = known.get(word)
@@ -232,20 +246,10 @@ def _number_words(passed: list[str], byte_ids: np.ndarray, ids: dict[bytes, int]
                     numbers[k] = at
                 codes = numbers[flat.indices.to_numpy(zero_copy_only=False)] if len(flat) else numbers
                 offsets = np.concatenate([[0], np.cumsum(counts[end - batch.num_rows : end])]).astype(np.int32)
-                symbols, ends = [], [0]
-                for word in fresh:
-                    if word in ids:
-                        symbols.append(np.array([ids[word]], dtype=np.int64))
-                    elif len(word) <= FOLD_BYTES:
-                        symbols.append(byte_ids[np.frombuffer(word, dtype=np.uint8)])
-                    else:
-                        symbols.append(byte_ids[:0])
-                    ends.append(ends[-1] + len(symbols[-1]))
-                flat_symbols = np.concatenate([byte_ids[:0], *symbols])
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat_symbols))
+                lists = _byte_lists(fresh, byte_ids)
                 n = batch.num_rows
                 first = np.concatenate([[0, len(fresh)], np.full(n - 1, len(fresh))]).astype(np.int32)
-                long_words = [w for w in fresh if len(w) > FOLD_BYTES and w not in ids]
+                long_words = [w for w in fresh if len(w) > FOLD_BYTES]
                 columns = [batch.column(c) for c in passed] + [
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(codes)),
                     pa.ListArray.from_arrays(pa.array(first), lists),
@@ -260,10 +264,10 @@ def _number_words(passed: list[str], byte_ids: np.ndarray, ids: dict[bytes, int]
 class _WordTable:
     """Ids of the words numbered so far, as one flat array."""
 
-    def __init__(self) -> None:
-        self.ids = np.empty(0, dtype=np.int32)
-        self.starts = np.empty(0, dtype=np.int64)
-        self.lengths = np.empty(0, dtype=np.int64)
+    def __init__(self, ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.ids = ids
+        self.starts = np.cumsum(lengths) - lengths
+        self.lengths = lengths
 
     def add(self, words: list[np.ndarray], lengths: np.ndarray) -> None:
         starts = len(self.ids) + np.cumsum(lengths) - lengths
@@ -272,11 +276,11 @@ class _WordTable:
         self.lengths = np.concatenate([self.lengths, lengths])
 
 
-def _place_ids(passed: list[str], pieces, pairs, byte_ids: np.ndarray, schema: pa.Schema, decoded: bool):
+def _place_ids(passed: list[str], pieces, pairs, common, byte_ids: np.ndarray, schema: pa.Schema, decoded: bool):
     """Replace word numbers by ids, packed as little-endian unsigned 32-bit integers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _WordTable()
+        table = _WordTable(*common)
         for whole in batches:
             bases = whole.column("_base").to_pylist()
             marks = [i for i, b in enumerate(bases) if b is not None]
@@ -285,7 +289,7 @@ def _place_ids(passed: list[str], pieces, pairs, byte_ids: np.ndarray, schema: p
                 batch = whole.slice(begin, end - begin)
                 if bases[begin] is not None:
                     if bases[begin] == 0:
-                        table = _WordTable()
+                        table = _WordTable(*common)
                     fresh = batch.column("_merged").slice(0, 1).flatten()
                     lengths = np.diff(fresh.offsets.to_numpy()).astype(np.int64)
                     parts = [fresh.flatten().to_numpy(zero_copy_only=False).astype(np.int32)]
@@ -332,23 +336,108 @@ def _free(df: DataFrame, *names: str) -> list[str]:
     return [c for c in df.columns if c not in names]
 
 
+def _folds(words: Column, path: str) -> Column:
+    """Ids of every word of an array, given the ids of its bytes."""
+    shift, cells = rank_table(path)
+    shifts = F.from_json(F.lit(json.dumps(shift)), "array<int>")
+    table = F.from_json(F.lit(json.dumps(cells)), "array<bigint>")
+    # Bound once: the large literals then stand in the expression once.
+    return _let(
+        shifts,
+        lambda places: _let(table, lambda ranks: F.transform(words, lambda word: fold_merges(word, places, ranks))),
+    )
+
+
+def _count_words(ids: dict[bytes, int]):
+    """How often each word occurs that is no piece, summed up within a task as far as the table's bound allows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[bytes] = Counter()
+
+        def flushed() -> pa.RecordBatch:
+            made = pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())
+            counts.clear()
+            return pa.RecordBatch.from_arrays(list(made), names=["word", "n"])
+
+        for batch in batches:
+            met = batch.column(0).flatten().cast(pa.binary()).value_counts()
+            words, numbers = met.field("values").to_pylist(), met.field("counts").to_pylist()
+            counts.update({w: k for w, k in zip(words, numbers) if w not in ids and len(w) <= FOLD_BYTES})
+            if len(counts) > TABLE_WORDS:
+                yield flushed()
+        yield flushed()
+
+    return run
+
+
+def common_words(split: DataFrame, path: str) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Words to fold beforehand with all their ids in a row and the number of ids of each.
+
+    ``split`` has one column, the array of a document's words.  The words come from a sample
+    of bounded expected size; those of the smallest count are left out as a whole where
+    there would be more than ``COMMON_WORDS``.
+    """
+    nothing = [], np.empty(0, dtype=np.int32), np.empty(0, dtype=np.int64)
+    total = split.count()
+    if total == 0:
+        return nothing
+    pieces = load_pieces(path)
+    ids = {piece: i for i, piece in enumerate(pieces)}
+    byte_ids = np.array([ids[bytes([b])] for b in range(256)], dtype=np.int64)
+    shared = split.sparkSession.sparkContext.broadcast(ids)
+    taken = split if total <= COMMON_DOCS else split.sample(COMMON_DOCS / total, seed=1)
+
+    def count(batches):
+        return _count_words(shared.value)(batches)
+
+    counted = taken.mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    stored = cut_lineage(counted.filter("n > 1"), "words")
+    least, held = None, 0
+    # One row for each number of occurrences in the sample.
+    for n, words in sorted(map(tuple, stored.groupBy("n").agg(F.count("*")).collect()), reverse=True):
+        held += words
+        if held > COMMON_WORDS:
+            break
+        least = n
+    if least is None:
+        return nothing
+
+    def symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = _byte_lists(batch.column(0).to_pylist(), byte_ids)
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["word", "symbols"])
+
+    spelt = stored.filter(F.col("n") >= least).select("word").mapInArrow(symbols, "word binary, symbols array<bigint>")
+    folded = spelt.select("word", F.get(_folds(F.array("symbols"), path), F.lit(0)).cast("array<int>").alias("ids")).toArrow()
+    lists = folded.column("ids").combine_chunks()
+    lengths = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+    return folded.column("word").to_pylist(), lists.flatten().to_numpy().astype(np.int32), lengths
+
+
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", decoded: bool = False) -> DataFrame:
     """Adds ``n_tokens`` and ``token_ids`` (packed, 4 bytes an id), with ``decoded`` also the bytes the ids stand for.
 
     The column ``text`` is replaced by these; a column with an output's name is replaced too.
     """
     pieces = load_pieces(path)
-    shift, cells = rank_table(path)
     ids = {piece: i for i, piece in enumerate(pieces)}
     byte_ids = np.array([ids[bytes([b])] for b in range(256)], dtype=np.int64)
-    spark = df.sparkSession
-    shared = spark.sparkContext.broadcast((pieces, pair_ranks(pieces)))
 
     passed = _free(df, text, "n_tokens", "token_ids", "decoded")
     kept = [df.schema[c] for c in passed]
     words = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(java_pattern(pattern)), F.lit(0))
     split = df.select(*[F.col(f"`{c}`") for c in passed], words.alias("_words"))
 
+    # Pieces are numbered by their rank, common words after them.
+    frequent, frequent_ids, frequent_lengths = common_words(df.select(words.alias("_words")), path)
+    context = df.sparkSession.sparkContext
+    spelt = context.broadcast([*pieces, *frequent])
+    start = (
+        np.concatenate([np.arange(len(pieces), dtype=np.int32), frequent_ids]),
+        np.concatenate([np.ones(len(pieces), dtype=np.int64), frequent_lengths]),
+    )
+    shared = context.broadcast((pieces, pair_ranks(pieces), start))
+
     ints, longs = T.ArrayType(T.IntegerType()), T.ArrayType(T.LongType())
     numbered = [
         *kept,
@@ -360,23 +449,15 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", decoded:
     arrow_numbered = _arrow(numbered)
 
     def number(batches):
-        known = {piece: i for i, piece in enumerate(shared.value[0])}
-        return _number_words(passed, byte_ids, known, arrow_numbered)(batches)
+        common = {word: i for i, word in enumerate(spelt.value)}
+        return _number_words(passed, byte_ids, common, arrow_numbered)(batches)
 
     coded = split.mapInArrow(number, T.StructType(numbered))
 
-    shifts = F.from_json(F.lit(json.dumps(shift)), "array<int>")
-    table = F.from_json(F.lit(json.dumps(cells)), "array<bigint>")
     merged = coded.select(
         *[F.col(f"`{c}`") for c in passed],
         "_codes",
-        # Bound once: the large literals then stand in the expression once.
-        _let(
-            shifts,
-            lambda places: _let(
-                table, lambda ranks: F.transform("_fresh", lambda word: fold_merges(word, places, ranks))
-            ),
-        ).alias("_merged"),
+        _folds(F.col("_fresh"), path).alias("_merged"),
         "_long",
         "_base",
     )
@@ -386,8 +467,8 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", decoded:
     arrow = _arrow(result)
 
     def place(batches):
-        known, pairs = shared.value
-        return _place_ids(passed, known, pairs, byte_ids, arrow, decoded)(batches)
+        known, pairs, common = shared.value
+        return _place_ids(passed, known, pairs, common, byte_ids, arrow, decoded)(batches)
 
     return merged.mapInArrow(place, T.StructType(result))
 

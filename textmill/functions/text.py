@@ -57,7 +57,7 @@ def strip(c: ColumnOrName) -> Column:
 
 
 def strip_cr(c: ColumnOrName) -> Column:
-    return F.translate(col(c), "\r", "")
+    return F.replace(col(c), F.lit("\r"), F.lit(""))
 
 
 def to_zh_punct(c: ColumnOrName) -> Column:

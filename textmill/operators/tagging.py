@@ -90,7 +90,7 @@ def label_inventory(sentences: DataFrame, labels: str = "labels") -> DataFrame:
     # The label set is a small closed vocabulary: one ordered list, numbered.
     listed = distinct.agg(F.sort_array(F.collect_set("label")).alias("all"))
     return listed.select(F.posexplode("all").alias("label_id", "label")).withColumn(
-        "type", F.when(F.length("label") > 1, F.substring("label", 3, 1000))
+        "type", F.when(F.length("label") > 1, F.substring("label", F.lit(3), F.length("label")))
     )
 
 

@@ -176,3 +176,13 @@ def test_quantisation(spark):
     assert Q.quantize_tensor(df).first()["embedding"] == [0, 50, 127]
     zero = vectors(spark, "id", [(1, [0.0, 0.0])])
     assert zero.select(l2_normalise("embedding")).first()[0] == [0.0, 0.0]
+
+
+def test_near_distances_keep_their_digits():
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(40, 16))
+    batch = np.concatenate([vectors, vectors[:10] + 1e-6, vectors[:10] + 1e-4, rng.normal(size=(30, 16))])
+    exact = np.sqrt(((batch[:, None, :] - vectors[None, :, :]) ** 2).sum(-1))
+    near = R._near(vectors, batch)
+    assert (near[np.arange(40), np.arange(40)] == 0).all()
+    assert np.abs(near - exact).max() <= 10.0**-R.DIGITS

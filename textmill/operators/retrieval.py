@@ -131,6 +131,8 @@ HIT_SCHEMA = "query_id long, chunk_id long, score double"
 
 # Scores one task may hold at a time.
 MAX_SCORES = 4_000_000
+# Share of the squared lengths below which a squared distance is computed from the differences.
+_CANCELLED = 1e-5
 
 
 def _slice_rows(width: int, most: int = 512) -> int:
@@ -172,9 +174,20 @@ def knn(
 
 
 def _near(vectors: np.ndarray, batch: np.ndarray) -> np.ndarray:
-    """Distances rounded as the result is, so equal distances tie in every batch."""
-    squared = (batch**2).sum(1)[:, None] - 2.0 * batch @ vectors.T + (vectors**2).sum(1)[None, :]
-    return np.round(np.sqrt(np.maximum(squared, 0.0)), DIGITS)
+    """Distances rounded as the result is, so equal distances tie in every batch.
+
+    The product form loses all digits of a small distance; pairs whose square is small against
+    the lengths are computed again from the differences.
+    """
+    lengths = (batch**2).sum(1)[:, None] + (vectors**2).sum(1)[None, :]
+    squared = np.maximum(lengths - 2.0 * batch @ vectors.T, 0.0)
+    rows, cols = np.nonzero(squared < _CANCELLED * lengths)
+    # Slices keep the differences as small as the scores of a task.
+    step = max(1, MAX_SCORES // max(vectors.shape[1], 1))
+    for at in range(0, len(rows), step):
+        r, c = rows[at : at + step], cols[at : at + step]
+        squared[r, c] = ((batch[r] - vectors[c]) ** 2).sum(1)
+    return np.round(np.sqrt(squared), DIGITS)
 
 
 def _distance_pass(query_ids: np.ndarray, vectors: np.ndarray, k: int) -> Callable:

@@ -69,7 +69,8 @@ def decompose_answer(
     question: str = "question",
 ) -> DataFrame:
     """Sub-questions are answered on their own, then merged into one answer."""
-    lines = generate(questions.select(question_id, question), split, question, "_lines")
+    # A model may answer differently when asked again, so its lines are stored before they are read twice.
+    lines = cut_lineage(generate(questions.select(question_id, question), split, question, "_lines"), "lines")
     subs = lines.select(question_id, F.posexplode(split_queries("_lines")).alias("pos", "sub_question"))
     keyed = subs.withColumn("query_id", F.xxhash64(F.col(question_id), F.col("pos")))
     hits = attach_texts(retriever(keyed.select("query_id", F.col("sub_question").alias("text"))), corpus)
@@ -95,13 +96,14 @@ def route(df: DataFrame, label: str, branches: dict[str, Callable[[DataFrame], D
 
 def hyde(questions: DataFrame, write: Loader, embed_fn: Callable[[DataFrame, str], DataFrame], corpus: DataFrame, k: int = DEFAULT_K, question: str = "question") -> DataFrame:
     """Search with a generated document instead of the question (``query_id`` keyed)."""
-    written = generate(questions, write, question, "hypothetical")
+    written = cut_lineage(generate(questions, write, question, "hypothetical"), "written")
     return knn(embed_fn(written, "hypothetical"), corpus, k)
 
 
 def summary_index(docs: DataFrame, summarise: Loader, embed_fn: Callable[[DataFrame, str], DataFrame], text: str = "text") -> DataFrame:
     """``doc_id, chunk_id, summary, embedding``: one searchable summary per document."""
-    summaries = generate(docs, summarise, text, "summary").select("doc_id", F.col("doc_id").alias("chunk_id"), "summary")
+    made = generate(docs, summarise, text, "summary").select("doc_id", F.col("doc_id").alias("chunk_id"), "summary")
+    summaries = cut_lineage(made, "summaries")
     return embed_fn(summaries, "summary")
 
 
@@ -163,7 +165,8 @@ def corrective_rag(
         still_open = judged.filter(F.col("status") == "open")
         if still_open.isEmpty():
             break
-        state = generate(still_open.select("question_id", "question", "query"), rewrite, "query", "query")
+        rewritten = generate(still_open.select("question_id", "question", "query"), rewrite, "query", "query")
+        state = cut_lineage(rewritten, f"rewritten-{step}")
     result = finished[0]
     for part in finished[1:]:
         result = result.unionByName(part)

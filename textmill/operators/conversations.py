@@ -47,14 +47,14 @@ def fit_history(
 ) -> DataFrame:
     """Newest exchanges whose running cost, with the system part, stays below the budget.
 
-    ``least_cost`` is a lower bound of one row's cost.  At most budget/least_cost
-    rows of a conversation can fit, so older rows are dropped before the shuffle by
+    A row costs ``least_cost`` at least.  At most budget/least_cost rows of a
+    conversation can fit, so older rows are dropped before the shuffle by
     a rank limit; the result is the same and a hot conversation stays bounded.
     """
     newest = Window.partitionBy(conv).orderBy(F.col(turn).desc())
     fitting = max(1, budget // least_cost)
     extra = F.lit(system_cost) if isinstance(system_cost, int) else system_cost
-    priced = turns.withColumn("_cost", cost).withColumn("_extra", extra)
+    priced = turns.withColumn("_cost", F.greatest(cost, F.lit(least_cost))).withColumn("_extra", extra)
     near = priced.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= fitting)
     running = F.sum("_cost").over(newest.rowsBetween(Window.unboundedPreceding, 0))
     return (

@@ -113,14 +113,15 @@ def train_bpe(
 
     The corpus is read once and shrinks to a table of distinct words.  Each round
     counts pairs with map-side sums, brings a fixed number of best pairs to the
-    driver and merges all that are independent.
+    driver and merges all that are independent.  All characters of the corpus are kept; their
+    number is bounded by the code points there are.
     """
     # The rounds work on this table only; deal it out so that every core has a share.
     cores = df.sparkSession.sparkContext.defaultParallelism
     counted = word_counts(df, text).repartition(cores, "word")
     words = cut_lineage(counted.select("freq", _symbols(F.col("word")).alias("symbols")), "words")
     alphabet = [
-        r["c"] for r in words.select(F.explode(F.array_distinct(F.split("symbols", SEPARATOR))).alias("c")).distinct().orderBy("c").limit(vocabulary_size).collect()
+        r["c"] for r in words.select(F.explode(F.array_distinct(F.split("symbols", SEPARATOR))).alias("c")).distinct().collect()
     ]
     vocabulary = Vocabulary([*specials, *sorted(set(alphabet) - set(specials))])
     limit = min(vocabulary_size - len(vocabulary.tokens), max_merges if max_merges is not None else vocabulary_size)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.functions.text import first_sentence, strip
+from textmill.functions.text import strip
 from textmill.operators.conversations import exchanges, first_turn
 from textmill.operators.exploding import explode_structs
 from textmill.operators.filters import article_pages, incubator_pages, restrict_titles
@@ -14,7 +14,7 @@ from textmill.operators.tagging import bio_spans
 from textmill.plans.prepare import PAIR_SPECS, corpus_report, prepare
 from textmill.plans.registered import documents, query, table
 from textmill.plans.registered.chat import EXCHANGES_SQL
-from textmill.plans.registered.corpus import COMPOSE_SQL, HEAD_SQL, INSTRUCTIONS_SQL, TASK_SQL, instruction_rows
+from textmill.plans.registered.corpus import COMPOSE_SQL, INSTRUCTIONS_SQL, TASK_SQL, instruction_rows
 from textmill.plans.registered.sqltext import strip as sql_strip
 from textmill.plans.registered.tags import TAGS_SQL, tagged
 from textmill.session import scratch_path
@@ -179,7 +179,7 @@ def tagged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "wiki_dump_pages",
     f"""
-    SELECT doc_id AS id, source || '/' || lang || '/' || doc_id AS title, md5({sql_strip(HEAD_SQL)}) AS text FROM documents
+    SELECT doc_id AS id, source || '/' || lang || '/' || doc_id AS title, md5({sql_strip("text")}) AS text FROM documents
     WHERE doc_id % 5 <> 0 AND lang <> 'de'
     """,
 )
@@ -192,7 +192,7 @@ def wiki_dump_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("lang") == "de", F.concat(F.lit("Help:"), title)).otherwise(title).alias("title"),
         F.col("doc_id").alias("id"),
         F.when(F.col("doc_id") % 5 == 0, F.struct(F.lit("x").alias("_title"))).alias("redirect"),
-        F.struct(F.col("doc_id").alias("id"), F.struct(strip(first_sentence("text")).alias("_VALUE")).alias("text")).alias("revision"),
+        F.struct(F.col("doc_id").alias("id"), F.struct(strip("text").alias("_VALUE")).alias("text")).alias("revision"),
     )
     pages.write.format("xml").option("rowTag", "page").option("rootTag", "mediawiki").option("compression", "bzip2").save(path)
     kept = article_pages(read_wiki_dump(spark, path))

@@ -339,7 +339,7 @@ def parent_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = explode_items(docs, ["doc_id"], split_overlap("text", 1000, 200), "text")
     keyed = pieces.select((F.col("doc_id") * 1_000_000 + F.col("pos")).alias("chunk_id"), "text")
     hits = bm25_search(passages(spark, sf_dir), lexical_docs(keyed, "chunk_id", "text"), 8)
-    owned = hits.withColumn("doc_id", F.floor(F.col("chunk_id") / F.lit(1_000_000)).cast("long"))
+    owned = hits.withColumn("doc_id", F.expr("chunk_id div 1000000"))
     parents = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
     return expand_to_parent(owned, parents).withColumn("score", F.round("score", 6))
 

@@ -4,7 +4,7 @@ Texts are encoded in tasks and counted by length before the shuffle.  The histog
 row for each length that occurs, so it is small against the corpus; suffix sums over it
 give documents and tokens at or beyond a length and the total when all documents are
 cut at that length.  Sums run over ranges of ``RANGE`` lengths and then over the ranges, so
-no window holds more than a range.
+no window holds more than a range.  The histogram is stored once, as both read it.
 
 Null and empty texts have length 0.  An empty table gives an empty histogram.
 """
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textmill.llm.byte_bpe import load_pieces
+from textmill.session import cut_lineage
 
 RANGE = 1024
 # Longer runs of white space are beyond the pattern engine's stack.
@@ -60,8 +61,8 @@ def histogram(counted: DataFrame, length: str = "n_tokens") -> DataFrame:
     up to it; ``truncated_tokens`` is the total when every document is cut at this length and
     ``lost_tokens`` what that drops; ``rank`` is the share of documents up to it.
     """
-    bars = counted.groupBy(F.col(length).alias("length")).agg(F.count("*").alias("documents"))
-    bars = bars.withColumn("_range", F.floor(F.col("length") / RANGE)).withColumn("_tokens", F.col("length") * F.col("documents"))
+    counts = counted.groupBy(F.col(length).alias("length")).agg(F.count("*").alias("documents"))
+    bars = cut_lineage(counts, "lengths").withColumn("_range", F.floor(F.col("length") / RANGE)).withColumn("_tokens", F.col("length") * F.col("documents"))
     totals = bars.groupBy("_range").agg(F.sum("documents").alias("_d"), F.sum("_tokens").alias("_t"))
     # One row for each range of lengths.
     later = Window.orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)

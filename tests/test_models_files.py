@@ -280,3 +280,11 @@ def test_headline_plans_have_no_cross_join(spark):
     for name in ("clean_dedup_report", "packed_groups", "exact_dedup", "tagged_spans", "fused_hits", "chat_prompts"):
         plan = queries[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_route_keeps_unlisted_and_missing_labels(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "c")], "id long, label string")
+    branches = {name: lambda d, name=name: d.select("id", F.lit(name).alias("by")) for name in "ab"}
+    sent = S.route(rows, "label", branches, lambda d: d.select("id", F.lit("rest").alias("by")))
+    assert sorted(map(tuple, sent.collect())) == [(1, "a"), (2, "b"), (3, "rest"), (4, "rest")]
+    assert sorted(r.id for r in S.route(rows, "label", branches).collect()) == [1, 2]

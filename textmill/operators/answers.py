@@ -85,9 +85,20 @@ def decompose_answer(
     return call_model(questions.join(context, question_id), merge, [question, "context"], "generation", T.StringType())
 
 
-def route(df: DataFrame, label: str, branches: dict[str, Callable[[DataFrame], DataFrame]]) -> DataFrame:
-    """Send rows to the branch of their label and union the results (one schema)."""
+def route(
+    df: DataFrame,
+    label: str,
+    branches: dict[str, Callable[[DataFrame], DataFrame]],
+    otherwise: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """Send rows to the branch of their label and union the results (one schema).
+
+    Rows with another label or none go to ``otherwise``; without it they are left out.
+    """
     parts = [branch(df.filter(F.col(label) == name)) for name, branch in branches.items()]
+    if otherwise is not None:
+        listed = F.coalesce(F.col(label).isin(*branches), F.lit(False))
+        parts.append(otherwise(df.filter(~listed)))
     union = parts[0]
     for part in parts[1:]:
         union = union.unionByName(part)

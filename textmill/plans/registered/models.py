@@ -107,7 +107,7 @@ def verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "routed_documents",
     """
-    SELECT doc_id, CASE WHEN lang = 'en' THEN upper(source) ELSE lang || ':' || source END AS answer FROM documents WHERE lang IN ('en', 'fr')
+    SELECT doc_id, CASE WHEN lang = 'en' THEN upper(source) WHEN lang = 'fr' THEN lang || ':' || source ELSE lower(source) END AS answer FROM documents
     """,
 )
 def routed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +116,7 @@ def routed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "en": lambda d: d.select("doc_id", F.upper("source").alias("answer")),
         "fr": lambda d: d.select("doc_id", F.concat_ws(":", "lang", "source").alias("answer")),
     }
-    return route(docs, "lang", branches)
+    return route(docs, "lang", branches, lambda d: d.select("doc_id", F.lower("source").alias("answer")))
 
 
 # ---- answers ---------------------------------------------------------------

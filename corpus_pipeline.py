@@ -2,8 +2,8 @@
 
 Each stage is one operator over all rows that the stage before kept; its result is written
 as Parquet and read again.  Null and empty texts pass all stages (as one text: copies of
-it go), repeated rows go as exact copies.  A document of a near-duplicate group goes if its
-id is not the group's smallest; rows without an id stay.
+it go), repeated rows go as exact copies.  Of two near copies (exact similarity of five-word
+shingles 0.8 or more) the one with the larger id goes; no id is the largest.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import byte_bpe, decontaminate, exact_names, simhash_tree, toxicity
+from textmill.llm import byte_bpe, decontaminate, exact_names, near_copies, toxicity
 from textmill.llm.registry import table
 from textmill.session import cut_lineage
 
@@ -29,10 +29,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked fingerprints."""
-    groups = simhash_tree.near_groups(docs)
-    gone = groups.filter("doc_id <> component_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """No two documents that share four fifths of their five-word shingles."""
+    return near_copies.drop_near(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

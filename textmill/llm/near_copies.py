@@ -1,0 +1,156 @@
+"""Near copies by similarity: of rows whose ``WIDTH``-word shingle sets have a Jaccard similarity of ``THRESHOLD`` or more, one stays.
+
+Candidates: rows that share a bucket.  A row's buckets are ``BANDS`` min-hash bands of ``ROWS``
+minima each and the component of its fingerprint under the links of ``simhash_tree`` (BK-trees).
+Two rows at the threshold share no band with probability (1 - 0.8**5)**25, below 0.0001.  SimHash
+alone does not reach that far: such pairs of the given tables differ in up to 14 of 64 bits.
+
+Every candidate is confirmed on the exact shingle sets.  In a small bucket all pairs are
+compared.  In a larger one all rows are compared with its smallest; near copies of that
+go, it leaves the bucket, and the others go on.  So of two rows that stay and share a
+bucket, the similarity is known to be lower, without all pairs of a large group being made.
+
+Shingles are those of ``simhash_tree``; a text without words has one empty shingle.  Rows are told
+apart by a number of their own; smallest is by key (null last).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from textmill.llm.simhash_tree import SEED, components, near_links
+from textmill.session import cut_lineage
+
+WIDTH = 5
+THRESHOLD = 0.8
+BANDS = 25
+ROWS = 5
+# Buckets of at most so many rows are compared pair by pair.
+SMALL = 8
+_AT_ONCE = 1024
+
+
+def shingles(raw: bytes, width: int = WIDTH) -> np.ndarray:
+    """XXH64 of every shingle of a text in UTF-8, in order, repeats included."""
+    words = raw.lower().split()
+    joined = b" ".join(words)
+    ends = np.cumsum([len(w) + 1 for w in words], dtype=np.int64) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1]).tolist()
+    spans = zip(starts, ends[width - 1 :].tolist()) if len(words) >= width else [(0, len(joined))]
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(joined[a:b], SEED) for a, b in spans], dtype="<u8")
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sets (ascending, distinct)."""
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return shared / (len(a) + len(b) - shared)
+
+
+def bands(hashes: np.ndarray) -> list[int]:
+    """Bucket of each min-hash band."""
+    rng = np.random.default_rng(SEED)
+    times = rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    plus = rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
+    low = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for begin in range(0, len(hashes), _AT_ONCE):
+            np.minimum(low, (hashes[begin : begin + _AT_ONCE, None] * times + plus).min(axis=0), out=low)
+    return [xxhash.xxh64_intdigest(low[k * ROWS : (k + 1) * ROWS].tobytes(), k) for k in range(BANDS)]
+
+
+def simhash(hashes: np.ndarray) -> int:
+    counts = np.zeros(64, dtype=np.int64)
+    for begin in range(0, len(hashes), 1 << 16):
+        part = hashes[begin : begin + (1 << 16)]
+        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
+
+
+def _raw(text: str) -> Column:
+    return F.encode(F.coalesce(F.col(text), F.lit("")), "utf-8")
+
+
+def signatures(rows: DataFrame, text: str, width: int) -> DataFrame:
+    """``row, bits, bands`` of every row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints, buckets = [], []
+            for raw in batch.column(1):
+                hashes = shingles(raw.as_py(), width)
+                prints.append(simhash(hashes))
+                buckets.append(np.array(bands(hashes), dtype=np.uint64).view(np.int64))
+            bits = np.array(prints, dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(bits), pa.array(buckets, pa.list_(pa.int64()))], names=["row", "bits", "bands"]
+            )
+
+    return rows.select("row", _raw(text).alias("raw")).mapInArrow(run, "row long, bits long, bands array<long>")
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
+    """The pairs ``a, b`` whose exact similarity reaches the threshold; ``texts`` has ``row, raw``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, own = None, np.empty(0, np.uint64)
+        for batch in batches:
+            left, right, firsts, seconds = batch.columns
+            keep = []
+            for a, x, y in zip(left.to_pylist(), firsts, seconds):
+                if a != known:
+                    known, own = a, np.unique(shingles(x.as_py(), width))
+                keep.append(similarity(own, np.unique(shingles(y.as_py(), width))) >= threshold)
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([left.filter(mask), right.filter(mask)], names=["a", "b"])
+
+    first = texts.select(F.col("row").alias("a"), F.col("raw").alias("x"))
+    second = texts.select(F.col("row").alias("b"), F.col("raw").alias("y"))
+    return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def near_copies(rows: DataFrame, key: str, text: str, width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
+    """``row`` of every row that goes; ``rows`` is stored and has a distinct ``row``."""
+    marks = cut_lineage(signatures(rows, text, width), "signatures")
+    prints = cut_lineage(marks.select("bits").distinct(), "prints")
+    roots = components(near_links(prints))
+    trees = marks.join(roots, marks["bits"] == roots["node"], "left").select("row", F.coalesce("root", "bits").alias("bucket"))
+    listed = cut_lineage(marks.select("row", F.explode("bands").alias("bucket")).unionByName(trees), "buckets")
+    shared = cut_lineage(listed.groupBy("bucket").count().filter("count > 1").select("bucket"), "shared")
+    met = cut_lineage(listed.join(shared, "bucket", "left_semi"), "met")
+    wanted = met.select("row").distinct()
+    texts = cut_lineage(rows.join(wanted, "row", "left_semi").select("row", F.col(key).alias("key"), _raw(text).alias("raw")), "texts")
+    order = F.struct(F.col("key").isNull().alias("none"), F.col("key").alias("key"), F.col("row").alias("row"))
+    entries = cut_lineage(met.join(texts.select("row", order.alias("who")), "row").select("bucket", "who"), "entries")
+    gone = []
+    while True:
+        sizes = entries.groupBy("bucket").agg(F.count("*").alias("n"), F.min("who").alias("low")).filter("n > 1")
+        entries = cut_lineage(entries.join(sizes, "bucket"), "entries")
+        if entries.isEmpty():
+            break
+        rest = entries.filter((F.col("n") > SMALL) & (F.col("who") != F.col("low")))
+        star = rest.select(F.col("low.row").alias("a"), F.col("who.row").alias("b"))
+        small = entries.filter(F.col("n") <= SMALL)
+        one, two = small.select("bucket", F.col("who").alias("p")), small.select("bucket", F.col("who").alias("q"))
+        each = one.join(two, "bucket").filter(F.col("p") < F.col("q")).select(F.col("p.row").alias("a"), F.col("q.row").alias("b"))
+        pairs = cut_lineage(star.unionByName(each), "pairs").distinct()
+        found = cut_lineage(confirmed(pairs, texts, width, threshold).select("b"), "near-copies")
+        gone.append(found)
+        left = rest.join(found.distinct(), F.col("who.row") == F.col("b"), "left_anti")
+        entries = cut_lineage(left.select("bucket", "who"), "entries")
+    empty = rows.select(F.col("row").alias("b")).limit(0)
+    return cut_lineage(reduce(DataFrame.unionByName, gone, empty), "gone").select(F.col("b").alias("row")).distinct()
+
+
+def drop_near(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``df`` that stay, with all their columns."""
+    rows = cut_lineage(df.withColumn("row", F.monotonically_increasing_id()), "rows")
+    gone = near_copies(rows, key, text, width, threshold)
+    return rows.join(gone, "row", "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])

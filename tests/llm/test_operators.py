@@ -311,6 +311,54 @@ def test_license_rules(spark, none):
     assert licenses.scan(none).count() == 0
 
 
+def _sample(tree, rng):
+    """A string that a parsed pattern matches, look-arounds left out."""
+    out = ""
+    for op, value in tree:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(value)
+        elif op in ("ANY", "NOT_LITERAL"):
+            out += "#"
+        elif op == "IN":
+            kind, what = value[int(rng.integers(len(value)))]
+            out += {"LITERAL": lambda: chr(what), "NEGATE": lambda: "#", "CATEGORY": lambda: _category(what, rng)}[str(kind)]()
+        elif op == "BRANCH":
+            out += _sample(value[1][int(rng.integers(len(value[1])))], rng)
+        elif op == "SUBPATTERN":
+            out += _sample(value[3], rng)
+        elif op in ("MAX_REPEAT", "MIN_REPEAT"):
+            low, high, part = value
+            out += "".join(_sample(part, rng) for _ in range(int(rng.integers(low, min(int(high), low + 1) + 1))))
+        else:
+            assert op in ("ASSERT", "ASSERT_NOT", "AT"), op
+    return out
+
+
+def _category(what, rng):
+    return {"SPACE": "\n \t"[int(rng.integers(3))], "NOT_SPACE": "x", "DIGIT": "7"}[str(what).removeprefix("CATEGORY_")]
+
+
+def test_license_gate_and_keywords_lose_no_match(spark):
+    rng = np.random.default_rng(11)
+    rules = licenses.signature_rules()
+    texts = ["see mozilla.org/MPL now", "a https://openfontlicense.org/x", "placed in the public\ndomain", "http://www.wtfpl.net/about"]
+    texts += ["Lesser\nGeneral Public License", "Eclipse\nPublic License", "cc Creative\nCommons zero license", "q\tpublic license"]
+    for rule in rules:
+        tree = re._parser.parse(rule["pattern"])
+        texts += [_sample(tree, rng) for _ in range(6)]
+    for rule in rules:
+        for text in texts:
+            if re.search(rule["pattern"], text.lower()):
+                assert rule["keyword"] in text.lower() and re.search("|".join(licenses.GATE), text.lower()), (rule, text)
+    asked = texts[:8] + texts[8::6]
+    got = {r.doc_id: r.detections for r in licenses.scan(spark.createDataFrame(list(enumerate(asked)), SCHEMA)).collect()}
+    bare = [r | {"keyword": ""} for r in rules]
+    for i, text in enumerate(asked):
+        want = sorted(set(_overlaps(bare, text.lower())))
+        assert want and [(d.start, d.back, d.priority) for d in got[i] or []] == [w[:3] for w in want], text
+
+
 def test_site_lines(spark):
     rows = [(i, "https://a.example/x", f"<p>menu</p><p>page <b>{i}</b></p><script>menu</script>") for i in range(5)]
     rows += [(10, "http://b.example", "<p>menu</p>one&amp;only"), (11, None, "menu\nmenu"), (12, "no address", None)]

@@ -260,6 +260,21 @@ def test_string_kernel_is_the_sum_over_subsequences():
     assert toxicity.kernel_rows(marks, ["zz abcad zz", "qqq", ""])[:, 0] == pytest.approx([1, 0, 0], abs=1e-5)
 
 
+def test_long_runs_hold_an_insult_at_every_place(monkeypatch):
+    words = ["idiot", "clown", "worthless", "abcdefghijklmnopqrst"]
+    marks = toxicity.landmarks(words)
+    runs = ["語" * at + w + "語" * (150 - at) for w in [*words, "idxiot"] for at in range(151)]
+    asked = runs + [" ".join(r) for r in runs[::3]]
+    got = toxicity.kernel_rows(marks, asked)
+    assert (got.max(axis=1) >= toxicity.FLOOR).all()
+    with monkeypatch.context() as patch:
+        patch.setattr(toxicity, "UNIT", 1 << 12)
+        assert got == pytest.approx(toxicity.kernel_rows(marks, asked), abs=1e-5)
+    limit = 1 << 21
+    seams = ["語" * (limit - at) + "idiot" + "語" * 50 for at in range(7)]
+    assert toxicity.kernel_rows(marks, seams)[:, 0] == pytest.approx(1, abs=1e-5)
+
+
 def test_language(spark, odd, none):
     rng = np.random.default_rng(2)
     parts = {"xx": ["ka", "lo", "mi"], "yy": ["ßu", "ör", "tz"], "zz": ["ión", "que", "ña"]}

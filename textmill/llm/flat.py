@@ -9,16 +9,16 @@ import numpy as np
 SLICE_POINTS = 1 << 20
 
 
-def pieces(texts: list[str], limit: int = SLICE_POINTS) -> Iterator[tuple[np.ndarray, list[str]]]:
-    """Slices of bounded size: the texts' numbers and the texts, a longer text in several pieces cut at white space."""
+def pieces(texts: list[str], limit: int = SLICE_POINTS, shared: int = 0) -> Iterator[tuple[np.ndarray, list[str]]]:
+    """Slices of bounded size: the texts' numbers and the texts, a longer text in several pieces cut at white space, each with the last ``shared`` characters of the one before."""
     numbers, held, size = [], [], 0
     for i, text in enumerate(texts):
         begin = 0
         while True:
             end = len(text)
             if end - begin > limit:
-                end = max((text.rfind(c, begin, begin + limit) for c in " \n"), default=-1)
-                end = begin + limit if end <= begin else end
+                end = max((text.rfind(c, begin + shared, begin + limit) for c in " \n"), default=-1)
+                end = begin + limit if end <= begin + shared else end
             numbers.append(i)
             held.append(text[begin:end])
             size += end - begin
@@ -27,7 +27,7 @@ def pieces(texts: list[str], limit: int = SLICE_POINTS) -> Iterator[tuple[np.nda
                 numbers, held, size = [], [], 0
             if end >= len(text):
                 break
-            begin = end
+            begin = end - shared
     if held:
         yield np.array(numbers), held
 

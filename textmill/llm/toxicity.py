@@ -6,7 +6,8 @@ so gapped and padded spellings ("i.d.i.o.t", "idxiot") stay close to the plain w
 Characters other than letters are skipped; look-alike digits and signs count as letters.
 
 A text's units are its words; single characters in a row ("i d i o t") are one unit, and
-longer runs are cut every ``UNIT`` characters.  Features are, for each landmark, the
+runs of more than two ``UNIT`` letters are read in windows of that length, one every ``UNIT`` letters,
+so what spans ``UNIT`` letters at most (a landmark has 20) is whole in one of them.  Features are, for each landmark, the
 largest kernel value of any unit, relative to the landmark's own; the landmarks' kernel
 matrix to the power -1/2 maps them to the Nyström space where a linear machine is trained.
 
@@ -36,6 +37,8 @@ from textmill.session import cut_lineage
 SPAN = 6
 DECAY = 0.6
 UNIT = 32
+# Characters that two pieces of a very long text share.
+SEAM = 4096
 LANDMARKS = 48
 CANDIDATES = 600
 ALIKE = 0.75
@@ -83,9 +86,14 @@ def units(texts: list[str], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     if not len(run):
         return np.empty(0, np.uint8), np.empty(0, np.int64), np.empty(0, np.int64)
     first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
-    place = (np.arange(len(run)) - np.repeat(first, np.diff(np.append(first, len(run))))) // UNIT
-    new = np.concatenate([[True], (run[1:] != run[:-1]) | (place[1:] != place[:-1])])
-    return codes[flat[keep]], np.cumsum(new) - 1, owner[new]
+    size = np.diff(np.append(first, len(run)))
+    # A long run is read in windows of two units that begin a unit apart.
+    count = np.maximum(1, -(-size // UNIT) - 1)
+    window = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    begin = np.repeat(first, count) + window * UNIT
+    length = np.minimum(2 * UNIT, np.repeat(first + size, count) - begin)
+    at = np.repeat(begin - (np.cumsum(length) - length), length) + np.arange(length.sum())
+    return codes[flat[keep]][at], np.repeat(np.arange(len(begin)), length), owner[begin]
 
 
 def subsequences(symbols: np.ndarray, unit_of: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
@@ -142,7 +150,7 @@ def distinct_units(symbols: np.ndarray, unit_of: np.ndarray) -> tuple[np.ndarray
     first = np.flatnonzero(np.concatenate([[True], unit_of[1:] != unit_of[:-1]]))
     place = np.arange(len(symbols)) - np.repeat(first, np.diff(np.append(first, len(symbols))))
     with np.errstate(over="ignore"):
-        powers = np.cumprod(np.full(UNIT, 0x9E3779B97F4A7C15, dtype=np.uint64))
+        powers = np.cumprod(np.full(2 * UNIT, 0x9E3779B97F4A7C15, dtype=np.uint64))
         hashes = np.add.reduceat((symbols.astype(np.uint64) + np.uint64(1)) * powers[place], first)
     _, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
     number = np.full(len(first), -1)
@@ -161,7 +169,7 @@ def kernel_rows(marks: Landmarks, texts: list[str]) -> np.ndarray:
     best = np.zeros((len(texts), len(marks.words)), dtype=np.float32)
     scaled = marks.weights / marks.own
     highest = scaled.max(axis=1)
-    for numbers, held in pieces(texts, 1 << 21):
+    for numbers, held in pieces(texts, 1 << 21, SEAM):
         symbols, unit_of, text_of = units(held, marks.codes)
         if not len(text_of):
             continue

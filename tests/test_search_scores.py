@@ -12,6 +12,7 @@ from textmill.functions.vectors import l2_normalise
 from textmill.operators import metrics as M
 from textmill.operators import quantise as Q
 from textmill.operators import retrieval as R
+from textmill.plans.registered import search
 
 
 def vectors(spark, name, rows):
@@ -186,3 +187,24 @@ def test_near_distances_keep_their_digits():
     near = R._near(vectors, batch)
     assert (near[np.arange(40), np.arange(40)] == 0).all()
     assert np.abs(near - exact).max() <= 10.0**-R.DIGITS
+
+
+def test_passages_of_any_length_have_their_truth(spark, tmp_path, monkeypatch):
+    rng = random.Random(3)
+    docs = [(i, " ".join(rng.choices(["lorem", "ipsum", "dolor", "sit", "amet", "Ut", "enim"], k=60))) for i in range(20)]
+    docs += [(90, None), (91, "")]
+    items = []
+    for n in range(1, 13):
+        parts = docs[n][1].split()
+        items.append((2 * n, " ".join(parts[5 : 5 + n])))
+        # The first and last word are cut.
+        items.append((2 * n + 1, " ".join(parts[20 : 21 + n])[1:-1]))
+    items += [(50, ""), (51, None), (52, "no such words"), (53, items[0][1])]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    want = sorted((i, d) for i, a in items for d, t in docs if a is not None and t is not None and a in t)
+    assert {2 * n for n in range(1, 10)} <= {i for i, _ in want}
+    for block in (search.BLOCK_CHARS, 20):
+        monkeypatch.setattr(search, "BLOCK_CHARS", block)
+        got = search.passage_truth(spark, str(tmp_path)).collect()
+        assert sorted((r["query_id"], r["chunk_id"]) for r in got) == want

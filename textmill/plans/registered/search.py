@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from textmill.functions.text import chars
 from textmill.functions.tokens import ngrams, words
@@ -344,13 +349,58 @@ def parent_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expand_to_parent(owned, parents).withColumn("score", F.round("score", 6))
 
 
+#: Passages with fewer words have no window of eight whole words inside, as their first and last word can be cut.
+INNER_WORDS = 10
+BLOCK_CHARS = 1_000_000
+
+
+def short_truth(asked: DataFrame, texts: DataFrame) -> list[DataFrame]:
+    """``chunk_id, query_id`` of every text that contains a passage: one scan for each block of passages of bounded size."""
+    schema = T.StructType([texts.schema["chunk_id"], asked.schema["query_id"]])
+    parts, block, size = [], {}, 0
+
+    def close() -> None:
+        nonlocal block, size
+        shared = texts.sparkSession.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            machine = ahocorasick.Automaton()
+            for passage, ids in shared.value.items():
+                if passage:
+                    machine.add_word(passage, ids)
+            machine.make_automaton()
+            for batch in batches:
+                rows, found = [], []
+                for r, text in enumerate(batch.column(1).to_pylist()):
+                    met = set(shared.value.get("", ()))
+                    if len(machine):
+                        met.update(q for _, ids in machine.iter(text) for q in ids)
+                    rows += [r] * len(met)
+                    found += met
+                columns = [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(found, to_arrow_type(schema["query_id"].dataType))]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+        parts.append(texts.filter(F.col("text").isNotNull()).select("chunk_id", "text").mapInArrow(run, schema))
+        block, size = {}, 0
+
+    for row in asked.filter(F.col("text").isNotNull()).select("query_id", "text").toLocalIterator():
+        block.setdefault(row["text"], []).append(row["query_id"])
+        size += len(row["text"]) + 1
+        if size >= BLOCK_CHARS:
+            close()
+    if block:
+        close()
+    return parts
+
+
 def passage_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain a passage word for word.
 
     Candidates meet on an eight-word window from inside the passage (an equi-join);
-    the whole passage is then searched in the candidate.
+    the whole passage is then searched in the candidate.  Texts are scanned for shorter passages.
     """
-    asked = passages(spark, sf_dir).select(
+    n_words = F.size(words("text"))
+    asked = passages(spark, sf_dir).filter(n_words >= INNER_WORDS).select(
         "query_id", "text", F.array_join(F.slice(words("text"), 2, 8), " ").alias("window")
     )
     docs = documents(spark, sf_dir, "doc_id", "text")
@@ -358,7 +408,10 @@ def passage_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows = explode_items(docs, [F.col("doc_id").alias("chunk_id")], grams, "window")
     pairs = windows.join(asked, "window").select("chunk_id", "query_id", F.col("text").alias("passage"))
     texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("chunk_id"), "text")
-    return pairs.join(texts, "chunk_id").filter(F.contains("text", F.col("passage"))).select("query_id", "chunk_id").distinct()
+    found = pairs.join(texts, "chunk_id").filter(F.contains("text", F.col("passage"))).select("query_id", "chunk_id")
+    for part in short_truth(passages(spark, sf_dir).filter(n_words < INNER_WORDS), texts):
+        found = found.unionByName(part)
+    return found.distinct()
 
 
 @query(

@@ -16,6 +16,7 @@ from textmill.operators import conversations as C
 from textmill.operators import hooks as H
 from textmill.operators import vocabulary as V
 from textmill.operators.retrieval import lexical_docs, lexical_retriever
+from textmill.plans.registered import models
 from textmill.plans.prepare import PAIR_SPECS, SAMPLE_SPECS, corpus_report, prepare, prepare_samples
 from textmill.sources import readers as R
 from textmill.sources import writers as W
@@ -149,6 +150,21 @@ def test_merges_equal_one_by_one_training(spark, seed):
     assert "".join(got.tokens[i] for i in ids) == "▁" + lines[0].replace(" ", "▁")
 
 
+def test_registered_merges_go_on_to_the_least_frequency(spark, tmp_path):
+    rng = random.Random(6)
+    stock = ["".join(rng.choices("abcdef", k=rng.randint(2, 6))) for _ in range(30)]
+    lines = [" ".join(rng.choices(stock, k=30)) for _ in range(150)]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    counted = {r["word"]: r["freq"] for r in V.word_counts(df, "text").collect()}
+    want = slow_merges(counted, V.VOCABULARY_SIZE, V.MIN_FREQUENCY)
+    got = models.trained_merges(spark, str(tmp_path)).orderBy("merge_no").collect()
+    assert len(want) > 40 and [(r["left"], r["right"]) for r in got] == want
+    ranks = {pair: i for i, pair in enumerate(want)}
+    for r in models.merged_ids(spark, str(tmp_path)).collect():
+        assert r["n"] == sum(len(V._merge_word("▁" + w, ranks)) for w in lines[r["doc_id"]].split())
+
+
 def test_batch_choice_stops_at_conflicts():
     ranked = [("a", "b", 9), ("c", "d", 8), ("b", "e", 7), ("f", "g", 7), ("h", "i", 3)]
     assert V.choose_merges(ranked, set(), 1, 10, True) == [("a", "b"), ("c", "d")]

@@ -240,8 +240,8 @@ def piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("trained_merges")
 def trained_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First forty merges of the corpus, in order."""
-    vocabulary = train_bpe(documents(spark, sf_dir, "text"), "text", min_freq=100, max_merges=40)
+    """All merges of the corpus, in order, up to the default size and frequency."""
+    vocabulary = train_bpe(documents(spark, sf_dir, "text"), "text")
     rows = [(i, a, b) for i, (a, b) in enumerate(vocabulary.merges)]
     return spark.createDataFrame(rows, "merge_no int, left string, right string")
 
@@ -266,9 +266,9 @@ def character_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("merged_ids")
 def merged_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens per document under forty learned merges."""
+    """Tokens per document under all learned merges."""
     docs = documents(spark, sf_dir, "doc_id", "text")
-    vocabulary = train_bpe(docs, "text", min_freq=100, max_merges=40)
+    vocabulary = train_bpe(docs, "text")
     coded = docs.select("doc_id", encode("text", vocabulary).alias("ids"))
     return coded.select("doc_id", F.size("ids").alias("n"), F.md5(F.array_join("ids", ",")).alias("digest"))
 

@@ -35,9 +35,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage that aligns with a test item."""
-    found = decontaminate.matches(docs, table(spark, sf_dir, "benchmark"))
-    gone = cut_lineage(found.select("doc_id").distinct(), "leaks")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    # Rows have a number of their own: ids can be null or repeat.
+    rows = cut_lineage(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    found = decontaminate.matches(rows, table(spark, sf_dir, "benchmark"), key="_row")
+    gone = cut_lineage(found.select("_row").distinct(), "leaks")
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -61,3 +61,11 @@ def test_large_groups_of_near_copies(spark):
     rows += [(100 + i, " ".join(base[:110] + [f"v{i}_{k}" for k in range(90)])) for i in range(20)]
     left = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
     assert {r.doc_id for r in left} == {0} | {100 + i for i in range(20)}
+
+
+def test_leaks_go_by_row_not_by_id(spark, tmp_path):
+    item = " ".join(f"q{i}" for i in range(20))
+    rows = [(1, f"some words {item} after"), (1, "clean namesake of the row"), (None, f"{item} without an id"), (None, "clean without an id")]
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = corpus_pipeline.drop_leaks(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path)).collect()
+    assert sorted(r.text for r in left) == ["clean namesake of the row", "clean without an id"]

@@ -17,6 +17,7 @@ from textmill.llm import (
     simhash_tree,
     token_counts,
     toxicity,
+    whitening,
 )
 from textmill.llm.registry import QUERIES, TWINS, query, table
 
@@ -114,3 +115,8 @@ def op6_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_site_lines")
 def op7_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(table(spark, sf_dir, "pages"))
+
+
+@query("op13_whitened_vectors")
+def op13_whitened_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")

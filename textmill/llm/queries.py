@@ -13,6 +13,7 @@ from textmill.llm import (
     language_id,
     licenses,
     line_dedup,
+    repeat_index,
     sharding,
     simhash_tree,
     token_counts,
@@ -26,6 +27,22 @@ __all__ = ["QUERIES", "TWINS"]
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
+# Windows of 200 bytes as 400 hexadecimal digits; a byte goes when a repeated window covers it.
+REPEATS_SQL = """
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    w AS (SELECT r, p, md5(substr(h, 2 * p + 1, 400)) AS k FROM d, unnest(range(0, greatest(length(h) // 2 - 199, 0))) AS u(p)),
+    again AS (SELECT r, p FROM w QUALIFY count(*) OVER (PARTITION BY k) > 1),
+    runs AS (SELECT r, p, sum(CASE WHEN before IS NULL OR p > before + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY p) AS run
+             FROM (SELECT r, p, lag(p) OVER (PARTITION BY r ORDER BY p) AS before FROM again)),
+    spans AS (SELECT r, run, min(p) AS a, max(p) + 200 AS b FROM runs GROUP BY r, run),
+    edges AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS since FROM spans),
+    parts AS (SELECT r, string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS head, max(b) AS b, sum(b - a) AS gone, count(*) AS n
+              FROM edges JOIN d USING (r) GROUP BY r)
+    SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(n, 0)::BIGINT AS n_spans,
+           sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(b, 0) + 1))) AS kept_sha256
+    FROM d LEFT JOIN parts USING (r)
+"""
+
 
 @query("op5_byte_bpe")
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,6 +134,18 @@ def op7_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(table(spark, sf_dir, "pages"))
 
 
+@query("op12_suffix_levels", REPEATS_SQL)
+def op12_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeat_index.drop_repeats(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query("op13_whitened_vectors")
 def op13_whitened_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from textmill.llm import (
     byte_bpe,
+    collocations,
     decontaminate,
     exact_names,
     language_id,
@@ -30,7 +31,9 @@ PATTERN = public_tokenizers.PATTERN
 # Windows of 200 bytes as 400 hexadecimal digits; a byte goes when a repeated window covers it.
 REPEATS_SQL = """
     WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-    w AS (SELECT r, p, md5(substr(h, 2 * p + 1, 400)) AS k FROM d, unnest(range(0, greatest(length(h) // 2 - 199, 0))) AS u(p)),
+    blocks AS (SELECT r, b, substr(h, 2000 * b + 1, 2398) AS h FROM (SELECT r, h, unnest(range(0, length(h) // 2000 + 1)) AS b FROM d)),
+    w AS (SELECT r, 1000 * b + p AS p, md5(substr(h, 2 * p + 1, 400)) AS k
+          FROM (SELECT r, b, h, unnest(range(0, greatest(length(h) // 2 - 199, 0))) AS p FROM blocks)),
     again AS (SELECT r, p FROM w QUALIFY count(*) OVER (PARTITION BY k) > 1),
     runs AS (SELECT r, p, sum(CASE WHEN before IS NULL OR p > before + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY p) AS run
              FROM (SELECT r, p, lag(p) OVER (PARTITION BY r ORDER BY p) AS before FROM again)),
@@ -134,6 +137,32 @@ def op7_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(table(spark, sf_dir, "pages"))
 
 
+PHRASES_SQL = r"""
+    WITH t AS (SELECT coalesce(lang, 'und') AS lang,
+                      unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM t),
+    g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+          FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, (SELECT unnest([1, 2, 3, 4, 5]) AS k))),
+    n AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM p GROUP BY lang),
+    f AS (SELECT lang, k, phrase, count(*) AS f, string_split(phrase, ' ') AS w FROM g GROUP BY lang, k, phrase HAVING count(*) >= 100),
+    cuts AS (SELECT lang, phrase, f AS a, c, array_to_string(w[1:c], ' ') AS x, array_to_string(w[c + 1:], ' ') AS y
+             FROM (SELECT *, unnest(range(1, k)) AS c FROM f WHERE k > 1)),
+    s AS (SELECT cuts.*, l.f AS l, r.f AS r, n.n, (1000::HUGEINT * a * n.n) // (l.f::HUGEINT * r.f) AS score
+          FROM cuts JOIN f l ON l.lang = cuts.lang AND l.phrase = x JOIN f r ON r.lang = cuts.lang AND r.phrase = y JOIN n ON n.lang = cuts.lang),
+    low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+    inner_phrases AS (SELECT lang, f, unnest([array_to_string(w[2:], ' '), array_to_string(w[1:k - 1], ' ')]) AS phrase FROM f WHERE k > 2),
+    held AS (SELECT lang, phrase, max(f) AS most FROM inner_phrases GROUP BY lang, phrase)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+    FROM low LEFT JOIN held USING (lang, phrase) WHERE coalesce(most, 0) < a QUALIFY rank <= 2000
+"""
+
+
+@query("op11_fm_phrases", PHRASES_SQL)
+def op11_fm_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations.best_phrases(table(spark, sf_dir, "documents"))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 @query("op12_suffix_levels", REPEATS_SQL)
 def op12_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = repeat_index.drop_repeats(table(spark, sf_dir, "documents"))

@@ -12,7 +12,7 @@ windows with a common anchor; a run's fragment is the bytes its windows cover.
    against the levels that exist, which finds the windows that occur in both, and levels
    of equal size are merged to one of twice the size.
 3. A seed with very many distinct fragments would fill one shard.  Its windows are grouped
-   by their own digests instead, which adds up before the shuffle and compares the same bytes.
+   by their own digests instead, first within each batch, then across batches.
 
 Every repeated window is found: equal windows always share their anchor.  Hashes of 64 bits
 select candidates; a fragment is identified by two of them and its length, a window
@@ -46,6 +46,8 @@ SHARD_FRAGMENTS = 2048
 BATCH_FRAGMENTS = 256
 #: A seed with more distinct fragments is grouped by window.
 HOT_FRAGMENTS = 1024
+#: Windows of hot seeds that one part is made for.
+PART_WINDOWS = 1 << 19
 
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -293,29 +295,6 @@ def compare_shards(fragments: DataFrame, shards: int, width: int) -> DataFrame:
     return dealt.groupBy("shard").applyInPandas(run, SPAN_SCHEMA)
 
 
-def hot_windows(fragments: DataFrame, width: int) -> DataFrame:
-    """Every window of hot seeds' fragments as an anchor of its own, named by its digest."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("seed", "doc", "start", "windows", "fragment"))
-            for seed, doc, start, windows, fragment in zip(*columns):
-                data, begin = np.frombuffer(fragment, dtype=np.uint8), np.arange(windows)
-                digest = RollingHash(data, _BASES[1]).ranges(begin, begin + width)
-                both = mixed(digest ^ np.int64(seed).view(np.uint64))
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "seed": both.view(np.int64),
-                        "whole": digest.view(np.int64),
-                        "doc": np.full(windows, doc, dtype=np.int64),
-                        "start": begin + start,
-                        "windows": np.ones(windows, dtype=np.int32),
-                    }
-                )
-
-    return fragments.mapInArrow(_gathered(run), ANCHOR_SCHEMA)
-
-
 def _sorted_classes(found: DataFrame) -> DataFrame:
     order = ["seed", "whole", "doc", "start"]
     return classify(found.repartitionByRange(*order).sortWithinPartitions(*order))
@@ -325,14 +304,78 @@ def _covered(anchors_: DataFrame, width: int) -> DataFrame:
     return anchors_.select("doc", "start", (F.col("start") + F.col("windows") + (width - 1)).alias("end"))
 
 
-def _repeated_hot(fragments: DataFrame, width: int) -> DataFrame:
-    """Spans of hot seeds' repeated windows.  Equal windows are neighbours after the sort; those
-    at a partition's border, a few of each partition, are counted across partitions."""
-    flagged = cut_lineage(_sorted_classes(hot_windows(fragments, width)), "windows")
-    edges = flagged.filter("candidate")
-    met = edges.groupBy("seed", "whole").agg(F.count("*").alias("n")).filter("n > 1").select("seed", "whole")
-    across = edges.filter("NOT repeated").join(met, ["seed", "whole"], "left_semi")
-    return _covered(flagged.filter("repeated"), width).unionByName(_covered(across, width))
+PART_SCHEMA = SPAN_SCHEMA + ", part int, rows binary"
+_ENTRY = np.dtype([("seed", "<i8"), ("digest", "<i8"), ("doc", "<i8"), ("start", "<i8"), ("known", "?")])
+
+
+def _fragment_windows(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """All windows of the fragments, and the windows of each."""
+    parts = []
+    for seed, doc, start, windows, fragment in zip(*(batch.column(c).to_pylist() for c in ("seed", "doc", "start", "windows", "fragment"))):
+        begin = np.arange(windows)
+        rows = np.zeros(windows, dtype=_ENTRY)
+        rows["seed"], rows["doc"], rows["start"] = seed, doc, begin + start
+        rows["digest"] = RollingHash(np.frombuffer(fragment, dtype=np.uint8), _BASES[1]).ranges(begin, begin + width).view(np.int64)
+        parts.append(rows)
+    return np.concatenate(parts), np.array([len(p) for p in parts])
+
+
+def _groups(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order with equal windows together, and where each group begins in it."""
+    order = np.lexsort((rows["digest"], rows["seed"]))
+    seed, digest = rows["seed"][order], rows["digest"][order]
+    new = np.concatenate([[True], (seed[1:] != seed[:-1]) | (digest[1:] != digest[:-1])])
+    return order, np.flatnonzero(new)
+
+
+def hot_parts(fragments: DataFrame, parts: int, width: int) -> DataFrame:
+    """Hot seeds' windows grouped within each batch: spans of those repeated there, and one entry a
+    distinct window, packed by the part its digest belongs to."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            rows, count = _fragment_windows(batch, width)
+            order, begin = _groups(rows)
+            size = np.diff(np.concatenate([begin, [len(rows)]]))
+            found = np.zeros(len(rows), dtype=bool)
+            found[order] = np.repeat(size > 1, size)
+            first = np.cumsum(count) - count
+            spans = _spans(rows["doc"][first], rows["start"][first], count, found, width)
+            one = rows[order[begin]]
+            one["known"] = size > 1
+            part = mixed(one["digest"].view(np.uint64)) % np.uint64(parts)
+            one = one[np.argsort(part, kind="stable")]
+            ends = np.cumsum(np.bincount(part.astype(np.int64), minlength=parts))
+            packed = [(i, one[a:b].tobytes()) for i, (a, b) in enumerate(zip([0, *ends[:-1]], ends)) if b > a]
+            n, m = len(spans), len(packed)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    **{c: pa.array([*spans[c], *[None] * m], pa.int64()) for c in ("doc", "start", "end")},
+                    "part": pa.array([None] * n + [i for i, _ in packed], pa.int32()),
+                    "rows": pa.array([None] * n + [r for _, r in packed], pa.binary()),
+                }
+            )
+
+    return fragments.mapInArrow(run, PART_SCHEMA)
+
+
+def _repeated_hot(fragments: DataFrame, parts: int, width: int) -> DataFrame:
+    """Spans of hot seeds' repeated windows.  A window shared by many documents leaves each
+    batch once, so no part is filled by it."""
+
+    def run(packed: pd.DataFrame) -> pd.DataFrame:
+        rows = np.concatenate([np.frombuffer(r, dtype=_ENTRY) for r in packed["rows"]])
+        order, begin = _groups(rows)
+        size = np.diff(np.concatenate([begin, [len(rows)]]))
+        again = order[np.repeat(size > 1, size)]
+        new = rows[again][~rows["known"][again]]
+        return pd.DataFrame({"doc": new["doc"], "start": new["start"], "end": new["start"] + width})
+
+    both = cut_lineage(hot_parts(fragments, parts, width), "windows")
+    across = both.filter("part IS NOT NULL").select("part", "rows").groupBy("part").applyInPandas(run, SPAN_SCHEMA)
+    return both.filter("part IS NULL").select("doc", "start", "end").unionByName(across)
 
 
 def _cut_fragments(candidates: DataFrame, texts: DataFrame, width: int) -> DataFrame:
@@ -351,7 +394,9 @@ def repeated_spans(texts: DataFrame, width: int = WIDTH, seed: int = SEED) -> Da
     """
     if not 0 < seed <= width:
         raise ValueError("the seed must fit into a window")
-    classes = cut_lineage(_sorted_classes(find_anchors(texts, width, seed)), "anchors")
+    # Stored, because the sort reads its rows twice: once for the borders of its ranges.
+    anchored = cut_lineage(find_anchors(texts, width, seed), "anchors")
+    classes = cut_lineage(_sorted_classes(anchored), "classes")
     again = _covered(classes.filter("repeated"), width)
     candidates = classes.filter("candidate").select("seed", "doc", "start", "windows")
     counts = candidates.groupBy("seed").agg(F.count("*").alias("n"))
@@ -363,9 +408,10 @@ def repeated_spans(texts: DataFrame, width: int = WIDTH, seed: int = SEED) -> Da
     if counted["most"] <= bound:
         return again.unionByName(compare_shards(fragments, shards, width))
     fragments = cut_lineage(fragments, "fragments")
+    parts = max(1, counted["total"] * (width - seed) // PART_WINDOWS)
     hot = F.broadcast(cut_lineage(counts.filter(F.col("n") > bound).select("seed"), "hot-seeds"))
     cold = compare_shards(fragments.join(hot, "seed", "left_anti"), shards, width)
-    return again.unionByName(cold).unionByName(_repeated_hot(fragments.join(hot, "seed", "left_semi"), width))
+    return again.unionByName(cold).unionByName(_repeated_hot(fragments.join(hot, "seed", "left_semi"), parts, width))
 
 
 KEPT_SCHEMA = "n_bytes bigint, n_removed bigint, spans array<struct<start: bigint, end: bigint>>, kept binary"

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from textmill.session import cut_lineage
+from textmill.session import cut_lineage, drop_stored, scratch_path
 
 # --- fixed values -----------------------------------------------------------
 LONGEST = 5
@@ -188,45 +188,27 @@ def renumber(sequence: np.ndarray, words: pa.Array) -> tuple[np.ndarray, pa.Arra
     return (np.cumsum(used, dtype=np.int32) - 1)[sequence], words.filter(pa.array(used))
 
 
-# A round's rows: shards (sequence and words) and the phrases counted in them.
-ROUND_SCHEMA = "shard bigint, lang string, sequence binary, words array<string>, phrase string, n bigint"
-_ROUND = pa.schema(
-    [
-        ("shard", pa.int64()),
-        ("lang", pa.string()),
-        ("sequence", pa.binary()),
-        ("words", pa.list_(pa.string())),
-        ("phrase", pa.string()),
-        ("n", pa.int64()),
-    ]
-)
-
-
-def _round_rows(shard: int, lang: str, sequence: np.ndarray, words: pa.Array, phrases: pa.Array, counts: np.ndarray) -> pa.Table:
-    head = pa.table(
-        {
-            "shard": [shard],
-            "lang": [lang],
-            "sequence": [sequence.astype(np.int32).tobytes()],
-            "words": pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words.cast(pa.string())),
-            "phrase": pa.nulls(1, pa.string()),
-            "n": pa.nulls(1, pa.int64()),
-        },
-        schema=_ROUND,
-    )
-    size = len(phrases)
-    body = pa.table(
-        {
-            "shard": np.full(size, shard, dtype=np.int64),
-            "lang": pa.array([lang] * 1).take(pa.array(np.zeros(size, dtype=np.int32))),
-            "sequence": pa.nulls(size, pa.binary()),
-            "words": pa.nulls(size, pa.list_(pa.string())),
-            "phrase": phrases.cast(pa.string()),
-            "n": counts.astype(np.int64),
-        },
-        schema=_ROUND,
-    )
-    return pa.concat_tables([head, body])
+# Word numbers are packed: frequent words recur and the codec finds them.
+CODEC = "zstd"
+
+SHARD_SCHEMA = "shard bigint, lang string, size bigint, sequence binary, words array<string>"
+_SHARD = pa.schema([("shard", pa.int64()), ("lang", pa.string()), ("size", pa.int64()), ("sequence", pa.binary()), ("words", pa.list_(pa.string()))])
+PHRASE_SCHEMA = "shard bigint, lang string, phrase string, n bigint"
+
+
+def _shard_row(shard: int, lang: str, sequence: np.ndarray, words: pa.Array) -> pa.Table:
+    columns = {
+        "shard": [shard],
+        "lang": [lang],
+        "size": [len(sequence)],
+        "sequence": [pa.compress(sequence.astype(np.int32).tobytes(), CODEC, asbytes=True)],
+        "words": pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words.cast(pa.string())),
+    }
+    return pa.table(columns, schema=_SHARD)
+
+
+def _opened(size: int, sequence: bytes, words: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    return np.frombuffer(pa.decompress(sequence, 4 * size, CODEC, asbytes=True), dtype=np.int32), words.cast(pa.large_string())
 
 
 def _sliced(text: bytes) -> Iterator[bytes]:
@@ -245,7 +227,7 @@ def _sliced(text: bytes) -> Iterator[bytes]:
 
 
 def first_shards(texts: DataFrame) -> DataFrame:
-    """Shards of ``lang, text`` and the words counted in them; no row is shuffled."""
+    """Shards of ``lang, text``; no row is shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number = TaskContext.get().partitionId(), 0
@@ -256,8 +238,7 @@ def first_shards(texts: DataFrame) -> DataFrame:
             nonlocal number
             sequence, words = split_words(held.pop(lang))
             del sizes[lang]
-            counts = np.bincount(sequence, minlength=len(words))[1:]
-            yield from _round_rows((task << 32) + number, lang, sequence, words, words[1:], counts).to_batches(1 << 16)
+            yield from _shard_row((task << 32) + number, lang, sequence, words).to_batches()
             number += 1
 
         for batch in batches:
@@ -274,36 +255,59 @@ def first_shards(texts: DataFrame) -> DataFrame:
         for each in list(held):
             yield from close(each)
 
-    return texts.mapInArrow(run, ROUND_SCHEMA)
+    return texts.mapInArrow(run, SHARD_SCHEMA)
+
 
+def shard_phrases(shards: DataFrame, length: int) -> DataFrame:
+    """All phrases of ``length`` words of each shard, with their counts there."""
 
-def next_round(shards: DataFrame, frequent: DataFrame, length: int) -> DataFrame:
-    """Shards cut down to promising places, and their phrases of ``length`` words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                row = {name: batch.column(name)[i] for name in batch.schema.names}
+                sequence, words = _opened(row["size"].as_py(), row["sequence"].as_py(), row["words"].values)
+                found = BothWays(sequence, len(words), length).phrases(length)
+                for at in range(0, len(found.count), 1 << 16):
+                    part = Intervals(*(v[at : at + (1 << 16)] for v in (found.symbols, found.low, found.back_low, found.count)))
+                    size = len(part.count)
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "shard": np.full(size, row["shard"].as_py(), dtype=np.int64),
+                            "lang": pa.repeat(row["lang"].as_py(), size),
+                            "phrase": phrase_texts(part, words).cast(pa.string()),
+                            "n": part.count.astype(np.int64),
+                        }
+                    )
+
+    return shards.mapInArrow(run, PHRASE_SCHEMA)
+
+
+def cut_shards(shards: DataFrame, frequent: DataFrame, length: int) -> DataFrame:
+    """Shards cut down to the places where two frequent phrases of ``length - 1`` words follow each other."""
 
     def run(shard: pa.Table, known: pa.Table) -> pa.Table:
         if not len(shard) or not len(known):
-            return _ROUND.empty_table()
-        number, lang = shard["shard"][0].as_py(), shard["lang"][0].as_py()
-        sequence = np.frombuffer(shard["sequence"][0].as_buffer(), dtype=np.int32)
-        words = shard["words"].combine_chunks().flatten().cast(pa.large_string())
-        old = BothWays(sequence, len(words), length - 1)
-        found = old.phrases(length - 1)
-        frequent_here = pc.is_in(phrase_texts(found, words), value_set=known["phrase"].combine_chunks().cast(pa.large_string()))
-        begins = old.places(found, np.asarray(frequent_here))
+            return _SHARD.empty_table()
+        row = {name: shard[name][0] for name in shard.schema.names}
+        sequence, words = _opened(row["size"].as_py(), row["sequence"].as_py(), row["words"].values)
+        index = BothWays(sequence, len(words), length - 1)
+        found = index.phrases(length - 1)
+        chosen = pc.is_in(phrase_texts(found, words), value_set=known["phrase"].combine_chunks().cast(pa.large_string()))
+        begins = index.places(found, np.asarray(chosen))
         cut, words = renumber(keep_promising(sequence, begins, length), words)
         if len(words) < 2:
-            return _ROUND.empty_table()
-        grown = BothWays(cut, len(words), length).phrases(length)
-        return _round_rows(number, lang, cut, words, phrase_texts(grown, words), grown.count)
+            return _SHARD.empty_table()
+        return _shard_row(row["shard"].as_py(), row["lang"].as_py(), cut, words)
 
-    return shards.groupBy("shard").cogroup(frequent.groupBy("shard")).applyInArrow(run, ROUND_SCHEMA)
+    return shards.groupBy("shard").cogroup(frequent.groupBy("shard")).applyInArrow(run, SHARD_SCHEMA)
 
 
 def frequent_phrases(counted: DataFrame, least: int) -> DataFrame:
     """``shard, lang, phrase, f`` of the phrases whose sum over all shards reaches ``least``."""
     # The digest comes first because its order is cheap; phrases are told apart by themselves.
+    # It is added after the exchange.
     same = Window.partitionBy("digest", "lang", "phrase")
-    named = counted.withColumn("digest", F.xxhash64("lang", "phrase"))
+    named = counted.repartition("lang", "phrase").withColumn("digest", F.xxhash64("lang", "phrase"))
     return named.withColumn("f", F.sum("n").over(same)).filter(F.col("f") >= least).select("shard", "lang", "phrase", "f")
 
 
@@ -311,20 +315,27 @@ def count_phrases(df: DataFrame, text: str = "text", lang: str = "lang", least:
     """``lang, phrase, words, f`` of all phrases of up to ``longest`` words that occur ``least`` times, and ``lang, n``."""
     texts = df.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN_LANGUAGE)).alias("lang"), F.col(text).alias("text"))
     levels = []
-    totals = None
-    state = cut_lineage(first_shards(texts), "shards1")
+    spark = df.sparkSession
+    shards, path = _store(first_shards(texts), "shards1")
+    words = shard_phrases(shards, 1)
+    totals = cut_lineage(words.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     for length in range(1, longest + 1):
-        counted = state.filter("phrase IS NOT NULL").select("shard", "lang", "phrase", "n")
-        if totals is None:
-            totals = counted.groupBy("lang").agg(F.sum("n").alias("n"))
-        frequent = cut_lineage(frequent_phrases(counted, least), f"phrases{length}")
+        frequent = cut_lineage(frequent_phrases(shard_phrases(shards, length), least), f"phrases{length}")
         levels.append(frequent.groupBy("lang", "phrase").agg(F.max("f").alias("f")).withColumn("words", F.lit(length)))
         if length < longest:
-            shards = state.filter("sequence IS NOT NULL").select("shard", "lang", "sequence", "words")
-            state = cut_lineage(next_round(shards, frequent.select("shard", "phrase"), length + 1), f"shards{length + 1}")
+            shorter, old = _store(cut_shards(shards, frequent.select("shard", "phrase"), length + 1), f"shards{length + 1}")
+            # Nothing reads the longer shards again.
+            drop_stored(spark, path)
+            shards, path = shorter, old
     return cut_lineage(reduce(DataFrame.unionByName, levels), "phrases"), totals
 
 
+def _store(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def _part(words: Column, first: Column | int, size: Column | int) -> Column:
     return F.array_join(F.slice(words, first, size), " ")
 

@@ -17,6 +17,7 @@ scores rank by count, then by the phrase's bytes.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -25,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -62,7 +63,7 @@ def split_words(texts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
     letters = pa.py_buffer(data[inside].tobytes())
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets.astype(np.int64).tobytes()), letters])
     coded = words.dictionary_encode()
-    piece = np.cumsum(kind == 2)[begin] if len(begin) else np.zeros(0, dtype=np.int64)
+    piece = np.searchsorted(np.flatnonzero(kind == 2), begin)
     numbers = np.asarray(coded.indices, dtype=np.int32) + 1
     new = np.concatenate([[True], piece[1:] != piece[:-1]]) if len(piece) else np.zeros(0, dtype=bool)
     places = np.arange(len(numbers)) + np.cumsum(new)
@@ -95,7 +96,7 @@ def _sorted_places(sequence: np.ndarray, depth: int) -> np.ndarray:
         return np.concatenate([values[by:], np.zeros(min(by, len(values)), dtype=values.dtype)])
 
     names, known = sequence.astype(np.int64), 1
-    while known * 2 <= depth:
+    while known * 2 < depth:
         pair = names * (int(names.max(initial=0)) + 1) + shifted(names, known)
         names, known = np.unique(pair, return_inverse=True)[1], known * 2
     if known < depth:
@@ -327,6 +328,7 @@ def count_phrases(df: DataFrame, text: str = "text", lang: str = "lang", least:
             # Nothing reads the longer shards again.
             drop_stored(spark, path)
             shards, path = shorter, old
+            _forget(spark)
     return cut_lineage(reduce(DataFrame.unionByName, levels), "phrases"), totals
 
 
@@ -336,6 +338,12 @@ def _store(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def _forget(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of rounds that nothing refers to any more."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def _part(words: Column, first: Column | int, size: Column | int) -> Column:
     return F.array_join(F.slice(words, first, size), " ")
 

@@ -5,6 +5,7 @@ import sys
 from collections import Counter
 
 import pytest
+import tokenizers
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
@@ -162,15 +163,63 @@ def test_registered_merges_go_on_to_the_least_frequency(spark, tmp_path):
     assert len(want) > 40 and [(r["left"], r["right"]) for r in got] == want
     ranks = {pair: i for i, pair in enumerate(want)}
     for r in models.merged_ids(spark, str(tmp_path)).collect():
-        assert r["n"] == sum(len(V._merge_word("▁" + w, ranks)) for w in lines[r["doc_id"]].split())
-
-
-def test_batch_choice_stops_at_conflicts():
-    ranked = [("a", "b", 9), ("c", "d", 8), ("b", "e", 7), ("f", "g", 7), ("h", "i", 3)]
-    assert V.choose_merges(ranked, set(), 1, 10, True) == [("a", "b"), ("c", "d")]
-    assert V.choose_merges([("a", "b", 9), ("c", "d", 9), ("b", "e", 9)], set(), 1, 10, True) == [("a", "b")]
-    assert V.choose_merges([("a", "b", 9), ("c", "d", 8)], {"ab"}, 1, 10, True) == [("a", "b")]
-    assert V.choose_merges([("a", "b", 2)], set(), 3, 10, True) == []
+        assert r["n"] == sum(len(slow_pieces("▁" + w, ranks)) for w in lines[r["doc_id"]].split())
+
+
+def slow_pieces(word, ranks):
+    parts = list(word)
+    while True:
+        found = [(ranks[p], i) for i, p in enumerate(zip(parts, parts[1:])) if p in ranks]
+        if not found:
+            return parts
+        i = min(found)[1]
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+
+
+def test_guesses_are_kept_up_to_the_first_wrong_one():
+    exact = {("a", "b"): 9, ("c", "d"): 8, ("b", "e"): 7}
+    tried = [("a", "b"), ("c", "d"), ("b", "e"), ("ab", "e")]
+    changes = {0: [(("a", "b"), -9), (("b", "e"), -2), (("ab", "e"), 6)], 1: [(("c", "d"), -8)], 2: [(("b", "e"), -5)]}
+    assert V.confirmed(tried, exact, 0, changes, 1) == 2
+    assert V.confirmed([*tried[:2], ("ab", "e")], exact, 0, changes, 1) == 3
+    assert V.confirmed([*tried[:2], ("ab", "e")], exact, 6, changes, 1) == 2
+    assert V.confirmed(tried, exact, 9, changes, 1) == 1
+    assert V.confirmed(tried, exact, 0, changes, 10) == 0
+
+
+@pytest.mark.parametrize("words_held", [3, 1000])
+def test_merges_do_not_depend_on_the_words_guessed_from(spark, monkeypatch, words_held):
+    rng = random.Random(9)
+    lines = [" ".join("".join(rng.choices("aabc", k=rng.randint(1, 9))) for _ in range(9)) for _ in range(25)]
+    df = spark.createDataFrame([(x,) for x in [*lines, "aaaaaaa aaaa aa", None, ""]], "t string")
+    counted = {r["word"]: r["freq"] for r in V.word_counts(df, "t").collect()}
+    monkeypatch.setattr(V, "GUESS_WORDS", words_held)
+    monkeypatch.setattr(V, "TOP_PAIRS", 12)
+    assert V.train_bpe(df, "t", min_freq=4, max_merges=20).merges == slow_merges(counted, 20, 4)
+
+
+def test_changes_of_pair_counts_are_those_of_a_recount():
+    rng = random.Random(3)
+    for _ in range(300):
+        word = rng.choices("aab", k=rng.randint(1, 12))
+        merges = [("a", "a"), ("aa", "b"), ("a", "b"), ("b", "a"), ("aa", "a")]
+        changes = {}
+        got = V.fold(word, V._places(merges), changes, 2)
+        counts = Counter(zip(word, word[1:]))
+        for (a, b, _), n in changes.items():
+            counts[a, b] += n / 2
+        assert {p: n for p, n in counts.items() if n} == Counter(zip(got, got[1:])) and "".join(got) == "".join(word)
+
+
+def test_ids_equal_those_of_the_public_library(spark):
+    rng = random.Random(8)
+    stock = ["".join(rng.choices("abcdefé", k=rng.randint(2, 7))) for _ in range(40)] + ["ﬁne", "x²", "a,b", "7up"]
+    lines = [" ".join(rng.choices(stock, k=20)) for _ in range(60)] + ["a" * 3000, "", "   ", "ab" * 500 + ". 12"]
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, t string")
+    got = V.train_bpe(df, "t", min_freq=5, normalise=True)
+    library = tokenizers.Tokenizer(tokenizers.models.BPE(vocab=got.ids, merges=got.merges, unk_token=V.UNKNOWN))
+    for r in df.select("t", V.pretokenize(V.nfkc("t")).alias("words"), V.encode("t", got, normalise=True).alias("ids")).collect():
+        assert r["ids"] == [t.id for w in r["words"] for t in library.model.tokenize(w)]
 
 
 # ---- markup ----------------------------------------------------------------

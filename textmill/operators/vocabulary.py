@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-import re
+import heapq
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.functions.text import ColumnOrName, chars, let
-from textmill.functions.tokens import pretokenize
+from textmill.functions.tokens import nfkc, pretokenize
 from textmill.operators.exploding import explode_items, explode_structs
-from textmill.session import cut_lineage
+from textmill.session import drop_stored, store
 
 # --- fixed values -----------------------------------------------------------
 SPECIAL_TOKENS = ["<EOS>", "<BOS>", "<SEP>", "<CLS>", "<MASK>", "<UNK>", "<PAD>"]
@@ -22,9 +25,15 @@ VOCABULARY_SIZE = 30_000
 MIN_FREQUENCY = 100
 # ----------------------------------------------------------------------------
 
-# Best pairs fetched per round; a round applies those that cannot affect each other.
-CANDIDATES = 512
-CUT_EVERY = 10
+#: Merges tried in one round, and the best pairs whose exact counts the driver holds.
+TRIED = 1024
+TOP_PAIRS = 8192
+#: Most frequent words the next merges are guessed from; every guess is checked on all words.
+#: Where these are all words, each round keeps all it tried.
+GUESS_WORDS = 400_000
+
+
+Pair = tuple[str, str]
 
 
 def word_counts(df: DataFrame, text: ColumnOrName, min_freq: int = 1) -> DataFrame:
@@ -55,18 +64,6 @@ def _symbols(word: Column) -> Column:
     return F.array_join(chars(F.translate(word, SEPARATOR, "\ufffd")), SEPARATOR)
 
 
-def _apply(symbols: Column, merges: list[tuple[str, str]]) -> Column:
-    """Join adjacent symbols of the given pairs, left to right.
-
-    The pairs of one call share no symbol, so a joined symbol never joins again and
-    one alternation serves them all.
-    """
-    pairs = "|".join(f"({re.escape(a)}){SEPARATOR}({re.escape(b)})" for a, b in merges)
-    whole = f"(?<![^{SEPARATOR}])(?:{pairs})(?![^{SEPARATOR}])"
-    groups = "".join(f"${i}" for i in range(1, 2 * len(merges) + 1))
-    return F.regexp_replace(symbols, whole, groups)
-
-
 def _pair_counts(words: DataFrame) -> DataFrame:
     def pairs(parts: Column) -> Column:
         last = F.size(parts) - 1
@@ -77,28 +74,146 @@ def _pair_counts(words: DataFrame) -> DataFrame:
     return found.groupBy("a", "b").agg(F.sum("freq").alias("n"))
 
 
-def choose_merges(ranked: list[tuple[str, str, int]], known: set[str], min_freq: int, room: int, complete: bool) -> list[tuple[str, str]]:
-    """Head of the ranking that gives the same merges as one-by-one training.
+def fold(parts: list[str], ranks: dict[Pair, list[int]], changes: dict | None = None, freq: int = 1) -> list[str]:
+    """Merge adjacent symbols, lowest rank first and from the left, in time n log n.
 
-    A merge only changes counts of pairs that share one of its symbols.  Walking
-    down the ranking, the first pair that touches an earlier choice bounds every
-    count a new pair can reach, so pairs strictly above that bound are safe.
+    ``ranks`` lists the places of each pair in the order of merges.  With ``changes`` (training)
+    ranks only go up, as a merge learned earlier is not applied again to what later ones
+    join, and the change of every pair's count at every rank is added to it.  Without
+    (encoding), the first place of a pair counts whenever it appears.
     """
-    chosen: list[tuple[str, str, int]] = []
-    touched: set[str] = set()
-    bound = 0 if complete else ranked[-1][2]
-    for a, b, n in ranked:
-        if n < min_freq or len(chosen) == room:
-            break
-        if touched & {a, b, a + b} or (chosen and a + b in known):
-            bound = max(bound, n)
-            break
-        chosen.append((a, b, n))
-        touched |= {a, b, a + b}
-        if a + b in known:
-            bound = max(bound, n)
-            break
-    return [(a, b) for i, (a, b, n) in enumerate(chosen) if i == 0 or n > bound]
+    after = [*range(1, len(parts)), -1]
+    before = list(range(-1, len(parts) - 1))
+    symbols: list[str | None] = list(parts)
+    queue: list[tuple[int, int, str, str]] = []
+
+    def offer(at: int, beyond: int) -> None:
+        left, right = symbols[at], symbols[after[at]]
+        for rank in ranks.get((left, right), ()):
+            if changes is None or rank > beyond:
+                heapq.heappush(queue, (rank, at, left, right))
+                return
+
+    def count(left: str, right: str, rank: int, by: int) -> None:
+        if changes is not None:
+            changes[left, right, rank] = changes.get((left, right, rank), 0) + by * freq
+
+    for i in range(len(parts) - 1):
+        offer(i, -1)
+    while queue:
+        rank, at, left, right = heapq.heappop(queue)
+        other = after[at]
+        if symbols[at] != left or other < 0 or symbols[other] != right:
+            continue
+        outer, following, joined = before[at], after[other], left + right
+        count(left, right, rank, -1)
+        symbols[at], symbols[other], after[at] = joined, None, following
+        if following >= 0:
+            before[following] = at
+            count(right, symbols[following], rank, -1)
+            count(joined, symbols[following], rank, 1)
+            offer(at, rank)
+        if outer >= 0:
+            count(symbols[outer], left, rank, -1)
+            count(symbols[outer], joined, rank, 1)
+            offer(outer, rank)
+    return [s for s in symbols if s is not None]
+
+
+def _places(merges: list[Pair]) -> dict[Pair, list[int]]:
+    places: dict[Pair, list[int]] = {}
+    for i, pair in enumerate(merges):
+        places.setdefault(pair, []).append(i)
+    return places
+
+
+def guess_merges(words: list[tuple[list[str], int]], exact: dict[Pair, int], most: int, least: int) -> list[Pair]:
+    """The next merges, as far as some words and the exact counts of the best pairs tell."""
+    held: dict[Pair, int] = {}
+    where: dict[Pair, set[int]] = {}
+    words = [(list(parts), freq) for parts, freq in words]
+    for i, (parts, freq) in enumerate(words):
+        for pair in zip(parts, parts[1:]):
+            held[pair] = held.get(pair, 0) + freq
+            where.setdefault(pair, set()).add(i)
+    likely = {pair: float(exact.get(pair, n)) for pair, n in held.items()} | {p: float(n) for p, n in exact.items()}
+    queue = [(-n, pair) for pair, n in likely.items()]
+    heapq.heapify(queue)
+    merges: list[Pair] = []
+    while queue and len(merges) < most:
+        n, pair = heapq.heappop(queue)
+        if -n != likely.get(pair) or -n < least:
+            continue
+        merges.append(pair)
+        # Words outside the guess are taken to change as these do.
+        share = -n / held[pair] if held.get(pair) else 0.0
+        changed: dict[Pair, float] = {}
+        for i in sorted(where.pop(pair, ())):
+            parts, freq = words[i]
+            changes: dict = {}
+            joined = fold(parts, {pair: [0]}, changes, freq)
+            for (a, b, _), by in changes.items():
+                held[a, b] = held.get((a, b), 0) + by
+                changed[a, b] = changed.get((a, b), 0.0) + by * share
+                where.setdefault((a, b), set()).add(i)
+            words[i] = (joined, freq)
+        for other, by in changed.items():
+            likely[other] = likely.get(other, 0.0) + by
+            heapq.heappush(queue, (-likely[other], other))
+        likely[pair] = 0.0
+    return merges
+
+
+def confirmed(merges: list[Pair], exact: dict[Pair, int], floor: int, changes: dict[int, list[tuple[Pair, int]]], least: int) -> int:
+    """How many of the merges one-by-one training would make, given all counts above ``floor``.
+
+    At each place the most frequent pair (the lower one of equals) must be the merge tried.
+    """
+    counts = dict(exact)
+    queue = [(-n, pair) for pair, n in counts.items()]
+    heapq.heapify(queue)
+    for i, pair in enumerate(merges):
+        while queue and counts.get(queue[0][1]) != -queue[0][0]:
+            heapq.heappop(queue)
+        # A count at the floor may have equals that are not known, save for the first in order.
+        if not queue or queue[0][1] != pair or -queue[0][0] < least or (i > 0 and -queue[0][0] <= floor):
+            return i
+        for other, by in changes.get(i, ()):
+            counts[other] = counts.get(other, 0) + by
+            heapq.heappush(queue, (-counts[other], other))
+    return len(merges)
+
+
+CHANGE_SCHEMA = "a string, b string, step int, n bigint"
+
+
+def _try_merges(words: DataFrame, merges: list[Pair]) -> DataFrame:
+    """Change of pair counts at every step, summed over all words; only words that hold a pair are folded."""
+    places = _places(merges)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            changes: dict = {}
+            for symbols, freq in zip(batch.column("symbols").to_pylist(), batch.column("freq").to_pylist()):
+                fold(symbols.split(SEPARATOR), places, changes, freq)
+            rows = [(a, b, step, n) for (a, b, step), n in changes.items() if n]
+            columns = list(zip(*rows)) if rows else [[], [], [], []]
+            kinds = (pa.string(), pa.string(), pa.int32(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["a", "b", "step", "n"])
+
+    changed = words.mapInArrow(run, CHANGE_SCHEMA)
+    return changed.groupBy("a", "b", "step").agg(F.sum("n").alias("n"))
+
+
+def _merge_words(words: DataFrame, merges: list[Pair]) -> DataFrame:
+    places = _places(merges)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            folded = [SEPARATOR.join(fold(s.split(SEPARATOR), places, {})) for s in batch.column("symbols").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("freq"), pa.array(folded, pa.string())], ["freq", "symbols"])
+
+    return words.mapInArrow(run, words.schema)
 
 
 def train_bpe(
@@ -108,82 +223,85 @@ def train_bpe(
     min_freq: int = MIN_FREQUENCY,
     specials: list[str] = SPECIAL_TOKENS,
     max_merges: int | None = None,
+    normalise: bool = False,
 ) -> Vocabulary:
-    """Byte-pair merges from a corpus (ties: lower pair first).
-
-    The corpus is read once and shrinks to a table of distinct words.  Each round
-    counts pairs with map-side sums, brings a fixed number of best pairs to the
-    driver and merges all that are independent.  All characters of the corpus are kept; their
-    number is bounded by the code points there are.
+    """Byte-pair merges from a corpus (ties: lower pair first), as one-by-one training makes them.
+
+    The corpus is read once and shrinks to stored tables of distinct words and of pair counts.
+    A round guesses many merges from the most frequent words, folds them into all words,
+    which gives the exact change of every pair's count at every step, and keeps the merges
+    up to the first that was not the most frequent pair of its step.  Counts are carried on by
+    their changes.  The driver holds ``GUESS_WORDS`` words, ``TOP_PAIRS`` pairs and the
+    changes of pairs that can come among the best; all characters of the corpus are kept,
+    their number is bounded by the code points there are.  ``normalise`` applies NFKC first.
     """
     # The rounds work on this table only; deal it out so that every core has a share.
     cores = df.sparkSession.sparkContext.defaultParallelism
-    counted = word_counts(df, text).repartition(cores, "word")
-    words = cut_lineage(counted.select("freq", _symbols(F.col("word")).alias("symbols")), "words")
+    counted = word_counts(df, nfkc(text) if normalise else text).repartition(cores, "word")
+    words, words_path = store(counted.select("freq", _symbols(F.col("word")).alias("symbols")), "words")
     alphabet = [
         r["c"] for r in words.select(F.explode(F.array_distinct(F.split("symbols", SEPARATOR))).alias("c")).distinct().collect()
     ]
     vocabulary = Vocabulary([*specials, *sorted(set(alphabet) - set(specials))])
     limit = min(vocabulary_size - len(vocabulary.tokens), max_merges if max_merges is not None else vocabulary_size)
     known = set(vocabulary.tokens)
-    rounds = 0
+    if limit > 0:
+        pairs, pairs_path = store(_pair_counts(words), "pairs")
+        frequent = words.orderBy(F.desc("freq"), "symbols").limit(GUESS_WORDS).collect()
+        guess = [(r["symbols"].split(SEPARATOR), r["freq"]) for r in frequent]
+    attempt = TRIED
     while len(vocabulary.merges) < limit:
-        top = _pair_counts(words).orderBy(F.col("n").desc(), "a", "b").limit(CANDIDATES).collect()
+        top = pairs.filter(F.col("n") >= min_freq).orderBy(F.col("n").desc(), "a", "b").limit(TOP_PAIRS).collect()
         if not top:
             break
-        ranked = [(r["a"], r["b"], r["n"]) for r in top]
-        merges = choose_merges(ranked, known, min_freq, limit - len(vocabulary.merges), len(top) < CANDIDATES)
-        if not merges:
-            break
+        exact = {(r["a"], r["b"]): r["n"] for r in top}
+        floor = top[-1]["n"] if len(top) == TOP_PAIRS else min_freq - 1
+        tried = guess_merges(guess, exact, min(attempt, limit - len(vocabulary.merges)), min_freq)
+        changed, changed_path = store(_try_merges(words, tried), "changes")
+        by_pair = changed.groupBy("a", "b").agg(
+            F.collect_list(F.struct("step", "n")).alias("changes"), F.sum(F.greatest("n", F.lit(0))).alias("up")
+        )
+        base = by_pair.join(pairs.withColumnRenamed("n", "before"), ["a", "b"], "left").na.fill(0, ["before"])
+        changes: dict[int, list[tuple[Pair, int]]] = {}
+        for r in base.filter(F.col("before") + F.col("up") > floor).collect():
+            exact.setdefault((r["a"], r["b"]), r["before"])
+            for step, n in r["changes"]:
+                changes.setdefault(step, []).append(((r["a"], r["b"]), n))
+        merges = tried[: confirmed(tried, exact, floor, changes, min_freq)]
+        # Merges far beyond a wrong guess are wasted.
+        attempt = min(TRIED, max(64, 4 * len(merges)))
         vocabulary.merges += merges
         for a, b in merges:
             if a + b not in known:
                 known.add(a + b)
                 vocabulary.tokens.append(a + b)
-        words = words.withColumn("symbols", _apply(F.col("symbols"), merges))
-        rounds += 1
-        if rounds % CUT_EVERY == 0:
-            words = cut_lineage(words, "words")
+        kept = changed.filter(F.col("step") < len(merges)).select("a", "b", "n")
+        summed = pairs.unionByName(kept).groupBy("a", "b").agg(F.sum("n").alias("n")).filter("n > 0")
+        new_pairs, new_pairs_path = store(summed, "pairs")
+        new_words, new_words_path = store(_merge_words(words, merges), "words")
+        # What the new tables replace is read no more.
+        for path in (words_path, pairs_path, changed_path):
+            drop_stored(df.sparkSession, path)
+        words, words_path, pairs, pairs_path = new_words, new_words_path, new_pairs, new_pairs_path
+        places = _places(merges)
+        guess = [(fold(parts, places, {}), freq) for parts, freq in guess]
     vocabulary.tokens += [t for t in EXTRA_TOKENS if t not in known]
     return vocabulary
 
 
-def _merge_word(word: str, ranks: dict[tuple[str, str], int]) -> list[str]:
-    """Apply the learned merges to one word, best rank first."""
-    parts = list(word)
-    while len(parts) > 1:
-        rank, at = min((ranks.get(pair, len(ranks)), i) for i, pair in enumerate(zip(parts, parts[1:])))
-        if rank == len(ranks):
-            break
-        pair, joined, i = (parts[at], parts[at + 1]), [], 0
-        while i < len(parts):
-            if i + 1 < len(parts) and (parts[i], parts[i + 1]) == pair:
-                joined.append(parts[i] + parts[i + 1])
-                i += 2
-            else:
-                joined.append(parts[i])
-                i += 1
-        parts = joined
-    return parts
-
-
-def encode(text: ColumnOrName, vocabulary: Vocabulary) -> Column:
-    """Token ids of a text: pieces are cut by the engine, merged per Arrow batch."""
+def encode(text: ColumnOrName, vocabulary: Vocabulary, normalise: bool = False) -> Column:
+    """Token ids of a text: pieces are cut by the engine, each distinct one of an Arrow batch is merged once."""
     ids = vocabulary.ids
-    ranks = {pair: i for i, pair in enumerate(vocabulary.merges)}
+    places = _places(vocabulary.merges)
     unknown = ids.get(UNKNOWN, 0)
 
     @F.pandas_udf("array<int>")
     def to_ids(pieces: pd.Series) -> pd.Series:
-        seen: dict[str, list[int]] = {}
-        rows = []
-        for row in pieces:
-            out: list[int] = []
-            for word in row:
-                if word not in seen:
-                    seen[word] = [ids.get(s, unknown) for s in _merge_word(word, ranks)]
-                out += seen[word]
-            rows.append(out)
-        return pd.Series(rows)
-
-    return to_ids(pretokenize(text))
+        lengths = pieces.str.len().to_numpy()
+        codes, words = pd.factorize(np.concatenate([*pieces, np.empty(0, dtype=object)]))
+        coded = [np.array([ids.get(s, unknown) for s in fold(list(w), places)], dtype=np.int32) for w in words]
+        ends = np.cumsum(lengths)
+        none = [np.empty(0, dtype=np.int32)]
+        return pd.Series([np.concatenate([coded[c] for c in codes[e - n : e]] or none) for n, e in zip(lengths, ends)])
+
+    return to_ids(pretokenize(nfkc(text) if normalise else text))

@@ -241,7 +241,7 @@ def piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("trained_merges")
 def trained_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All merges of the corpus, in order, up to the default size and frequency."""
-    vocabulary = train_bpe(documents(spark, sf_dir, "text"), "text")
+    vocabulary = train_bpe(documents(spark, sf_dir, "text"), "text", normalise=True)
     rows = [(i, a, b) for i, (a, b) in enumerate(vocabulary.merges)]
     return spark.createDataFrame(rows, "merge_no int, left string, right string")
 
@@ -268,8 +268,8 @@ def character_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merged_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens per document under all learned merges."""
     docs = documents(spark, sf_dir, "doc_id", "text")
-    vocabulary = train_bpe(docs, "text")
-    coded = docs.select("doc_id", encode("text", vocabulary).alias("ids"))
+    vocabulary = train_bpe(docs, "text", normalise=True)
+    coded = docs.select("doc_id", encode("text", vocabulary, normalise=True).alias("ids"))
     return coded.select("doc_id", F.size("ids").alias("n"), F.md5(F.array_join("ids", ",")).alias("digest"))
 
 

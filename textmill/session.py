@@ -55,16 +55,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def store(df: DataFrame, label: str = "step") -> tuple[DataFrame, str]:
+    """Write ``df`` to the shared folder; the stored table and its path."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def cut_lineage(df: DataFrame, label: str = "step") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Iterative operators use this between rounds: the plan stays short and a
     lost executor only costs a re-read of the written files.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return store(df, label)[0]
 
 
 def drop_stored(spark: SparkSession, path: str) -> None:

@@ -127,6 +127,19 @@ def _places(merges: list[Pair]) -> dict[Pair, list[int]]:
     return places
 
 
+def _join_pair(parts: list[str], pair: Pair) -> list[str]:
+    left, right = pair
+    out, i, last = [], 0, len(parts) - 1
+    while i <= last:
+        if i < last and parts[i] == left and parts[i + 1] == right:
+            out.append(left + right)
+            i += 2
+        else:
+            out.append(parts[i])
+            i += 1
+    return out
+
+
 def guess_merges(words: list[tuple[list[str], int]], exact: dict[Pair, int], most: int, least: int) -> list[Pair]:
     """The next merges, as far as some words and the exact counts of the best pairs tell."""
     held: dict[Pair, int] = {}
@@ -147,19 +160,23 @@ def guess_merges(words: list[tuple[list[str], int]], exact: dict[Pair, int], mos
         merges.append(pair)
         # Words outside the guess are taken to change as these do.
         share = -n / held[pair] if held.get(pair) else 0.0
-        changed: dict[Pair, float] = {}
+        changed: dict[Pair, int] = {}
         for i in sorted(where.pop(pair, ())):
             parts, freq = words[i]
-            changes: dict = {}
-            joined = fold(parts, {pair: [0]}, changes, freq)
-            for (a, b, _), by in changes.items():
-                held[a, b] = held.get((a, b), 0) + by
-                changed[a, b] = changed.get((a, b), 0.0) + by * share
-                where.setdefault((a, b), set()).add(i)
+            joined = _join_pair(parts, pair)
+            if len(joined) == len(parts):
+                continue
+            for other in zip(parts, parts[1:]):
+                changed[other] = changed.get(other, 0) - freq
+            for other in zip(joined, joined[1:]):
+                changed[other] = changed.get(other, 0) + freq
+                where.setdefault(other, set()).add(i)
             words[i] = (joined, freq)
         for other, by in changed.items():
-            likely[other] = likely.get(other, 0.0) + by
-            heapq.heappush(queue, (-likely[other], other))
+            if by:
+                held[other] = held.get(other, 0) + by
+                likely[other] = likely.get(other, 0.0) + by * share
+                heapq.heappush(queue, (-likely[other], other))
         likely[pair] = 0.0
     return merges
 
@@ -216,6 +233,12 @@ def _merge_words(words: DataFrame, merges: list[Pair]) -> DataFrame:
     return words.mapInArrow(run, words.schema)
 
 
+def _rows(df: DataFrame, *columns: str) -> Iterator[tuple]:
+    """A bounded result's rows, brought to the driver by column."""
+    found = df.select(*columns).toArrow()
+    return zip(*(found.column(c).to_pylist() for c in columns))
+
+
 def train_bpe(
     df: DataFrame,
     text: ColumnOrName,
@@ -247,8 +270,8 @@ def train_bpe(
     known = set(vocabulary.tokens)
     if limit > 0:
         pairs, pairs_path = store(_pair_counts(words), "pairs")
-        frequent = words.orderBy(F.desc("freq"), "symbols").limit(GUESS_WORDS).collect()
-        guess = [(r["symbols"].split(SEPARATOR), r["freq"]) for r in frequent]
+        frequent = words.orderBy(F.desc("freq"), "symbols").limit(GUESS_WORDS)
+        guess = [(symbols.split(SEPARATOR), freq) for symbols, freq in _rows(frequent, "symbols", "freq")]
     attempt = TRIED
     while len(vocabulary.merges) < limit:
         top = pairs.filter(F.col("n") >= min_freq).orderBy(F.col("n").desc(), "a", "b").limit(TOP_PAIRS).collect()
@@ -258,15 +281,14 @@ def train_bpe(
         floor = top[-1]["n"] if len(top) == TOP_PAIRS else min_freq - 1
         tried = guess_merges(guess, exact, min(attempt, limit - len(vocabulary.merges)), min_freq)
         changed, changed_path = store(_try_merges(words, tried), "changes")
-        by_pair = changed.groupBy("a", "b").agg(
-            F.collect_list(F.struct("step", "n")).alias("changes"), F.sum(F.greatest("n", F.lit(0))).alias("up")
-        )
-        base = by_pair.join(pairs.withColumnRenamed("n", "before"), ["a", "b"], "left").na.fill(0, ["before"])
+        # Only pairs that can come among the best at some step.
+        up = changed.groupBy("a", "b").agg(F.sum(F.greatest("n", F.lit(0))).alias("up"))
+        base = up.join(pairs.withColumnRenamed("n", "before"), ["a", "b"], "left").na.fill(0, ["before"])
+        reaching = base.filter(F.col("before") + F.col("up") > floor).select("a", "b", "before")
         changes: dict[int, list[tuple[Pair, int]]] = {}
-        for r in base.filter(F.col("before") + F.col("up") > floor).collect():
-            exact.setdefault((r["a"], r["b"]), r["before"])
-            for step, n in r["changes"]:
-                changes.setdefault(step, []).append(((r["a"], r["b"]), n))
+        for a, b, step, n, before in _rows(changed.join(reaching, ["a", "b"]), "a", "b", "step", "n", "before"):
+            exact.setdefault((a, b), before)
+            changes.setdefault(step, []).append(((a, b), n))
         merges = tried[: confirmed(tried, exact, floor, changes, min_freq)]
         # Merges far beyond a wrong guess are wasted.
         attempt = min(TRIED, max(64, 4 * len(merges)))

@@ -1,7 +1,9 @@
 """Chunkers, articles and tagged sentences."""
 
 import random
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from textmill.functions.prompts import entities_by_type, extract_entities, fill_template
@@ -161,3 +163,54 @@ def test_extraction(value):
     filled = fill_template(F.lit("[INPUT_TEXT]:[LIST_LABELS]"), "x", F.array(F.lit("a"), F.lit("b")))
     assert value(filled, ["t"]) == ["t:a，b"]
     assert value(ner_target(F.array(F.struct(F.lit("k").alias("type"), F.col("x").alias("text")))), ["t"]) == ["上述句子中的实体包含：\nk实体：t"]
+
+
+# ---- recursive splitter ----------------------------------------------------
+def slow_recursive(text, size, overlap, separators):
+    """Strings instead of offsets: pieces are regrouped by counting their lengths."""
+    level = 0
+    while separators[level] and separators[level] not in text:
+        level += 1
+    mark, later = separators[level], separators[level + 1 :]
+    parts = re.split(f"({re.escape(mark)})", text) if mark else []
+    pieces = [parts[0], *(parts[i] + parts[i + 1] for i in range(1, len(parts), 2))] if mark else list(text)
+    out, small = [], []
+
+    def pack():
+        held = []
+        for piece in small:
+            if held and sum(map(len, held)) + len(piece) > size:
+                out.append("".join(held))
+                while held and (sum(map(len, held)) > overlap or sum(map(len, held)) + len(piece) > size):
+                    held.pop(0)
+            held.append(piece)
+        if held:
+            out.append("".join(held))
+        small.clear()
+
+    for piece in filter(None, pieces):
+        if len(piece) < size:
+            small.append(piece)
+        else:
+            pack()
+            out += slow_recursive(piece, size, overlap, later) if later else [piece]
+    pack()
+    return [p for p in (o.strip() for o in out) if p]
+
+
+@pytest.mark.parametrize(("size", "overlap"), [(1000, 200), (250, 0), (100, 50), (7, 3)])
+def test_recursive_chunks_equal_brute_force(value, size, overlap):
+    rng = random.Random(size)
+    marks = ["\n\n", "\n", " ", " ", " ", "  ", "\n\n\n", ""]
+    texts = ["".join("".join(rng.choices("abé", k=rng.randint(0, rng.choice([3, 9, 300])))) + rng.choice(marks) for _ in range(rng.randint(0, 120))) for _ in range(60)]
+    texts += [None, "", " ", "\n\n", "x" * 2500, "x" * size, "x" * (size - 1) + " y", "a b " * 700]
+    got = value(C.split_recursive("x", size, overlap), texts)
+    assert got == [slow_recursive(t, size, overlap, C.SEPARATORS) if t else [] for t in texts]
+
+
+def test_recursive_chunks_are_short_and_whole(value):
+    text = "alpha beta gamma\n\n" * 40 + "word " * 300
+    chunks = value(C.split_recursive("x", 100, 0), [text])[0]
+    assert max(map(len, chunks)) <= 100 and "".join(chunks).replace(" ", "").replace("\n", "") == text.replace(" ", "").replace("\n", "")
+    with pytest.raises(ValueError):
+        C.split_recursive("x", 10, 10)

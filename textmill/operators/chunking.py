@@ -6,8 +6,10 @@ once at the end.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections import deque
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ BULLETS = ("■", "•", "\t")
 SKIPPED_WORDS = ("□", "•")
 WARNING_WORDS = ("警告！", "注意！", "说明！")
 CONTENTS_MARKS = ("目录", "..........")
+SEPARATORS = ("\n\n", "\n", " ", "")
 SHORT_RUN = 15
 SHORTEST = 6
 HEADER_TOP = (17, 20)
@@ -176,6 +179,72 @@ def split_overlap(c: ColumnOrName, size: int, overlap: int = 0) -> Column:
     return let(text_or_empty(c), windows)
 
 
+def _piece_begins(text: str, begin: int, end: int, separator: str) -> list[int]:
+    """Where pieces begin: at ``begin`` and at every separator, which stays with what follows it."""
+    if not separator:
+        return list(range(begin, end))
+    begins, at = [begin], text.find(separator, begin, end)
+    while at >= 0:
+        if at > begin:
+            begins.append(at)
+        at = text.find(separator, at + len(separator), end)
+    return begins
+
+
+def _packed_spans(cuts: list[tuple[int, int]], size: int, overlap: int) -> Iterator[tuple[int, int]]:
+    """Spans of consecutive pieces up to ``size``; pieces at a span's end begin the next one while
+    they hold at most ``overlap`` characters and leave room for the next piece."""
+    held: deque[tuple[int, int]] = deque()
+    for begin, end in cuts:
+        if held and end - held[0][0] > size:
+            yield held[0][0], held[-1][1]
+            while held and (begin - held[0][0] > overlap or end - held[0][0] > size):
+                held.popleft()
+        held.append((begin, end))
+    if held:
+        yield held[0][0], held[-1][1]
+
+
+def recursive_spans(text: str, begin: int, end: int, size: int, overlap: int, separators: tuple[str, ...]) -> Iterator[tuple[int, int]]:
+    """Spans of a text cut at the first separator it holds; a piece of ``size`` or more is cut at the later ones.
+
+    Runs of smaller pieces are packed.  The empty separator cuts between characters.
+    """
+    level = next((i for i, s in enumerate(separators) if text.find(s, begin, end) >= 0), len(separators) - 1)
+    begins = _piece_begins(text, begin, end, separators[level])
+    later = separators[level + 1 :] if separators[level] else ()
+    small: list[tuple[int, int]] = []
+    for a, b in zip(begins, [*begins[1:], end]):
+        if b - a < size:
+            small.append((a, b))
+            continue
+        yield from _packed_spans(small, size, overlap)
+        small = []
+        if later:
+            yield from recursive_spans(text, a, b, size, overlap, later)
+        else:
+            yield a, b
+    yield from _packed_spans(small, size, overlap)
+
+
+def split_recursive(c: ColumnOrName, size: int, overlap: int = 0, separators: tuple[str, ...] = SEPARATORS) -> Column:
+    """Chunks of up to ``size`` characters cut at the coarsest separator that makes them fit.
+
+    Neighbours share up to ``overlap`` characters, in whole pieces.  Chunks are stripped and
+    empty ones left out; null and empty texts have none.  Offsets are folded inside the row,
+    and only the chunks are copied.
+    """
+    if not 0 <= overlap < size:
+        raise ValueError("overlap must be smaller than size")
+
+    @F.pandas_udf("array<string>")
+    def chunks(texts: pd.Series) -> pd.Series:
+        cut = ([t[a:b].strip() for a, b in recursive_spans(t, 0, len(t), size, overlap, separators)] if t else [] for t in texts)
+        return pd.Series([[piece for piece in row if piece] for row in cut])
+
+    return chunks(text_or_empty(c))
+
+
 def page_header(words: ColumnOrName) -> Column:
     """Heading of a page from ``array<struct<text, size, top>>``.
 

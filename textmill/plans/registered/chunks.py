@@ -18,6 +18,7 @@ from textmill.operators.chunking import (
     sliding_chunks,
     split_long,
     split_overlap,
+    split_recursive,
     text_blocks,
 )
 from textmill.operators.exploding import built_rows, explode_items
@@ -113,6 +114,18 @@ def fixed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_rows(spark, sf_dir, split_overlap("text", 1000, 200))
 
 
+@query("recursive_chunks")
+def recursive_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Separator-aware chunks of 250 characters."""
+    return chunk_rows(spark, sf_dir, split_recursive("text", 250, 0))
+
+
+@query("overlapping_chunks")
+def overlapping_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Separator-aware chunks of 1000 characters that share up to 200 with their neighbours."""
+    return chunk_rows(spark, sf_dir, split_recursive("text", 1000, 200))
+
+
 @query(
     "sliding_windows",
     f"WITH RECURSIVE {PAGE_SQL}, {SLIDE_SQL} SELECT doc_id, pos::INTEGER AS pos, chunk FROM slide_rows WHERE n = 512",

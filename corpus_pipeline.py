@@ -20,7 +20,9 @@ from textmill.session import cut_lineage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the string-kernel machine, trained on all labels, does not call toxic."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).filter("predicted = 0").select(*docs.columns)
+    # Names of the machine's columns must not be those of the documents.
+    names = tuple(n + "_" * len("".join(docs.columns)) for n in ("score", "predicted"))
+    return toxicity.score(docs, model, names=names).filter(F.col(names[1]) == 0).select(*docs.columns)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,6 +39,9 @@ DECAY = 0.6
 UNIT = 32
 # Characters that two pieces of a very long text share.
 SEAM = 4096
+#: Letters scored at once, and rows a batch that goes back; some twenty arrays of this length are held.
+SLICE_POINTS = 1 << 18
+ROWS_AT_ONCE = 512
 LANDMARKS = 48
 CANDIDATES = 600
 ALIKE = 0.75
@@ -169,7 +172,7 @@ def kernel_rows(marks: Landmarks, texts: list[str]) -> np.ndarray:
     best = np.zeros((len(texts), len(marks.words)), dtype=np.float32)
     scaled = marks.weights / marks.own
     highest = scaled.max(axis=1)
-    for numbers, held in pieces(texts, 1 << 21, SEAM):
+    for numbers, held in pieces(texts, SLICE_POINTS, SEAM):
         symbols, unit_of, text_of = units(held, marks.codes)
         if not len(text_of):
             continue
@@ -295,21 +298,20 @@ def fit(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text
     return Model(marks, whiten @ direction, float(machine.intercept), float(curve.coefficients[0]), float(curve.intercept))
 
 
-def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Adds ``score`` and ``predicted`` (1 from 0.5 on); all columns pass, those of these names are replaced."""
+def score(df: DataFrame, model: Model, text: str = "text", names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """Adds a score and a decision (1 from 0.5 on) under ``names``; all columns pass, those of these names are replaced."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    passed = [c for c in df.columns if c not in ("score", "predicted")]
-    schema = T.StructType(
-        [*[df.schema[c] for c in passed], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
-    )
+    passed = [c for c in df.columns if c not in names]
+    kinds = (T.DoubleType(), T.IntegerType())
+    schema = T.StructType([*[df.schema[c] for c in passed], *[T.StructField(n, k) for n, k in zip(names, kinds)]])
     plain = vars(model) | {"marks": model.marks and vars(model.marks)}
     arrow, shared = to_arrow_schema(schema), df.sparkSession.sparkContext.broadcast(plain)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Model(**shared.value)
         known.marks = known.marks and Landmarks(**known.marks)
-        for batch in batches:
+        for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, len(b), ROWS_AT_ONCE)):
             made = known.scores([t or "" for t in batch.column(text).to_pylist()])
             columns = [batch.column(c) for c in passed] + [pa.array(made), pa.array((made >= 0.5).astype(np.int32))]
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)

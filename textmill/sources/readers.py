@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +22,7 @@ PAGE = (
     "revision struct<id: long, text: struct<_VALUE: string>>"
 )
 CORRUPT = "_corrupt_record"
+PARTS = "source_file string, block long, part long, head boolean, tail boolean, value string"
 
 
 def _with_file(df: DataFrame) -> DataFrame:
@@ -43,9 +47,17 @@ def good_records(df: DataFrame) -> DataFrame:
     return df.filter(F.col(CORRUPT).isNull() & parsed).drop(CORRUPT)
 
 
-def read_json_array(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame:
-    """Files that hold one array of objects each."""
-    return spark.read.schema(schema).option("multiLine", True).json(paths)
+def read_json_array(spark: SparkSession, paths: str | list[str], schema: str, with_corrupt: bool = False) -> DataFrame:
+    """Files that hold one array of objects each.
+
+    ``with_corrupt`` adds the file name and, for a file that cannot be read, its content
+    as ``_corrupt_record``; without it such a file gives a row of nulls.
+    """
+    reader = spark.read.option("multiLine", True)
+    if not with_corrupt:
+        return reader.schema(schema).json(paths)
+    full = T.StructType.fromDDL(schema).add(CORRUPT, T.StringType())
+    return _with_file(reader.schema(full).option("columnNameOfCorruptRecord", CORRUPT).json(paths))
 
 
 def read_parquet(spark: SparkSession, paths: str | list[str], *columns: str) -> DataFrame:
@@ -84,10 +96,68 @@ def tagged_sentence(block: Column | str) -> Column:
     )
 
 
-def read_conll(spark: SparkSession, paths: str | list[str], line_break: str = "\r\n") -> DataFrame:
-    """``chars, labels`` per sentence, with its file; a blank line ends a sentence."""
-    raw = spark.read.option("lineSep", line_break * 2).text(paths)
-    rows = raw.select(F.col("_metadata.file_path").alias("source_file"), tagged_sentence("value").alias("s"))
+def _sentence_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines between blank lines, split by split; parts at the ends of a split stay open."""
+    names = [c.split()[0] for c in PARTS.split(", ")]
+    split, part, head, lines, done = None, 0, False, [], []
+
+    def close(tail: bool) -> None:
+        done.append((*split, part, head, tail, "\n".join(lines)))
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        types = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.string()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+
+    for batch in batches:
+        for at, line in zip(zip(*(c.to_pylist() for c in batch.columns[:2])), batch.column(2).to_pylist()):
+            if at != split:
+                if split:
+                    close(tail=True)
+                split, part, head, lines = at, 0, at[1] > 0, []
+            if line:
+                lines.append(line)
+            else:
+                close(tail=False)
+                part, head, lines = part + 1, False, []
+        if done:
+            yield batch_of(done)
+            done = []
+    if split:
+        close(tail=True)
+        yield batch_of(done)
+
+
+def _joined_parts(parts: DataFrame) -> DataFrame:
+    """Sentences that reach over splits.
+
+    A split has at most two open parts, so a window over a file holds two rows a split.
+    """
+    place = Window.partitionBy("source_file").orderBy("block", "part")
+    numbered = parts.withColumn("sentence", F.sum(F.when(F.col("head"), 0).otherwise(1)).over(place))
+    pieces = F.sort_array(F.collect_list(F.struct("block", "part", "value")))
+    return numbered.groupBy("source_file", "sentence").agg(
+        F.array_join(F.transform(pieces, lambda p: p["value"]), "\n").alias("value")
+    )
+
+
+def read_conll(spark: SparkSession, paths: str | list[str], line_break: str | None = "\r\n") -> DataFrame:
+    """``chars, labels`` per sentence, with its file; a blank line ends a sentence.
+
+    ``line_break=None`` takes LF, CRLF and CR alike, also mixed in one file, and still cuts
+    large files into splits.  It reads the files twice: whole sentences leave their
+    split without a shuffle, only the parts at split borders are joined.
+    """
+    if line_break is None:
+        lines = spark.read.text(paths).select("_metadata.file_path", "_metadata.file_block_start", "value")
+        parts = lines.mapInArrow(_sentence_parts, PARTS)
+        is_open = F.col("head") | F.col("tail")
+        raw = parts.filter(~is_open).select("source_file", "value").unionByName(
+            _joined_parts(parts.filter(is_open)).select("source_file", "value")
+        )
+    else:
+        text = spark.read.option("lineSep", line_break * 2).text(paths)
+        raw = text.select(F.col("_metadata.file_path").alias("source_file"), "value")
+    rows = raw.select("source_file", tagged_sentence("value").alias("s"))
     return rows.select("source_file", "s.chars", "s.labels").filter(F.size("chars") > 0)
 
 

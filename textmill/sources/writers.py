@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,3 +30,42 @@ def write_sep_text(df: DataFrame, path: str, prompt: str = "prompt", response: s
 
 def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).json(path)
+
+
+def _array_lines(batches: Iterator[pa.RecordBatch], rows_per_file: int) -> Iterator[pa.RecordBatch]:
+    """One line a row; brackets stand on the first and last row of each array."""
+    written, held = 0, None
+
+    def batch_of(lines: list[str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+
+    for batch in batches:
+        lines = []
+        for row in batch.column(0).to_pylist():
+            if held is not None:
+                lines.append(held)
+            held = ("," if written % rows_per_file else "[") + row
+            written += 1
+            if written % rows_per_file == 0:
+                lines.append(held + "]")
+                held = None
+        if lines:
+            yield batch_of(lines)
+    if held is not None:
+        yield batch_of([held + "]"])
+    elif written == 0:
+        yield batch_of(["[]"])
+
+
+def write_json_array(
+    df: DataFrame, path: str, mode: str = "errorifexists", rows_per_file: int = ROWS_PER_FILE, keep_nulls: bool = False
+) -> None:
+    """Files of one JSON array each, of ``rows_per_file`` objects at most.
+
+    An array takes as many lines as it has objects, so the file writer's own row limit ends
+    a file where its array ends; a task that is lost or run twice commits whole files only.
+    An empty partition writes ``[]``.
+    """
+    whole = F.to_json(F.struct("*"), {"ignoreNullFields": str(not keep_nulls).lower()})
+    lines = df.select(whole.alias("value")).mapInArrow(lambda b: _array_lines(b, rows_per_file), "value string")
+    lines.write.mode(mode).option("maxRecordsPerFile", rows_per_file).text(path)

@@ -7,8 +7,12 @@ import random
 
 import pytest
 
-from textmill.sources.readers import CORRUPT, read_conll, read_json_array
-from textmill.sources.writers import write_json_array
+from pyspark.sql import functions as F
+
+from textmill.operators.hooks import prepare_where
+from textmill.plans.prepare import PAIR_SPECS, prepare
+from textmill.sources.readers import CORRUPT, read_conll, read_json_array, read_sep_text
+from textmill.sources.writers import write_json_array, write_sep_text
 
 BREAKS = {"lf": ["\n"], "crlf": ["\r\n"], "mixed": ["\n", "\r\n", "\r"]}
 
@@ -101,3 +105,35 @@ def test_unreadable_array_is_named(spark, tmp_path):
     bad = {r.source_file.rsplit("/", 1)[1] for r in rows if r[CORRUPT] is not None}
     assert bad == {"bad.json"}
     assert sorted(r.id for r in rows if r.source_file.endswith("good.json")) == [1, 2]
+
+
+def test_escaped_separator_lines_round_trip(spark, tmp_path):
+    rng = random.Random(5)
+    pieces = ["\n", "\r", "\\", "n", "r", "s", "[SEP]", "[SEP", "]", " ", "é", ""]
+    rows = [tuple("".join(rng.choices(pieces, k=rng.randint(0, 8))) for _ in range(2)) for _ in range(400)]
+    out = str(tmp_path / "sep")
+    write_sep_text(spark.createDataFrame([*rows, (None, "x")], "prompt string, response string"), out, escape=True)
+    got = [(r.prompt, r.response) for r in read_sep_text(spark, out).collect()]
+    assert sorted(got) == sorted([*rows, ("", "x")])
+
+
+@pytest.mark.parametrize("sep", ["", "nx", "aba", "\\t", "a\nb"])
+def test_separators_that_escapes_could_form_are_refused(spark, tmp_path, sep):
+    df = spark.createDataFrame([("a", "b")], "prompt string, response string")
+    with pytest.raises(ValueError):
+        write_sep_text(df, str(tmp_path / "sep"), sep=sep, escape=True)
+
+
+def test_own_test_of_rows_reaches_prepare(spark):
+    rows = [(f"a question of some length {i}", "", f"an answer of some length {i}", i) for i in range(12)]
+    df = spark.createDataFrame(rows, "instruction string, input string, output string, star int")
+    by_column = prepare(df, PAIR_SPECS["belle"], ("star",), where=F.col("star") > 6)
+    by_batch = prepare(df, PAIR_SPECS["belle"], ("star",), where=lambda frame: frame["star"] > 6)
+    want = sorted(map(tuple, by_column.collect()))
+    assert len(want) == 5 and sorted(map(tuple, by_batch.collect())) == want
+
+
+def test_a_missing_answer_drops_the_row(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "id int, x string")
+    kept = prepare_where(df, lambda f: f["x"].astype("string") == "a")
+    assert [r.id for r in kept.collect()] == [1]

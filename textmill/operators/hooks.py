@@ -28,12 +28,19 @@ def map_batches(df: DataFrame, fn: Callable, schema: str | T.StructType) -> Data
 
 
 def prepare_where(df: DataFrame, where: Column | Callable) -> DataFrame:
-    """Row predicate: a Column, or a function over named pandas columns."""
+    """Row predicate: a Column, or a function from a pandas frame to a boolean series.
+
+    The function sees a whole batch; a missing answer drops its row, as null does in a Column.
+    """
     if isinstance(where, Column):
         return df.filter(where)
+
     @F.pandas_udf("boolean")
     def keep(rows: pd.DataFrame) -> pd.Series:
-        return pd.Series([bool(where(r)) for r in rows.to_dict("records")])
+        answers = where(rows)
+        if not isinstance(answers, pd.Series) or len(answers) != len(rows):
+            raise TypeError("the predicate must return one boolean a row, as a series")
+        return answers.astype("boolean").fillna(False).astype(bool)
 
     return df.filter(keep(F.struct(*df.columns)))
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from textmill.functions.text import collapse_punct, compose_optional, compose_prompt, strip_cr, text_or_empty, to_sample
 from textmill.operators.exploding import built_rows
 from textmill.operators.filters import ordinary_task
+from textmill.operators.hooks import prepare_where
 
 
 @dataclass(frozen=True)
@@ -58,12 +59,17 @@ SAMPLE_SPECS = {
 }
 
 
-def prepare(df: DataFrame, spec: SourceSpec, keep_columns: tuple[str, ...] = ()) -> DataFrame:
+def prepare(
+    df: DataFrame, spec: SourceSpec, keep_columns: tuple[str, ...] = (), where: Column | Callable | None = None
+) -> DataFrame:
     """``prompt, response`` of a raw table: one stage of column expressions, no shuffle.
 
-    The cheap keyword test comes first; the similarity test runs on what is left.
+    The cheap keyword test comes first; the similarity test runs on what is left.  ``where`` is the
+    user's own test of raw rows, a Column or a function over batches (see ``prepare_where``); it
+    runs last, so a slow function sees only what the spec keeps.
     """
     kept = df.filter(spec.keep()) if spec.keep else df
+    kept = kept if where is None else prepare_where(kept, where)
     if spec.desc:
         prompt = compose_prompt(spec.title, spec.desc, spec.sep)
     elif spec.optional:

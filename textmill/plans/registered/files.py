@@ -29,9 +29,10 @@ from textmill.sources.readers import (
     read_jsonl,
     read_lines,
     read_parquet,
+    read_sep_text,
     read_wiki_dump,
 )
-from textmill.sources.writers import write_json, write_parquet, write_sep_text
+from textmill.sources.writers import write_json, write_json_array, write_parquet, write_sep_text
 from textmill.streaming.ingest import ingest_stream
 
 PREPARED_SQL = f"""
@@ -81,6 +82,19 @@ def json_array_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select(F.md5("instruction").alias("instruction"), F.length("output").alias("n"))
 
 
+@query(
+    "json_array_sink",
+    f"WITH {INSTRUCTIONS_SQL} SELECT md5(instruction) AS instruction, md5(output) AS output FROM instr",
+)
+def json_array_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written as arrays of 500 objects at most and read back."""
+    path = scratch_path(spark, "array-sink")
+    rows = instruction_rows(spark, sf_dir).select("instruction", "input", "output")
+    write_json_array(rows, path, rows_per_file=500, keep_nulls=True)
+    back = good_records(read_json_array(spark, path, INSTRUCTION, with_corrupt=True))
+    return back.select(F.md5("instruction").alias("instruction"), F.md5("output").alias("output"))
+
+
 @query(
     "nested_chat_files",
     f"WITH {EXCHANGES_SQL} SELECT md5(\"user\") AS human, md5(assistant) AS assistant FROM ex",
@@ -146,6 +160,18 @@ def sep_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_lines(spark, path).select(F.md5("line").alias("line"))
 
 
+@query(
+    "escaped_sep_lines",
+    f"WITH {INSTRUCTIONS_SQL} SELECT md5(instruction) AS prompt, md5(coalesce(output, '')) AS response FROM instr",
+)
+def escaped_sep_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts with their line breaks through separator files and back."""
+    path = scratch_path(spark, "escaped-sep")
+    write_sep_text(instruction_rows(spark, sf_dir), path, "instruction", "output", escape=True)
+    back = read_sep_text(spark, path)
+    return back.select(F.md5("prompt").alias("prompt"), F.md5("response").alias("response"))
+
+
 @query(
     "article_files",
     """
@@ -176,6 +202,21 @@ def tagged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.groupBy("type").agg(F.count("*").alias("spans"), F.sum(F.length("text")).alias("chars"))
 
 
+@query(
+    "tagged_files_any_break",
+    f"WITH {TAGS_SQL} SELECT type, count(*) AS spans, sum(length(text))::BIGINT AS chars FROM spans GROUP BY type",
+)
+def tagged_files_any_break(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sentences in files that mix LF and CRLF."""
+    path = scratch_path(spark, "tagged-mixed")
+    lines = F.transform(F.arrays_zip("chars", "labels"), lambda p: F.concat_ws(" ", p["chars"], p["labels"]))
+    sentence = F.when(F.hash("chars") % 2 == 0, F.array_join(lines, "\r\n")).otherwise(F.array_join(lines, "\n"))
+    rows = tagged(spark, sf_dir).filter(F.size("chars") > 0).select(sentence.alias("value"))
+    rows.write.option("lineSep", "\n\n").text(path)
+    spans = explode_structs(read_conll(spark, path, line_break=None), [], bio_spans("chars", "labels"))
+    return spans.groupBy("type").agg(F.count("*").alias("spans"), F.sum(F.length("text")).alias("chars"))
+
+
 @query(
     "wiki_dump_pages",
     f"""

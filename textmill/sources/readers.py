@@ -70,6 +70,27 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return spark.read.text(paths).withColumnRenamed("value", "line")
 
 
+def read_sep_text(spark: SparkSession, paths: str | list[str], sep: str = "[SEP]") -> DataFrame:
+    """``prompt, response`` of lines that were written with escapes."""
+    at = F.instr("line", sep)
+
+    def restored(piece: Column) -> Column:
+        for letter, raw in (("n", "\n"), ("r", "\r"), ("s", sep)):
+            piece = F.replace(piece, F.lit("\\" + letter), F.lit(raw))
+        return piece
+
+    def plain(text: Column) -> Column:
+        # Between two pairs of backslashes a backslash always leads an escape.
+        pieces = F.split(text, r"\\\\", -1)
+        return F.array_join(F.transform(pieces, restored), "\\")
+
+    lines = read_lines(spark, paths).filter(at > 0)
+    return lines.select(
+        plain(F.substring("line", F.lit(1), at - 1)).alias("prompt"),
+        plain(F.substring("line", at + len(sep), F.length("line"))).alias("response"),
+    )
+
+
 def read_articles(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """One row per blank-line-separated article, any number of blank lines between."""
     df = spark.read.option("lineSep", "\n\n").text(paths).withColumnRenamed("value", "article")

@@ -20,12 +20,42 @@ def write_parquet(
     df.write.mode(mode).option("compression", compression).option("maxRecordsPerFile", rows_per_file).parquet(path)
 
 
+def check_sep(sep: str) -> None:
+    """A separator that escaped text can never contain, not even across its own ends."""
+    overlaps = any(sep.startswith(sep[at:]) for at in range(1, len(sep)))
+    if not sep or sep[0] in "nrs" or overlaps or set(sep) & set("\\\r\n"):
+        raise ValueError(f"separator {sep!r} cannot be used with escapes")
+
+
+def escaped(text: Column, sep: str = SEPARATOR) -> Column:
+    """Backslash, line breaks and the separator as two-letter escapes."""
+    for raw, letter in (("\\", "\\"), ("\n", "n"), ("\r", "r"), (sep, "s")):
+        text = F.replace(text, F.lit(raw), F.lit("\\" + letter))
+    return text
+
+
 def sep_line(prompt: str, response: str, sep: str = SEPARATOR) -> Column:
     return F.concat(text_or_empty(prompt), F.lit(sep), text_or_empty(response))
 
 
-def write_sep_text(df: DataFrame, path: str, prompt: str = "prompt", response: str = "response", sep: str = SEPARATOR, mode: str = "errorifexists") -> None:
-    df.select(sep_line(prompt, response, sep).alias("value")).write.mode(mode).text(path)
+def write_sep_text(
+    df: DataFrame,
+    path: str,
+    prompt: str = "prompt",
+    response: str = "response",
+    sep: str = SEPARATOR,
+    mode: str = "errorifexists",
+    escape: bool = False,
+) -> None:
+    """A line a record.  With ``escape`` line breaks inside a record do not split it and
+    ``read_sep_text`` gives the same texts back (null as empty)."""
+    if escape:
+        check_sep(sep)
+        sides = [escaped(text_or_empty(side), sep) for side in (prompt, response)]
+        line = F.concat(sides[0], F.lit(sep), sides[1])
+    else:
+        line = sep_line(prompt, response, sep)
+    df.select(line.alias("value")).write.mode(mode).text(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

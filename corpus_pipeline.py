@@ -2,8 +2,9 @@
 
 Each stage is one operator over all rows that the stage before kept; its result is written
 as Parquet and read again.  Null and empty texts pass all stages (as one text: copies of
-it go), repeated rows go as exact copies.  Of two near copies (exact similarity of five-word
-shingles 0.8 or more) the one with the larger id goes; no id is the largest.
+it go), repeated rows go as exact copies.  Of rows whose fingerprints are linked (shingle
+length and bit distance of the SimHash operator) the one with the smallest id stays; no id is
+the largest.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import byte_bpe, decontaminate, exact_names, near_copies, toxicity
+from textmill.llm import byte_bpe, decontaminate, exact_names, simhash_tree, toxicity
 from textmill.llm.registry import table
 from textmill.session import cut_lineage
 
@@ -31,17 +32,24 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """No two documents that share four fifths of their five-word shingles."""
-    return near_copies.drop_near(docs)
+    """One document of each component of near fingerprints."""
+    who = "who_" + "_".join(docs.columns)
+    # Ids can be null or repeat, so a row's place in the order ends with a number of its own.
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.monotonically_increasing_id().alias("row"))
+    rows = cut_lineage(docs.withColumn(who, order), "numbered")
+    groups = simhash_tree.near_groups(rows, key=who)
+    gone = cut_lineage(groups.filter(F.col(who) != F.col("component_id")).select(F.col(f"{who}.row").alias("gone")), "near-copies")
+    return rows.join(gone, F.col(f"{who}.row") == F.col("gone"), "left_anti").select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage that aligns with a test item."""
     # Rows have a number of their own: ids can be null or repeat.
-    rows = cut_lineage(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    found = decontaminate.matches(rows, table(spark, sf_dir, "benchmark"), key="_row")
-    gone = cut_lineage(found.select("_row").distinct(), "leaks")
-    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
+    row = "row_" + "_".join(docs.columns)
+    rows = cut_lineage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = decontaminate.matches(rows, table(spark, sf_dir, "benchmark"), key=row)
+    gone = cut_lineage(found.select(row).distinct(), "leaks")
+    return rows.join(gone, row, "left_anti").select(*docs.columns)
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

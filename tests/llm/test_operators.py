@@ -179,6 +179,39 @@ def test_leaks(spark, none):
     assert decontaminate.matches(spark.createDataFrame(rows, SCHEMA), bench.limit(0)).count() == 0
 
 
+def test_spans_begin_where_the_alignment_begins(spark):
+    item = [f"q{i}" for i in range(20)]
+    rng = np.random.default_rng(6)
+    fill = lambda n: [f"w{x}" for x in rng.integers(0, 900, n)]
+    texts = [
+        fill(30) + item[:12] + fill(20),
+        fill(30) + item[:10] + ["new"] * 3 + item[10:] + fill(9),
+        fill(7) + item + fill(3),
+        item[8:],
+        fill(4) + item[:8] + fill(40),
+        fill(60),
+        [],
+    ]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    bench = spark.createDataFrame([(5, " ".join(item))], "item_id long, text string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.score, r.first_word, r.end_word) for r in decontaminate.matches(docs, bench).collect()}
+    assert got == {0: (0.6, 30, 42), 1: (37 / 40, 30, 53), 2: (1.0, 7, 27), 3: (0.6, 0, 12)}
+    low = {r.doc_id: r.score for r in decontaminate.matches(docs, bench, threshold=0.3).collect()}
+    assert low == {k: v[0] for k, v in got.items()} | {4: 0.4}
+
+
+def test_span_has_the_score_of_the_whole_table():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        a, b = (list(rng.choice(list("abcd"), rng.integers(1, 12))) for _ in range(2))
+        score, first, end = decontaminate.local_span(a, b)
+        # The span alone gives the score, and its first and last word are matches.
+        assert decontaminate.local_score(a, b[first:end]) == (score, end - first)
+        assert decontaminate.local_score(a, b)[0] == score
+        assert score == 0 or (b[first] in a and b[end - 1] in a)
+
+
 def test_local_score_is_smith_waterman():
     rng = np.random.default_rng(0)
     for _ in range(40):

@@ -5,6 +5,8 @@ from __future__ import annotations
 import corpus_pipeline
 import numpy as np
 
+from textmill.llm import simhash_tree
+
 
 def test_stages_remove_what_they_should(spark, tmp_path):
     rng = np.random.default_rng(4)
@@ -29,38 +31,38 @@ def test_stages_remove_what_they_should(spark, tmp_path):
     assert [name for name, _ in corpus_pipeline.STAGES][0] == "toxicity"
 
 
-def test_edited_copies_go_at_four_fifths(spark):
+def test_one_row_of_each_component_of_fingerprints_stays(spark):
     rng = np.random.default_rng(8)
-    text = lambda n: [f"w{x}" for x in rng.integers(0, 5000, n)]
-    rows, gone = [], set()
-    for g in range(60):
-        base = text(240)
-        for j, edits in enumerate((0, 1, 2, 3, 4, 5, 8, 14)):
+    texts = [None, "", "  ", "one", "two words"]
+    for g in range(40):
+        base = [f"w{x}" for x in rng.integers(0, 5000, 300)]
+        for edits in (0, 0, 1, 1, 2, 4, 30):
             copy = list(base)
-            for at in rng.choice(48, edits, replace=False):
-                copy[5 * at + 2] = "edited" + str(g * 100 + j)
-            rows.append((10 * g + j, " ".join(copy)))
-    grams = [{tuple(t.split()[i : i + 5]) for i in range(236)} for _, t in rows]
-    alike = lambda a, b: len(grams[a] & grams[b]) / len(grams[a] | grams[b]) >= 0.8
-    rows += [(None, rows[-8][1] + " more"), (rows[0][0], " ".join(text(50)))]
-    left = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
-    number = {r: i for i, r in enumerate(rows)}
-    stay = {number[tuple(r)] for r in left}
-    assert len(left) == len(stay) and len(grams) + 1 in stay and len(grams) not in stay
-    for g in range(0, len(grams), 8):
-        for b in range(g, g + 8):
-            copies = [a for a in range(g, b) if alike(a, b)]
-            # Nothing similar stays together, and only what has a smaller near copy goes.
-            assert (b in stay and not stay & set(copies)) or (b not in stay and copies)
-
-
-def test_large_groups_of_near_copies(spark):
-    rng = np.random.default_rng(9)
-    base = [f"w{x}" for x in rng.integers(0, 5000, 200)]
-    rows = [(i, " ".join(base[:150] + [f"x{i}"] + base[150:])) for i in range(40)]
-    rows += [(100 + i, " ".join(base[:110] + [f"v{i}_{k}" for k in range(90)])) for i in range(20)]
-    left = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
-    assert {r.doc_id for r in left} == {0} | {100 + i for i in range(20)}
+            for at in rng.choice(300, edits, replace=False):
+                copy[at] = f"edited{g}"
+            texts.append(" ".join(copy))
+    texts += [texts[-1] + " ", texts[5].upper()]
+    ids = [None, None, *range(len(texts) - 2)]
+    rows = [(i, t, k, "mine") for k, (i, t) in enumerate(zip(ids, texts))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row long, bits string")
+    left = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert left.columns == docs.columns
+    stay = {r.row for r in left.collect()}
+    # Brute force over all pairs of fingerprints.
+    prints = [simhash_tree.fingerprint((t or "").encode(), simhash_tree.WIDTH) for t in texts]
+    root = list(range(len(texts)))
+    order = sorted(root, key=lambda k: (ids[k] is None, ids[k] or 0, k))
+    while True:
+        before = list(root)
+        for a in root:
+            for b in range(len(texts)):
+                if (int(prints[a]) ^ int(prints[b])).bit_count() <= simhash_tree.RADIUS:
+                    root[a] = root[b] = min(root[a], root[b], key=order.index)
+        if root == before:
+            break
+    assert stay == set(root)
+    assert 40 < len(stay) < len(texts) - 80
+    assert corpus_pipeline.drop_near_copies(spark, docs.limit(0), "").count() == 0
 
 
 def test_leaks_go_by_row_not_by_id(spark, tmp_path):

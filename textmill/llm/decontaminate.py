@@ -52,23 +52,39 @@ def rare_seeds(grams: list[str], counts: dict[str, int], window: int = WINDOW) -
     return sorted({min(rank[i : i + window])[1] for i in range(last + 1)}) if grams else []
 
 
-def local_score(a: list[str], b: list[str]) -> tuple[int, int]:
-    """Best Smith-Waterman score of two word lists and where it ends in ``b``."""
+def _best_cell(a: list[str], b: list[str]) -> tuple[int, int, int]:
+    """Best Smith-Waterman score of two word lists, and the first cell (words of ``a``, words of ``b``) that has it."""
     numbers: dict[str, int] = {}
     x = np.array([numbers.setdefault(w, len(numbers)) for w in a])
     y = np.array([numbers.setdefault(w, len(numbers)) for w in b])
     ramp = -GAP * np.arange(len(y) + 1)
     row = np.zeros(len(y) + 1, dtype=np.int64)
-    best, end = 0, 0
-    for w in x:
+    best = (0, 0, 0)
+    for used, w in enumerate(x, 1):
         step = np.maximum(row[:-1] + np.where(y == w, MATCH, MISMATCH), row[1:] + GAP)
         row = np.concatenate([[0], np.maximum(step, 0)])
         # Gaps along the row: the running maximum of score + distance.
         row = np.maximum(row, np.maximum.accumulate(row + ramp) - ramp)
         at = int(row.argmax())
-        if row[at] > best:
-            best, end = int(row[at]), at
-    return best, end
+        if row[at] > best[0]:
+            best = (int(row[at]), used, at)
+    return best
+
+
+def local_score(a: list[str], b: list[str]) -> tuple[int, int]:
+    """Best Smith-Waterman score of two word lists and where it ends in ``b``."""
+    score, _, end = _best_cell(a, b)
+    return score, end
+
+
+def local_span(a: list[str], b: list[str]) -> tuple[int, int, int]:
+    """Best score, and the first and end word of its alignment in ``b``.
+
+    The first best cell is the only one of the prefixes it ends, so the best alignment of the
+    reversed prefixes begins in it and ends where the alignment begins.
+    """
+    score, used, end = _best_cell(a, b)
+    return score, end - _best_cell(a[:used][::-1], b[:end][::-1])[2], end
 
 
 def _automaton(phrases: list[str]) -> ahocorasick.Automaton:
@@ -96,7 +112,7 @@ def gram_counts(passages: DataFrame, grams: list[str], text: str) -> dict[str, i
     return {grams[r["gram"]]: r["n"] for r in counted.groupBy("gram").agg(F.sum("n").alias("n")).collect()}
 
 
-def _align(words: list[str], anchors: list[int], item: list[str]) -> tuple[float, int, int]:
+def _align(words: list[str], anchors: list[int], item: list[str], threshold: float = THRESHOLD) -> tuple[float, int, int]:
     """Best score around the anchors (places where the item would begin): score, first and end word."""
     reach = len(item) // 2 + 2
     spans: list[list[int]] = []
@@ -113,12 +129,13 @@ def _align(words: list[str], anchors: list[int], item: list[str]) -> tuple[float
         for begin in range(low, high, 4 * len(item) + 64):
             piece = words[begin : min(high, begin + 8 * len(item) + 128)]
             shared = sum(w in known for w in piece)
-            if shared < THRESHOLD * len(item):
+            # A score is at most that of a match for every shared word.
+            if shared < threshold * len(item):
                 continue
-            score, end = local_score(item, piece)
+            score, first, end = local_span(item, piece)
             share = score / (MATCH * len(item))
             if share > best[0]:
-                best = (share, max(0, begin + end - len(item)), begin + end)
+                best = (share, begin + first, begin + end)
     return best
 
 
@@ -160,7 +177,7 @@ def _block_matches(passages: DataFrame, items: list[tuple], key: str, text: str,
                     for item, at in places[i]:
                         anchors.setdefault(item, []).append(word - at)
                 for item, where in anchors.items():
-                    score, first, end = _align(words, where, items[item][1])
+                    score, first, end = _align(words, where, items[item][1], threshold)
                     if score >= threshold:
                         rows.append(r)
                         found.append((item, score, first, end))

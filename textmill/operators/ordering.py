@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -100,3 +102,48 @@ def shuffled_positions(df: DataFrame, key: str, seed: int, buckets: int = 4096)
     return ranked.join(offsets, "_bucket").select(
         (F.col("_place") + F.col("_offset")).cast("long").alias("place"), *df.columns
     )
+
+
+#: Rounds of a permutation, and the prime its bits are computed under.
+ROUNDS = 48
+PRIME = (1 << 31) - 1
+
+
+def round_keys(seed: int, rounds: int = ROUNDS) -> list[tuple[int, int, int, int]]:
+    """Four numbers a round: the partner's sum (before it is reduced to the table size) and three factors."""
+    digests = (hashlib.sha256(f"{seed}#{i}".encode()).digest() for i in range(rounds))
+    parts = ([int.from_bytes(d[k : k + 7], "big") for k in (0, 7, 14, 21)] for d in digests)
+    return [(p[0], *(1 + x % (PRIME - 1) for x in p[1:])) for p in parts]
+
+
+def permuted(position: Column, n: int, seed: int, rounds: int = ROUNDS) -> Column:
+    """Place of a position 0..n-1 in a seeded order: computed, so nothing is sorted or shuffled.
+
+    A swap-or-not network.  In each round a position and the one that adds up with it to the
+    round's key (modulo n) change places or stay, by one bit of the larger of the two.  Both see
+    the same bit, so every round, and the whole, maps 0..n-1 onto itself for any n.
+    """
+    if n < 1:
+        return position.cast("long")
+    size, prime = F.lit(n).cast("long"), F.lit(PRIME).cast("long")
+    keys = [(k % n, a, b, c) for k, a, b, c in round_keys(seed, rounds)]
+    columns = [F.array(*[F.lit(v).cast("long") for v in values]) for values in zip(*keys)]
+
+    def step(x: Column, key: Column) -> Column:
+        partner = F.pmod(key["0"] - x, size)
+        # Every factor is below 2**31, so no product leaves 64 bits.
+        mixed = (F.pmod(F.greatest(x, partner), prime) * key["1"] + key["2"]) % prime
+        mixed = (mixed * mixed + key["3"]) % prime
+        return F.when(mixed % 2 == 1, partner).otherwise(x)
+
+    return F.aggregate(F.arrays_zip(*[c.alias(str(i)) for i, c in enumerate(columns)]), position.cast("long"), step)
+
+
+def permuted_positions(df: DataFrame, key: str, seed: int, out: str = "place") -> DataFrame:
+    """``out`` 0..n-1 of every row in a seeded order; ``key`` is a unique integer and gets dense numbers first.
+
+    Another epoch is another seed over the same numbers: a projection.
+    """
+    position = "_".join(["position", *df.columns])
+    numbered = row_numbers(df, key, position)
+    return numbered.withColumn(out, permuted(F.col(position), df.count(), seed)).drop(position)

@@ -17,6 +17,7 @@ from textmill.functions.text import (
     first_sentence,
     fix_wiki_marks,
     map_chars,
+    map_phrases,
     normalise_line,
     pick_template,
     strip,
@@ -26,7 +27,7 @@ from textmill.functions.text import (
     to_zh_punct,
     unescape_newline,
 )
-from textmill.operators.dedup import content_key, dedup_exact, first_per_key, merge_datasets
+from textmill.operators.dedup import content_key, dedup_exact, exclude_sources, first_per_key, merge_datasets
 from textmill.operators.filters import (
     drop_tasks,
     max_len,
@@ -36,7 +37,7 @@ from textmill.operators.filters import (
     valid_instruction,
     valid_pairs,
 )
-from textmill.operators.ordering import shard_rows, split_rows
+from textmill.operators.ordering import PRIME, permuted_positions, round_keys, shard_rows, split_rows
 from textmill.plans.prepare import PAIR_SPECS, SAMPLE_SPECS, corpus_report_total, corpus_totals, prepare, prepare_samples
 from textmill.plans.registered import documents, query, table
 from textmill.plans.registered.sqltext import collapse, collapse_sft, dice, hash32, lit, strip as sql_strip, zh_punct
@@ -406,3 +407,47 @@ def line_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         clean_chunk("text").alias("chunk"),
         unescape_newline("text").alias("unescaped"),
     )
+
+
+EPOCH_SEED = 7
+ROUND_ROWS = ", ".join(f"({i}, {k}, {a}, {b}, {c})" for i, (k, a, b, c) in enumerate(round_keys(EPOCH_SEED)))
+
+
+@query(
+    "epoch_permutation",
+    f"""
+    WITH RECURSIVE keys(i, k, a, b, c) AS (
+        SELECT i::INTEGER, k::BIGINT, a::BIGINT, b::BIGINT, c::BIGINT FROM (VALUES {ROUND_ROWS}) AS v(i, k, a, b, c)),
+    size AS (SELECT count(*)::BIGINT AS n FROM documents),
+    walk(doc_id, i, x) AS (
+        SELECT doc_id, 0, (row_number() OVER (ORDER BY doc_id) - 1)::BIGINT FROM documents
+        UNION ALL
+        SELECT doc_id, i + 1, CASE WHEN ((m * m + c) % {PRIME}) % 2 = 1 THEN p ELSE x END FROM (
+            SELECT *, ((greatest(x, p) % {PRIME}) * a + b) % {PRIME} AS m FROM (
+                SELECT walk.doc_id, walk.i, walk.x, a, b, c, ((k % n) - x + n) % n AS p
+                FROM walk JOIN keys ON keys.i = walk.i, size)))
+    SELECT x AS place, doc_id FROM walk WHERE i = (SELECT count(*) FROM keys)
+    """,
+)
+def epoch_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A place of its own for every document, computed from its number."""
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    return permuted_positions(docs, "doc_id", EPOCH_SEED).select("place", "doc_id")
+
+
+@query("sources_left_out", "SELECT doc_id, source FROM documents WHERE source NOT IN ('src3', 'src1')")
+def sources_left_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exclude_sources(table(spark, sf_dir, "documents").select("doc_id", "source"), "src3", "src1", column="source")
+
+
+PHRASES = {"hand": "H", "and": "&", "er": "ER", "ight": "ite"}
+
+
+@query(
+    "phrase_mapped_texts",
+    "SELECT doc_id, md5(replace(replace(replace(replace(text, 'hand', 'H'), 'ight', 'ite'), 'and', '&'), 'er', 'ER')) AS mapped FROM documents",
+)
+def phrase_mapped_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dictionary whose phrases contain one another: the longest at a place counts."""
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    return docs.select("doc_id", F.md5(map_phrases("text", PHRASES)).alias("mapped"))

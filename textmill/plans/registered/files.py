@@ -33,7 +33,7 @@ from textmill.sources.readers import (
     read_wiki_dump,
 )
 from textmill.sources.writers import write_json, write_json_array, write_parquet, write_sep_text
-from textmill.streaming.ingest import ingest_stream
+from textmill.streaming.ingest import ingest_counted, ingest_stream
 
 PREPARED_SQL = f"""
     WITH {INSTRUCTIONS_SQL}, p AS (SELECT {COMPOSE_SQL} AS prompt, output AS response FROM instr WHERE {TASK_SQL}),
@@ -65,6 +65,40 @@ def streamed_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, target).select(F.md5("prompt").alias("prompt"), F.md5("response").alias("response"))
 
 
+@query(
+    "ingestion_counts",
+    f"""
+    WITH {INSTRUCTIONS_SQL}, p AS (
+        SELECT lang IS NOT DISTINCT FROM 'de' AS bad, {TASK_SQL} AS task,
+               replace({COMPOSE_SQL}, chr(13), '') AS prompt, replace(output, chr(13), '') AS response FROM instr),
+    t AS (SELECT count(*) AS rows_read, count(*) FILTER (WHERE bad) AS rows_rejected,
+                 count(*) FILTER (WHERE NOT bad AND task AND length(prompt) >= 15 AND length(response) >= 15) AS rows_kept FROM p)
+    SELECT counted, t.* FROM t, (VALUES ('batches'), ('files'), ('stored')) AS v(counted)
+    """,
+)
+def ingestion_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows as observed in passing, as counted by file and as stored, where the lines of one language are cut short."""
+    source = scratch_path(spark, "lines")
+    line = F.to_json(F.struct("instruction", "input", "output"))
+    cut = F.when(F.col("lang").eqNullSafe("de"), F.substring(line, 1, 12)).otherwise(line)
+    instruction_rows(spark, sf_dir).select(cut.alias("value")).write.text(source)
+    target, rejects, counts, state = (scratch_path(spark, k) for k in ("counted", "rejected", "counts", "counted-state"))
+    # Several batches whatever the number of files.
+    ingest_counted(
+        spark, PAIR_SPECS["belle"], INSTRUCTION, source, target, rejects, counts, state, files_per_batch=4
+    ).awaitTermination()
+    rows = spark.read.parquet(counts)
+    sums = [F.sum(c).alias(c) for c in ("rows_read", "rows_rejected", "rows_kept")]
+    kind = F.when(F.col("source_file").isNull(), "batches").otherwise("files")
+    counted = rows.groupBy(kind.alias("counted")).agg(*sums)
+    read = rows.filter(F.col("source_file").isNotNull()).agg(F.sum("rows_read").alias("rows_read"))
+    bad = spark.read.parquet(rejects).agg(F.count("*").alias("rows_rejected"))
+    kept = spark.read.parquet(target).agg(F.count("*").alias("rows_kept"))
+    # Three tables of one row.
+    stored = read.join(F.broadcast(bad)).join(F.broadcast(kept)).select(F.lit("stored").alias("counted"), "rows_read", "rows_rejected", "rows_kept")
+    return counted.unionByName(stored)
+
+
 @query(
     "json_array_files",
     f"WITH {INSTRUCTIONS_SQL} SELECT md5(instruction) AS instruction, length(output)::INTEGER AS n FROM instr",

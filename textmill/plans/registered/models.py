@@ -23,12 +23,13 @@ from textmill.operators.answers import (
 )
 from textmill.operators.conversations import exchanges
 from textmill.operators.exploding import explode_items
-from textmill.operators.hooks import build_preference, embed, grade, map_batches, score_pairs
+from textmill.operators.hooks import build_preference, embed, generate, grade, join_preference, map_batches, score_pairs
 from textmill.operators.retrieval import bm25_search, lexical_retriever
 from textmill.operators.vocabulary import encode, train_bpe, word_counts
 from textmill.plans.registered import documents, query, spread, table
 from textmill.plans.registered.chat import EXCHANGES_SQL
 from textmill.plans.registered.search import index, letters_sql, lexical_sql, passages, unit_sql
+from textmill.session import cut_lineage
 
 
 # ---- hooks -----------------------------------------------------------------
@@ -60,6 +61,22 @@ def generated_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_preference(pairs, respell, "user", "assistant")
 
 
+@query(
+    "joined_preferences",
+    f"""
+    WITH {EXCHANGES_SQL}
+    SELECT conv_id, turn, "user" AS prompt, assistant AS chosen, replace(split_part("user", '.', 1), 'e', '3') AS rejected FROM ex
+    """,
+)
+def joined_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows from a stored table of generations."""
+    key = F.concat_ws(":", "conv_id", "turn").alias("exchange")
+    pairs = spread(exchanges(table(spark, sf_dir, "conversations"))).select("*", key)
+    stored = cut_lineage(generate(pairs, respell, "user").select("exchange", "generation"), "generations")
+    joined = join_preference(pairs, stored, "exchange")
+    return joined.select("conv_id", "turn", F.col("user").alias("prompt"), F.col("assistant").alias("chosen"), "rejected")
+
+
 @query(
     "hook_outputs",
     f"""

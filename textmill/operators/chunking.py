@@ -316,12 +316,15 @@ def build_chunks(
     slide_sizes: tuple[int, ...] = (256, 512),
     rule_sizes: tuple[int, ...] = (256, 512),
     stop: str = STOP,
+    kept: Callable[[Column], dict[str, Column]] | None = None,
 ) -> DataFrame:
     """All chunkings of every document, exact repeats removed.
 
     Each document is read once: its chunkings sit in one array that is exploded,
     so there is no union of six scans.  ``words`` adds the font-size blocks; without
-    it long texts are split by :func:`split_long`.
+    it long texts are split by :func:`split_long`.  Windows repeat a text many times over:
+    with ``kept`` only these columns of a chunk and its digest are sorted and shuffled,
+    not the chunk.
     """
     runs: list[tuple[str, Column]] = []
     for n in block_sizes:
@@ -338,7 +341,11 @@ def build_chunks(
     )
     methods = explode_structs(prepared, [key], packed)
     rows = explode_items(methods, [key, "method_no", "method"], F.col("chunks"), "chunk")
-    return dedup_exact(rows, "chunk", ["method_no", key, "pos"])
+    order = ["method_no", key, "pos"]
+    if kept is None:
+        return dedup_exact(rows, "chunk", order)
+    first = dedup_exact(rows.drop("method"), "chunk", order, kept(F.col("chunk")))
+    return first.withColumn("method", F.get(F.array(*(F.lit(name) for name, _ in runs)), F.col("method_no")))
 
 
 def as_documents(chunks: DataFrame, chunk_id: str, text: str) -> DataFrame:

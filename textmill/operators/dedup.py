@@ -23,10 +23,16 @@ def first_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFr
     return df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") == 1).drop("_rank")
 
 
-def dedup_exact(df: DataFrame, text: str, order_by: str | list[str]) -> DataFrame:
-    """Keep the first occurrence of every text."""
+def dedup_exact(df: DataFrame, text: str, order_by: str | list[str], kept: dict[str, Column] | None = None) -> DataFrame:
+    """Keep the first occurrence of every text.
+
+    With ``kept`` these columns take the text's place before the exchange, which then moves no text.
+    """
     order = [order_by] if isinstance(order_by, str) else order_by
-    keyed = df.withColumn("_key", content_key(F.col(text)))
+    if kept is None:
+        keyed = df.withColumn("_key", content_key(F.col(text)))
+    else:
+        keyed = df.withColumns({"_key": F.unhex(content_key(F.col(text))), **kept}).drop(text)
     return first_per_key(keyed, ["_key"], order).drop("_key")
 
 

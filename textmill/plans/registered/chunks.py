@@ -198,8 +198,11 @@ def kept_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def all_chunkings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six chunkings of every document, exact repeats removed across all of them."""
-    chunks = build_chunks(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text", stop=STOP)
-    return chunks.select("doc_id", "method", "pos", F.length("chunk").alias("n"), F.md5("chunk").alias("digest"))
+    def kept(chunk: Column) -> dict[str, Column]:
+        return {"n": F.length(chunk), "digest": F.unhex(F.md5(chunk))}
+
+    chunks = build_chunks(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text", stop=STOP, kept=kept)
+    return chunks.select("doc_id", "method", "pos", "n", F.lower(F.hex("digest")).alias("digest"))
 
 
 def page_words(spark: SparkSession, sf_dir: str) -> DataFrame:

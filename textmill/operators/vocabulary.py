@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,9 @@ MIN_FREQUENCY = 100
 #: Merges tried in one round, and the best pairs whose exact counts the driver holds.
 TRIED = 1024
 TOP_PAIRS = 8192
+#: Pieces a task encodes at a time, and the words whose ids it keeps within a batch.
+SLICE_PIECES = 1 << 17
+CACHED_WORDS = 1 << 16
 #: Most frequent words the next merges are guessed from; every guess is checked on all words.
 #: Where these are all words, each round keeps all it tried.
 GUESS_WORDS = 400_000
@@ -311,19 +315,47 @@ def train_bpe(
     return vocabulary
 
 
+def _sliced(lists: pa.Array) -> Iterator[pa.Array]:
+    """Slices of whole rows with at most ``SLICE_PIECES`` elements, or one row."""
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(lists):
+        gone = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, gone + SLICE_PIECES, side="right")))
+        yield lists.slice(at, to - at)
+        at = to
+
+
+def _coded(lists: pa.Array, merged: Callable[[str], np.ndarray]) -> pa.Array:
+    """Ids of lists of pieces; each distinct piece is looked up once."""
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    pieces = lists.flatten().dictionary_encode()
+    known = [merged(w) for w in pieces.dictionary.to_pylist()]
+    sizes = np.array([len(k) for k in known], dtype=np.int64)
+    codes = pieces.indices.to_numpy(zero_copy_only=False)
+    counts = sizes[codes]
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    begins = (np.cumsum(sizes) - sizes)[codes]
+    flat = np.concatenate([*known, np.empty(0, dtype=np.int32)])
+    values = flat[np.repeat(begins - ends[:-1], counts) + np.arange(ends[-1])]
+    offsets = ends[np.concatenate([[0], np.cumsum(lengths)])]
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
+
+
 def encode(text: ColumnOrName, vocabulary: Vocabulary, normalise: bool = False) -> Column:
-    """Token ids of a text: pieces are cut by the engine, each distinct one of an Arrow batch is merged once."""
+    """Token ids of a text: pieces are cut by the engine, each distinct one of a slice of an Arrow batch is merged once."""
     ids = vocabulary.ids
     places = _places(vocabulary.merges)
     unknown = ids.get(UNKNOWN, 0)
 
-    @F.pandas_udf("array<int>")
-    def to_ids(pieces: pd.Series) -> pd.Series:
-        lengths = pieces.str.len().to_numpy()
-        codes, words = pd.factorize(np.concatenate([*pieces, np.empty(0, dtype=object)]))
-        coded = [np.array([ids.get(s, unknown) for s in fold(list(w), places)], dtype=np.int32) for w in words]
-        ends = np.cumsum(lengths)
-        none = [np.empty(0, dtype=np.int32)]
-        return pd.Series([np.concatenate([coded[c] for c in codes[e - n : e]] or none) for n, e in zip(lengths, ends)])
+    @F.arrow_udf("array<int>")
+    def to_ids(pieces: pa.Array) -> pa.Array:
+        @lru_cache(maxsize=CACHED_WORDS)
+        def merged(word: str) -> np.ndarray:
+            symbols = fold(list(word), places) if places else word
+            return np.array([ids.get(s, unknown) for s in symbols], dtype=np.int32)
+
+        parts = [_coded(part, merged) for part in _sliced(pieces)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
     return to_ids(pretokenize(nfkc(text) if normalise else text))

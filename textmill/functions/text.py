@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,6 +27,9 @@ END_MARK_SEQ2SEQ = "[EOS]"
 
 ColumnOrName = Column | str
 
+#: Texts that a task holds as Python strings at a time.
+SLICE_TEXTS = 256
+
 
 def col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -93,6 +96,20 @@ def map_chars(c: ColumnOrName, mapping: dict[str, str]) -> Column:
     return F.translate(col(c), "".join(mapping), "".join(mapping.values()))
 
 
+def by_text(change: Callable[[str], str]) -> Callable[[Column], Column]:
+    """A function of one text over Arrow batches, a slice of rows at a time; null stays null."""
+
+    @F.arrow_udf("string")
+    def run(values: pa.Array) -> pa.Array:
+        parts = [
+            pa.array([None if t is None else change(t) for t in values.slice(at, SLICE_TEXTS).to_pylist()], pa.string())
+            for at in range(0, len(values), SLICE_TEXTS)
+        ]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+
+    return run
+
+
 def map_phrases(c: ColumnOrName, mapping: dict[str, str]) -> Column:
     """Phrase mapping from a user dictionary, longest match first."""
     if not mapping:
@@ -100,11 +117,7 @@ def map_phrases(c: ColumnOrName, mapping: dict[str, str]) -> Column:
     longest_first = sorted(mapping, key=len, reverse=True)
     pattern = re.compile("|".join(map(re.escape, longest_first)))
 
-    @F.pandas_udf("string")
-    def convert(values: pd.Series) -> pd.Series:
-        return values.str.replace(pattern, lambda m: mapping[m.group()], regex=True)
-
-    return convert(col(c))
+    return by_text(lambda text: pattern.sub(lambda m: mapping[m.group()], text))(col(c))
 
 
 def normalise_line(c: ColumnOrName, mapping: dict[str, str] | None = None) -> Column:

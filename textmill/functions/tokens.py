@@ -7,11 +7,12 @@ work is linear after the sort.
 
 from __future__ import annotations
 
-import pandas as pd
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from textmill.functions.text import ColumnOrName, col, let, text_or_empty
+from textmill.functions.text import ColumnOrName, by_text, col, let, text_or_empty
 
 WORD_PATTERN = r"[\p{L}\p{N}_]+"
 # One punctuation mark, one digit, or a run of anything else.
@@ -44,11 +45,7 @@ def pretokenize(c: ColumnOrName) -> Column:
 
 
 def nfkc(c: ColumnOrName) -> Column:
-    @F.pandas_udf("string")
-    def normalise(values: pd.Series) -> pd.Series:
-        return values.str.normalize("NFKC")
-
-    return normalise(col(c))
+    return by_text(lambda text: unicodedata.normalize("NFKC", text))(col(c))
 
 
 def term_counts(tokens: Column) -> Column:

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textmill.functions.text import text_or_empty
+from textmill.functions.text import SLICE_TEXTS, text_or_empty
 
 ROWS_PER_FILE = 1_000_000
 SEPARATOR = "[SEP]"
@@ -69,7 +69,7 @@ def _array_lines(batches: Iterator[pa.RecordBatch], rows_per_file: int) -> Itera
     def batch_of(lines: list[str]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
 
-    for batch in batches:
+    for batch in (b.slice(at, SLICE_TEXTS) for b in batches for at in range(0, b.num_rows, SLICE_TEXTS)):
         lines = []
         for row in batch.column(0).to_pylist():
             if held is not None:

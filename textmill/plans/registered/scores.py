@@ -23,15 +23,22 @@ from textmill.operators.metrics import (
     sentence_bleu,
     text_metrics,
 )
-from textmill.plans.registered import query, spread, table
+from textmill.plans.registered import query, table
 from textmill.plans.registered.chat import EXCHANGES_SQL
 from textmill.plans.registered.search import unit_sql, letters_sql
 from textmill.plans.registered.sqltext import words as sql_words
 
 
+#: Turns behind the pairs one task scores.
+TASK_TURNS = 4000
+
+
 def reply_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replies and the same replies with every fifth word left out."""
-    pairs = spread(exchanges(table(spark, sf_dir, "conversations")))
+    turns = table(spark, sf_dir, "conversations")
+    # A joined partition is as large as its shuffle allows, and some scores take a second for a thousand rows.
+    parts = max(spark.sparkContext.defaultParallelism, -(-turns.count() // TASK_TURNS))
+    pairs = exchanges(turns).repartition(parts)
     ref = words("assistant")
     return pairs.select(
         "conv_id", "turn", "user", "assistant", ref.alias("ref"), F.filter(ref, lambda _, i: i % 5 != 4).alias("out")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,9 +34,10 @@ def cosine(a: ColumnOrName, b: ColumnOrName) -> Column:
 
 def l2_normalise(a: ColumnOrName) -> Column:
     """Unit vector; a zero vector stays zero."""
+    # Bound first: a computed vector would be computed again for its length.
     return let(
-        F.struct(_doubles(a).alias("v"), norm(a).alias("n")),
-        lambda s: F.transform(s["v"], lambda x: F.when(s["n"] > 0, x / s["n"]).otherwise(x)),
+        _doubles(a),
+        lambda v: let(norm(v), lambda n: F.transform(v, lambda x: F.when(n > 0, x / n).otherwise(x))),
     )
 
 
@@ -44,15 +47,22 @@ def l2_distance(a: ColumnOrName, b: ColumnOrName) -> Column:
 
 
 def letter_vector(c: ColumnOrName, letters: str = "abcdefghijklmnopqrstuvwxyz") -> Column:
-    """Letter-frequency vector, unit length: a model-free embedding."""
-    lowered = F.lower(col(c))
-    counts = let(
-        lowered,
-        lambda t: F.array(
-            *(F.length(t) - F.length(F.replace(t, F.lit(x), F.lit(""))) for x in letters)
-        ),
-    )
-    return l2_normalise(counts)
+    """Letter-frequency vector, unit length: a model-free embedding (ASCII letters).
+
+    The engine lower-cases; the bytes of a text are counted in one pass, as in UTF-8 a letter
+    is no part of another character.
+    """
+    places = np.frombuffer(letters.encode("ascii"), dtype=np.uint8)
+
+    @F.arrow_udf("array<int>")
+    def counts(texts: pa.Array) -> pa.Array:
+        rows = (
+            None if t is None else np.bincount(np.frombuffer(t.as_buffer(), dtype=np.uint8), minlength=256)[places]
+            for t in (x if x.is_valid else None for x in texts)
+        )
+        return pa.array(rows, pa.list_(pa.int32()))
+
+    return l2_normalise(counts(F.lower(col(c))))
 
 
 def quantize_groups(a: ColumnOrName, group: int = 8) -> Column:

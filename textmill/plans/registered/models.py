@@ -28,7 +28,7 @@ from textmill.operators.retrieval import bm25_search, lexical_retriever
 from textmill.operators.vocabulary import encode, train_bpe, word_counts
 from textmill.plans.registered import documents, query, spread, table
 from textmill.plans.registered.chat import EXCHANGES_SQL
-from textmill.plans.registered.search import index, letters_sql, lexical_sql, passages, unit_sql
+from textmill.plans.registered.search import letters_sql, lexical_sql, passages, stored_index, unit_sql
 from textmill.session import cut_lineage
 
 
@@ -151,7 +151,7 @@ def take_note():
 )
 def refined_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = passages(spark, sf_dir)
-    hits = attach_texts(bm25_search(asked, index(spark, sf_dir), 5), table(spark, sf_dir, "documents"), "doc_id")
+    hits = attach_texts(bm25_search(asked, stored_index(spark, sf_dir), 5), table(spark, sf_dir, "documents"), "doc_id")
     ready = ranked_documents(hits).join(asked.withColumnRenamed("text", "question"), "query_id")
     return refine(ready, take_note).select("query_id", "generation")
 
@@ -211,7 +211,7 @@ def decomposed_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both halves of a passage are asked on their own, then merged."""
     asked = passages(spark, sf_dir).select(F.col("query_id").alias("question_id"), F.col("text").alias("question"))
     corpus = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("chunk_id"), "text")
-    retriever = lexical_retriever(index(spark, sf_dir), 3)
+    retriever = lexical_retriever(stored_index(spark, sf_dir), 3)
     return decompose_answer(asked, corpus, retriever, halves, shorten, shorten).select("question_id", "generation")
 
 
@@ -232,7 +232,7 @@ def corrective_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Questions without a relevant document are rewritten and asked again, three rounds at most."""
     asked = passages(spark, sf_dir).select(F.col("query_id").alias("question_id"), F.col("text").alias("question"))
     corpus = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("chunk_id"), "text")
-    retriever = lexical_retriever(index(spark, sf_dir), 4)
+    retriever = lexical_retriever(stored_index(spark, sf_dir), 4)
     state = corrective_rag(asked, corpus, retriever, shares_start, drop_first_word, shorten, has_context)
     return state.select("question_id", "generation", F.size("documents").alias("n_documents"), "status", "round")
 

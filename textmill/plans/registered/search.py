@@ -236,6 +236,11 @@ def index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_docs(documents(spark, sf_dir, "doc_id", "text"), "doc_id", "text")
 
 
+def stored_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index written once: a search reads it for its statistics, its scores and each round anew."""
+    return cut_lineage(index(spark, sf_dir), "lexical-index")
+
+
 @query(
     "term_statistics",
     f"WITH {lexical_sql()} SELECT term, df FROM df",
@@ -249,7 +254,7 @@ def term_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {lexical_sql()} SELECT query_id, chunk_id, round(score, 6) AS score, rank::INTEGER AS rank FROM br WHERE rank <= 4",
 )
 def bm25_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bm25_search(passages(spark, sf_dir), index(spark, sf_dir), 4).withColumn("score", F.round("score", 6))
+    return bm25_search(passages(spark, sf_dir), stored_index(spark, sf_dir), 4).withColumn("score", F.round("score", 6))
 
 
 @query(
@@ -257,7 +262,7 @@ def bm25_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {lexical_sql()} SELECT query_id, chunk_id, round(score, 6) AS score, rank::INTEGER AS rank FROM tr WHERE rank <= 4",
 )
 def tfidf_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = tfidf_search(passages(spark, sf_dir), tfidf_index(index(spark, sf_dir)), 4)
+    hits = tfidf_search(passages(spark, sf_dir), tfidf_index(stored_index(spark, sf_dir)), 4)
     return hits.withColumn("score", F.round("score", 6))
 
 
@@ -271,7 +276,7 @@ FUSED_SQL = f"""
 
 
 def fused(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lexical = bm25_search(passages(spark, sf_dir), index(spark, sf_dir), 15)
+    lexical = bm25_search(passages(spark, sf_dir), stored_index(spark, sf_dir), 15)
     return fuse_searches(lexical, vector_hits(spark, sf_dir, 15), k=15)
 
 
@@ -289,7 +294,7 @@ def fused_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {FUSED_SQL} SELECT DISTINCT query_id, chunk_id FROM lists",
 )
 def multi_query_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lexical = bm25_search(passages(spark, sf_dir), index(spark, sf_dir), 15)
+    lexical = bm25_search(passages(spark, sf_dir), stored_index(spark, sf_dir), 15)
     both = lexical.select("query_id", "chunk_id").unionByName(vector_hits(spark, sf_dir, 15).select("query_id", "chunk_id"))
     return multi_query(both, "query_id", "chunk_id")
 
@@ -343,7 +348,8 @@ def parent_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text")
     pieces = explode_items(docs, ["doc_id"], split_overlap("text", 1000, 200), "text")
     keyed = pieces.select((F.col("doc_id") * 1_000_000 + F.col("pos")).alias("chunk_id"), "text")
-    hits = bm25_search(passages(spark, sf_dir), lexical_docs(keyed, "chunk_id", "text"), 8)
+    pieces_index = cut_lineage(lexical_docs(keyed, "chunk_id", "text"), "lexical-index")
+    hits = bm25_search(passages(spark, sf_dir), pieces_index, 8)
     owned = hits.withColumn("doc_id", F.expr("chunk_id div 1000000"))
     parents = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
     return expand_to_parent(owned, parents).withColumn("score", F.round("score", 6))
@@ -433,7 +439,7 @@ def retrieval_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hit rate and mean reciprocal rank at 5 of two search methods."""
     # Both are small and used twice: stored once.
     truth = cut_lineage(passage_truth(spark, sf_dir), "truth")
-    lexical = cut_lineage(bm25_search(passages(spark, sf_dir), index(spark, sf_dir), 15), "hits")
+    lexical = cut_lineage(bm25_search(passages(spark, sf_dir), stored_index(spark, sf_dir), 15), "hits")
     methods = {"bm25": lexical, "fused": fuse_searches(lexical, vector_hits(spark, sf_dir, 15), k=15)}
     parts = [retrieval_metrics(hits, truth, 5).withColumn("method", F.lit(name)) for name, hits in methods.items()]
     union = reduce(DataFrame.unionByName, parts)

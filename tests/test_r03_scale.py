@@ -1,8 +1,16 @@
 """Steps that must not grow faster than their input."""
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from textmill.functions.markup import drop_nested, unescape_entities
+from textmill.functions.text import SLICE_TEXTS, by_text, map_phrases
+from textmill.functions.vectors import letter_vector
+from textmill.operators import vocabulary
 from textmill.operators.chunking import build_chunks
+from textmill.plans.registered import scores, search
+from textmill.sources import readers, writers
 
 
 def test_all_chunkings_move_no_text(spark):
@@ -19,3 +27,76 @@ def test_all_chunkings_move_no_text(spark):
 
 def _list(seq):
     return [seq.apply(i) for i in range(seq.size())]
+
+
+def test_pieces_are_encoded_in_bounded_slices(spark, monkeypatch):
+    monkeypatch.setattr(vocabulary, "SLICE_PIECES", 3)
+    lists = pa.array([["ab", "b"], [], None, ["ab", "ab"], ["c"] * 7, ["b"]], pa.list_(pa.string()))
+    parts = list(vocabulary._sliced(lists.slice(1)))
+    assert [len(p) for p in parts] == [3, 1, 1]
+    ids = {"ab": np.array([5, 6], dtype=np.int32), "b": np.array([7], dtype=np.int32), "c": np.array([], dtype=np.int32)}
+    got = [row for p in vocabulary._sliced(lists) for row in vocabulary._coded(p, ids.__getitem__).to_pylist()]
+    assert got == [[5, 6, 7], [], [], [5, 6, 5, 6], [], [7]]
+
+
+def test_text_functions_hold_a_slice_of_rows(spark):
+    rows = [("a hand and ight",), (None,), ("",)] * 200
+    values = pa.array([r[0] for r in rows], pa.string())
+    seen = []
+
+    class Spy:
+        def __len__(self):
+            return len(values)
+
+        def slice(self, at, n):
+            seen.append(n)
+            return values.slice(at, n)
+
+    run = by_text(str.upper).func
+    assert run(Spy()).to_pylist() == [None if r[0] is None else r[0].upper() for r in rows]
+    assert max(seen) <= SLICE_TEXTS and len(seen) > 1
+    mapped = spark.createDataFrame(rows[:3], "x string").select(map_phrases("x", {"hand": "H", "and": "&"})).collect()
+    assert [r[0] for r in mapped] == ["a H & ight", None, ""]
+
+
+def test_wiki_helpers_keep_null_and_empty(value):
+    assert value(unescape_entities("x"), ["a &amp;lt; b", None, ""]) == ["a < b", None, ""]
+    assert value(drop_nested("x", "{{", "}}"), ["a{{b{{c}}}}d", None, ""]) == ["ad", None, ""]
+
+
+def test_array_lines_go_out_in_slices():
+    batch = pa.RecordBatch.from_arrays([pa.array([f'{{"a":{i}}}' for i in range(1000)])], names=["value"])
+    out = list(writers._array_lines(iter([batch]), 300))
+    assert max(b.num_rows for b in out) <= SLICE_TEXTS + 1
+    lines = [x for b in out for x in b.column(0).to_pylist()]
+    assert len(lines) == 1000 and [i for i, x in enumerate(lines) if x.endswith("]")] == [299, 599, 899, 999]
+
+
+def test_score_tasks_grow_in_number_with_the_turns(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scores, "TASK_TURNS", 10)
+    turns = [(c, t, "user" if t % 2 == 0 else "assistant", f"w{c} x y") for c in range(40) for t in range(4)]
+    spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    pairs = scores.reply_pairs(spark, str(tmp_path))
+    assert pairs.count() == 80
+    assert pairs.rdd.getNumPartitions() == 16
+
+
+def test_letter_vectors_count_once(value):
+    got = value(letter_vector("x", "abc"), ["AaBé", None, "", "xyz"])
+    assert got == [[2 / 5**0.5, 1 / 5**0.5, 0.0], None, [0.0] * 3, [0.0] * 3]
+
+
+def test_searches_read_a_stored_index(spark, tmp_path):
+    docs = [(i, f"word{i % 7} common text number{i}") for i in range(50)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    stored = search.stored_index(spark, str(tmp_path))
+    assert all("documents.parquet" not in f for f in stored.inputFiles())
+    assert sorted(map(str, stored.collect())) == sorted(map(str, search.index(spark, str(tmp_path)).collect()))
+
+
+def test_any_break_files_are_read_once(spark, tmp_path):
+    path = tmp_path / "mixed.txt"
+    path.write_bytes(b"a B-x\nb I-x\n\nc O\r\nd B-y\r\n\r\ne O\r")
+    found = readers.read_conll(spark, str(path), line_break=None)
+    assert not any("mixed.txt" in f for f in found.inputFiles())
+    assert sorted(r["chars"] for r in found.collect()) == [["a", "b"], ["c", "d"], ["e"]]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textmill.functions.text import col
+from textmill.session import cut_lineage
 
 INSTRUCTION = "instruction string, input string, output string"
 CHAT = "conversation array<struct<human: string, assistant: string>>"
@@ -165,12 +166,12 @@ def read_conll(spark: SparkSession, paths: str | list[str], line_break: str | No
     """``chars, labels`` per sentence, with its file; a blank line ends a sentence.
 
     ``line_break=None`` takes LF, CRLF and CR alike, also mixed in one file, and still cuts
-    large files into splits.  It reads the files twice: whole sentences leave their
-    split without a shuffle, only the parts at split borders are joined.
+    large files into splits.  The files are read once, their parts are stored: whole sentences
+    need no shuffle, only the parts at split borders are joined.
     """
     if line_break is None:
         lines = spark.read.text(paths).select("_metadata.file_path", "_metadata.file_block_start", "value")
-        parts = lines.mapInArrow(_sentence_parts, PARTS)
+        parts = cut_lineage(lines.mapInArrow(_sentence_parts, PARTS), "sentence-parts")
         is_open = F.col("head") | F.col("tail")
         raw = parts.filter(~is_open).select("source_file", "value").unionByName(
             _joined_parts(parts.filter(is_open)).select("source_file", "value")

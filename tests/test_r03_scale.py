@@ -83,7 +83,7 @@ def test_score_tasks_grow_in_number_with_the_turns(spark, tmp_path, monkeypatch)
 
 def test_letter_vectors_count_once(value):
     got = value(letter_vector("x", "abc"), ["AaBé", None, "", "xyz"])
-    assert got == [[2 / 5**0.5, 1 / 5**0.5, 0.0], None, [0.0] * 3, [0.0] * 3]
+    assert got == [[2 / 5**0.5, 1 / 5**0.5, 0.0], [None] * 3, [0.0] * 3, [0.0] * 3]
 
 
 def test_searches_read_a_stored_index(spark, tmp_path):

@@ -53,12 +53,14 @@ def letter_vector(c: ColumnOrName, letters: str = "abcdefghijklmnopqrstuvwxyz")
     is no part of another character.
     """
     places = np.frombuffer(letters.encode("ascii"), dtype=np.uint8)
+    # A null text has a vector of nulls.
+    unknown = [None] * len(letters)
 
     @F.arrow_udf("array<int>")
     def counts(texts: pa.Array) -> pa.Array:
         rows = (
-            None if t is None else np.bincount(np.frombuffer(t.as_buffer(), dtype=np.uint8), minlength=256)[places]
-            for t in (x if x.is_valid else None for x in texts)
+            np.bincount(np.frombuffer(t.as_buffer(), dtype=np.uint8), minlength=256)[places] if t.is_valid else unknown
+            for t in texts
         )
         return pa.array(rows, pa.list_(pa.int32()))
 

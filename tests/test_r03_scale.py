@@ -1,5 +1,7 @@
 """Steps that must not grow faster than their input."""
 
+import random
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -100,3 +102,31 @@ def test_any_break_files_are_read_once(spark, tmp_path):
     found = readers.read_conll(spark, str(path), line_break=None)
     assert not any("mixed.txt" in f for f in found.inputFiles())
     assert sorted(r["chars"] for r in found.collect()) == [["a", "b"], ["c", "d"], ["e"]]
+
+
+def test_merge_rounds_do_not_depend_on_rare_words(spark, monkeypatch):
+    rng = random.Random(3)
+    stock = [f"{a}{b}" for a in "bcdfgklm" for b in "aeiou"]
+    lines = [" ".join("".join(rng.choices(stock, range(1, 41), k=3)) for _ in range(10)) for _ in range(600)]
+    df = spark.createDataFrame([(x,) for x in lines], "t string")
+    want = vocabulary.train_bpe(df, "t", min_freq=40).merges
+    rounds, confirmed = [], vocabulary.confirmed
+
+    def spy(merges, *rest):
+        rounds.append((confirmed(merges, *rest), len(merges)))
+        return rounds[-1][0]
+
+    monkeypatch.setattr(vocabulary, "confirmed", spy)
+    # Far fewer than there are words.
+    monkeypatch.setattr(vocabulary, "GUESS_WORDS", 1500)
+    monkeypatch.setattr(vocabulary, "LEAST_TRIED", 16, raising=False)
+    assert vocabulary.word_counts(df, "t").count() > 5000
+    assert vocabulary.train_bpe(df, "t", min_freq=40).merges == want
+    assert len(want) > 100 and all(kept == tried for kept, tried in rounds)
+
+
+def test_words_are_cut_between_pairs_that_are_not_live(spark):
+    joined = vocabulary.SEPARATOR.join
+    words = spark.createDataFrame([(2, joined("abcab")), (3, joined("xab")), (5, "a"), (7, "")], "freq bigint, symbols string")
+    found = vocabulary.live_stretches(words, {("a", "b"), ("b", "c")}).collect()
+    assert {(r["symbols"], r["freq"]) for r in found} == {(joined("abc"), 2), (joined("ab"), 5)}

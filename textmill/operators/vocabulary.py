@@ -32,9 +32,10 @@ TOP_PAIRS = 8192
 #: Pieces a task encodes at a time, and the words whose ids it keeps within a batch.
 SLICE_PIECES = 1 << 17
 CACHED_WORDS = 1 << 16
-#: Most frequent words the next merges are guessed from; every guess is checked on all words.
-#: Where these are all words, each round keeps all it tried.
+#: Most stretches of words the next merges are worked out from, and the pairs that are tried even if they have more
+#: (the most frequent stretches count then).  All merges are checked on all words.
 GUESS_WORDS = 400_000
+LEAST_TRIED = 64
 
 
 Pair = tuple[str, str]
@@ -144,8 +145,37 @@ def _join_pair(parts: list[str], pair: Pair) -> list[str]:
     return out
 
 
-def guess_merges(words: list[tuple[list[str], int]], exact: dict[Pair, int], most: int, least: int) -> list[Pair]:
-    """The next merges, as far as some words and the exact counts of the best pairs tell."""
+def live_stretches(words: DataFrame, live: set[Pair]) -> DataFrame:
+    """``symbols, freq`` of the stretches of words in which all neighbours are live pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: dict[str, int] = {}
+            for symbols, freq in zip(batch.column("symbols").to_pylist(), batch.column("freq").to_pylist()):
+                parts = symbols.split(SEPARATOR)
+                begin = 0
+                for i, pair in enumerate(zip(parts, parts[1:]), 1):
+                    if pair not in live:
+                        if i - begin > 1:
+                            stretch = SEPARATOR.join(parts[begin:i])
+                            found[stretch] = found.get(stretch, 0) + freq
+                        begin = i
+                if len(parts) - begin > 1:
+                    stretch = SEPARATOR.join(parts[begin:]) if begin else symbols
+                    found[stretch] = found.get(stretch, 0) + freq
+            columns = [pa.array(found.values(), pa.int64()), pa.array(found.keys(), pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["freq", "symbols"])
+
+    return words.mapInArrow(run, "freq bigint, symbols string").groupBy("symbols").agg(F.sum("freq").alias("freq"))
+
+
+def guess_merges(
+    words: list[tuple[list[str], int]], exact: dict[Pair, int], most: int, least: int, last: tuple[int, Pair] | None = None
+) -> list[Pair]:
+    """The next merges, as far as some words and the exact counts of the best pairs tell.
+
+    Pairs that come after ``last`` (count, pair) in the order of training are not taken.
+    """
     held: dict[Pair, int] = {}
     where: dict[Pair, set[int]] = {}
     words = [(list(parts), freq) for parts, freq in words]
@@ -161,6 +191,8 @@ def guess_merges(words: list[tuple[list[str], int]], exact: dict[Pair, int], mos
         n, pair = heapq.heappop(queue)
         if -n != likely.get(pair) or -n < least:
             continue
+        if last and (n, pair) > (-last[0], last[1]):
+            break
         merges.append(pair)
         # Words outside the guess are taken to change as these do.
         share = -n / held[pair] if held.get(pair) else 0.0
@@ -255,10 +287,12 @@ def train_bpe(
     """Byte-pair merges from a corpus (ties: lower pair first), as one-by-one training makes them.
 
     The corpus is read once and shrinks to stored tables of distinct words and of pair counts.
-    A round guesses many merges from the most frequent words, folds them into all words,
-    which gives the exact change of every pair's count at every step, and keeps the merges
+    A round takes the most frequent pairs and cuts all words where two neighbours are none of them:
+    until the least of these pairs is the best, merges fall into the stretches between the cuts, which
+    are few after equal ones are summed up.  The merges worked out from them are folded into all words,
+    which gives the exact change of every pair's count at every step, and are kept
     up to the first that was not the most frequent pair of its step.  Counts are carried on by
-    their changes.  The driver holds ``GUESS_WORDS`` words, ``TOP_PAIRS`` pairs and the
+    their changes.  The driver holds ``GUESS_WORDS`` stretches, ``TOP_PAIRS`` pairs and the
     changes of pairs that can come among the best; all characters of the corpus are kept,
     their number is bounded by the code points there are.  ``normalise`` applies NFKC first.
     """
@@ -274,8 +308,6 @@ def train_bpe(
     known = set(vocabulary.tokens)
     if limit > 0:
         pairs, pairs_path = store(_pair_counts(words), "pairs")
-        frequent = words.orderBy(F.desc("freq"), "symbols").limit(GUESS_WORDS)
-        guess = [(symbols.split(SEPARATOR), freq) for symbols, freq in _rows(frequent, "symbols", "freq")]
     attempt = TRIED
     while len(vocabulary.merges) < limit:
         top = pairs.filter(F.col("n") >= min_freq).orderBy(F.col("n").desc(), "a", "b").limit(TOP_PAIRS).collect()
@@ -283,7 +315,18 @@ def train_bpe(
             break
         exact = {(r["a"], r["b"]): r["n"] for r in top}
         floor = top[-1]["n"] if len(top) == TOP_PAIRS else min_freq - 1
-        tried = guess_merges(guess, exact, min(attempt, limit - len(vocabulary.merges)), min_freq)
+        while True:
+            live = {(r["a"], r["b"]) for r in top[:attempt]}
+            stretches, stretches_path = store(live_stretches(words, live), "stretches")
+            if attempt <= LEAST_TRIED or stretches.count() <= GUESS_WORDS:
+                break
+            drop_stored(df.sparkSession, stretches_path)
+            attempt = max(LEAST_TRIED, attempt // 2)
+        frequent = stretches.orderBy(F.desc("freq"), "symbols").limit(GUESS_WORDS)
+        guess = [(symbols.split(SEPARATOR), freq) for symbols, freq in _rows(frequent, "symbols", "freq")]
+        end = top[min(attempt, len(top)) - 1]
+        last = (end["n"], (end["a"], end["b"]))
+        tried = guess_merges(guess, exact, limit - len(vocabulary.merges), min_freq, last)
         changed, changed_path = store(_try_merges(words, tried), "changes")
         # Only pairs that can come among the best at some step.
         up = changed.groupBy("a", "b").agg(F.sum(F.greatest("n", F.lit(0))).alias("up"))
@@ -295,7 +338,7 @@ def train_bpe(
             changes.setdefault(step, []).append(((a, b), n))
         merges = tried[: confirmed(tried, exact, floor, changes, min_freq)]
         # Merges far beyond a wrong guess are wasted.
-        attempt = min(TRIED, max(64, 4 * len(merges)))
+        attempt = min(TRIED, max(LEAST_TRIED, 2 * len(merges)))
         vocabulary.merges += merges
         for a, b in merges:
             if a + b not in known:
@@ -306,11 +349,9 @@ def train_bpe(
         new_pairs, new_pairs_path = store(summed, "pairs")
         new_words, new_words_path = store(_merge_words(words, merges), "words")
         # What the new tables replace is read no more.
-        for path in (words_path, pairs_path, changed_path):
+        for path in (words_path, pairs_path, changed_path, stretches_path):
             drop_stored(df.sparkSession, path)
         words, words_path, pairs, pairs_path = new_words, new_words_path, new_pairs, new_pairs_path
-        places = _places(merges)
-        guess = [(fold(parts, places, {}), freq) for parts, freq in guess]
     vocabulary.tokens += [t for t in EXTRA_TOKENS if t not in known]
     return vocabulary
 

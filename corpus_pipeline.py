@@ -4,7 +4,8 @@ Each stage is one operator over all rows that the stage before kept; its result
 as Parquet and read again.  Null and empty texts pass all stages (as one text: copies of
 it go), repeated rows go as exact copies.  Of rows whose fingerprints are linked (shingle
 length and bit distance of the SimHash operator) the one with the smallest id stays; no id is
-the largest.
+the largest.  Stages that hand whole texts to Python lower the rows of an Arrow batch in the
+session; ``run`` puts the setting back.
 """
 
 from __future__ import annotations
@@ -15,11 +16,12 @@ from pyspark.sql import functions as F
 
 from textmill.llm import byte_bpe, decontaminate, exact_names, simhash_tree, toxicity
 from textmill.llm.registry import table
-from textmill.session import cut_lineage
+from textmill.session import BATCH_KEY, cut_lineage, small_batches
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the string-kernel machine, trained on all labels, does not call toxic."""
+    small_batches(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     # Names of the machine's columns must not be those of the documents.
     names = tuple(n + "_" * len("".join(docs.columns)) for n in ("score", "predicted"))
@@ -33,6 +35,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near fingerprints."""
+    small_batches(spark)
     who = "who_" + "_".join(docs.columns)
     # Ids can be null or repeat, so a row's place in the order ends with a number of its own.
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.monotonically_increasing_id().alias("row"))
@@ -44,6 +47,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage that aligns with a test item."""
+    small_batches(spark)
     # Rows have a number of their own: ids can be null or repeat.
     row = "row_" + "_".join(docs.columns)
     rows = cut_lineage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
@@ -54,6 +58,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text, and a digest of what they decode to."""
+    small_batches(spark)
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     coded = byte_bpe.encode(docs, path, public_tokenizers.PATTERN, decoded=True)
     return coded.select(
@@ -80,6 +85,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = cut_lineage(stage(spark, docs, sf_dir), name)
+    before = spark.conf.get(BATCH_KEY)
+    try:
+        for name, stage in STAGES:
+            docs = cut_lineage(stage(spark, docs, sf_dir), name)
+    finally:
+        spark.conf.set(BATCH_KEY, before)
     return docs

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 
-from textmill.llm import simhash_tree
+from textmill.llm import decontaminate, simhash_tree
+from textmill.session import BATCH_KEY, TEXT_ROWS
 
 
 def test_stages_remove_what_they_should(spark, tmp_path):
@@ -71,3 +73,22 @@ def test_leaks_go_by_row_not_by_id(spark, tmp_path):
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     left = corpus_pipeline.drop_leaks(spark, spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path)).collect()
     assert sorted(r.text for r in left) == ["clean namesake of the row", "clean without an id"]
+
+
+def test_python_gets_few_texts_at_a_time(spark, tmp_path, monkeypatch):
+    before = spark.conf.get(BATCH_KEY)
+    docs = spark.createDataFrame([(1, "one two three four")], "doc_id long, text string")
+    spark.createDataFrame([(1, "five six seven")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    seen = []
+
+    def stage(spark, docs, sf_dir):
+        kept = corpus_pipeline.drop_leaks(spark, docs, sf_dir)
+        seen.append(int(spark.conf.get(BATCH_KEY)))
+        return kept
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("leaks", stage)])
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 1
+    assert seen == [TEXT_ROWS] and spark.conf.get(BATCH_KEY) == before
+    batch = pa.RecordBatch.from_pydict({"t": ["x"] * (2 * decontaminate.ROWS_AT_ONCE + 1)})
+    assert [len(b) for b in decontaminate._sliced(iter([batch]))] == [decontaminate.ROWS_AT_ONCE] * 2 + [1]

@@ -32,6 +32,8 @@ WINDOW = 3
 THRESHOLD = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 BLOCK_GRAMS = 100_000
+#: Passages that are Python strings at a time.
+ROWS_AT_ONCE = 512
 
 
 def plain(text: Column) -> Column:
@@ -95,12 +97,16 @@ def _automaton(phrases: list[str]) -> ahocorasick.Automaton:
     return machine
 
 
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, len(b), ROWS_AT_ONCE))
+
+
 def gram_counts(passages: DataFrame, grams: list[str], text: str) -> dict[str, int]:
     """How often each n-gram occurs in all passages."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine, found = _automaton(grams), np.zeros(len(grams), dtype=np.int64)
-        for batch in batches:
+        for batch in _sliced(batches):
             for value in batch.column(0).to_pylist():
                 for _, i in machine.iter(value):
                     found[i] += 1
@@ -163,7 +169,7 @@ def _block_matches(passages: DataFrame, items: list[tuple], key: str, text: str,
         phrases, places, items = shared.value
         machine = _automaton(phrases)
         lengths = [len(p) + 1 for p in phrases]
-        for batch in batches:
+        for batch in _sliced(batches):
             rows, found = [], []
             for r, value in enumerate(batch.column(1).to_pylist()):
                 hits = [(end - lengths[i], i) for end, i in machine.iter(value)]

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 SCRATCH_KEY = "spark.textmill.scratch"
+BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows of whole texts that Python gets at a time; Spark's 10 000 are tens of megabytes on both sides of the pipe.
+TEXT_ROWS = 1024
 
 
 def build_session(app: str = "textmill", cpus: str = "*", **conf: str) -> SparkSession:
@@ -72,6 +75,14 @@ def cut_lineage(df: DataFrame, label: str = "step") -> DataFrame:
     return store(df, label)[0]
 
 
+def small_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> str:
+    """Hand Python ``rows`` rows at most at a time (a lower setting stays); the setting before."""
+    before = spark.conf.get(BATCH_KEY)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(BATCH_KEY, str(rows))
+    return before
+
+
 def drop_stored(spark: SparkSession, path: str) -> None:
     """Delete a stored intermediate that no later plan reads."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

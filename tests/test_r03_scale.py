@@ -1,6 +1,7 @@
 """Steps that must not grow faster than their input."""
 
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -130,3 +131,19 @@ def test_words_are_cut_between_pairs_that_are_not_live(spark):
     words = spark.createDataFrame([(2, joined("abcab")), (3, joined("xab")), (5, "a"), (7, "")], "freq bigint, symbols string")
     found = vocabulary.live_stretches(words, {("a", "b"), ("b", "c")}).collect()
     assert {(r["symbols"], r["freq"]) for r in found} == {(joined("abc"), 2), (joined("ab"), 5)}
+
+
+def test_tagged_lines_are_matched_in_one_pass(spark, value):
+    rng = random.Random(4)
+    blocks = ["".join(rng.choices(["a", "B-x", "é", " ", "\t", "\n", "\r\n", "\r", "\xa0", "　", " ", "\x85", "\x1c"], k=rng.randint(0, 40))) for _ in range(400)]
+    blocks += ["a O", "a O\r", "　a O\xa0", "a O b\nc O", "\n\na\tO\n", "天 B-x\r\n", "", None]
+    blank = "[\t-\r \x85\xa0  -     　]+"
+    for block, got in zip(blocks, value(readers.tagged_sentence("x"), blocks)):
+        if block is None:
+            assert got["chars"] is None and got["labels"] is None
+            continue
+        fields = [[w for w in re.split(blank, line) if w] for line in block.split("\n")]
+        pairs = [f for f in fields if len(f) == 2]
+        assert (got["chars"], got["labels"]) == ([p[0] for p in pairs], [p[1] for p in pairs]), block
+    plan = spark.createDataFrame([("a O",)], "x string").select(readers.tagged_sentence("x"))._jdf.queryExecution().analyzed().toString()
+    assert "lambda" not in plan

@@ -23,6 +23,8 @@ PAGE = (
     "revision struct<id: long, text: struct<_VALUE: string>>"
 )
 CORRUPT = "_corrupt_record"
+# A whole line (CR before LF is white space) of two fields; nothing is matched twice.
+TWO_FIELDS = r"(?U)(?<![^\n])[\s&&[^\n]]*+(\S++)[\s&&[^\n]]++(\S++)[\s&&[^\n]]*+(?![^\n])"
 PARTS = "source_file string, block long, part long, head boolean, tail boolean, value string"
 
 
@@ -107,14 +109,13 @@ def read_dir(spark: SparkSession, path: str, fmt: str, schema: str, skip: tuple[
 
 
 def tagged_sentence(block: Column | str) -> Column:
-    """Struct(chars, labels) of a block of ``char label`` lines; other lines are skipped."""
-    lines = F.transform(
-        F.split(col(block), "\r?\n"), lambda s: F.split(F.regexp_replace(s, r"(?U)^\s+|\s+$", ""), r"(?U)\s+")
-    )
-    pairs = F.filter(lines, lambda p: F.size(p) == 2)
+    """Struct(chars, labels) of a block of ``char label`` lines; other lines are skipped.
+
+    One pass a column over the block: a line costs no expression of its own.
+    """
     return F.struct(
-        F.transform(pairs, lambda p: F.get(p, 0)).alias("chars"),
-        F.transform(pairs, lambda p: F.get(p, 1)).alias("labels"),
+        F.regexp_extract_all(col(block), F.lit(TWO_FIELDS), F.lit(1)).alias("chars"),
+        F.regexp_extract_all(col(block), F.lit(TWO_FIELDS), F.lit(2)).alias("labels"),
     )
 
 

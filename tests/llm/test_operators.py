@@ -9,6 +9,7 @@ import struct
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -17,6 +18,7 @@ from textmill.llm import (
     byte_bpe,
     decontaminate,
     exact_names,
+    flat,
     language_id,
     licenses,
     line_dedup,
@@ -93,6 +95,22 @@ def test_common_words_change_nothing(spark, coder, monkeypatch, docs, words):
         assert np.frombuffer(r.token_ids, dtype="<u4").tolist() == coder.encode_ordinary(rows[r.doc_id][1])
 
 
+def test_known_words_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "word_hashes", lambda words: np.array([len(w) for w in words.to_pylist()], dtype=np.uint64))
+    known = byte_bpe.KnownWords(pa.array([b"ab", b"c", b"cd", b"ef", b"", b"x" * 900], pa.binary()))
+    asked = pa.array([b"ef", b"ab", b"gh", b"", b"x" * 900, b"y" * 900, b"z" * 901, b"c", b"cd"], pa.binary())
+    assert known.numbers(asked).tolist() == [3, 0, -1, 4, 5, -1, -1, 1, 2]
+    assert byte_bpe.KnownWords(pa.array([], pa.binary())).numbers(asked).tolist() == [-1] * 9
+
+
+def test_word_hashes_depend_on_the_bytes_alone():
+    words = [b"", b"a", b"ab", b"ba", b"\x00", b"\x00\x00", b"x" * 64, b"x" * 65, "\u00e4".encode() * 900]
+    whole = flat.word_hashes(pa.array(words, pa.binary()))
+    assert len(set(whole.tolist())) == len(words)
+    assert flat.word_hashes(pa.array([b"q", *words], pa.large_binary()).slice(1)).tolist() == whole.tolist()
+    assert [int(flat.word_hashes(pa.array([w], pa.binary()))[0]) for w in words] == whole.tolist()
+
+
 def test_length_histogram(odd, none, coder):
     lengths = sorted(len(coder.encode_ordinary(t or "")) for _, t in ODD)
     bars = token_counts.histogram(token_counts.lengths(odd, RANKS, PATTERN)).collect()

@@ -32,10 +32,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textmill.llm.flat import word_hashes
 from textmill.session import cut_lineage
 
 COMMON_DOCS = 24_000
@@ -130,33 +132,26 @@ def _let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def fold_merges(symbols: Column, shift: Column, cells: Column) -> Column:
+def fold_merges(symbols: Column, shift: Column, cells: Column, border: Column) -> Column:
     """Ids of one word, given the ids of its single bytes.
 
     The state is one number a symbol: the order of the pair that begins there, above the
     symbol's id.  A step merges the first pair of lowest order and looks up the two pairs
-    that this makes new.
+    that this makes new.  A border on both sides, in no pair, gives every symbol its neighbours.
     """
     top = F.lit((1 << _ID_BITS) - 1).cast("long")
 
-    def order(left: Column, right: Column) -> Column:
+    def packed(left: Column, right: Column) -> Column:
         # A cell of another row gives a difference below 0 or beyond the largest order.
         found = F.get(cells, (F.get(shift, left.cast("int")) + right).cast("int")) - left * F.lit(NO_PAIR).cast("long")
-        return F.least(F.pmod(found, F.lit(_BIG)), F.lit(NO_PAIR).cast("long"))
-
-    def packed(left: Column, right: Column) -> Column:
-        return F.shiftleft(order(left, right), _ID_BITS).bitwiseOR(left)
-
-    def alone(x: Column) -> Column:
-        return x.bitwiseOR(F.lit(NO_PAIR << _ID_BITS))
+        order = F.least(F.pmod(found, F.lit(_BIG)), F.lit(NO_PAIR).cast("long"))
+        return F.shiftleft(order, _ID_BITS).bitwiseOR(left)
 
     def merge(state: Column, at: Column, best: Column) -> Column:
-        right = F.get(state, at + 1)
-        whole = F.when(right.isNull(), alone(best)).otherwise(packed(best, right.bitwiseAND(top)))
-        left = F.get(state, at - 2).bitwiseAND(top)
+        left, right = F.get(state, at - 2).bitwiseAND(top), F.get(state, at + 1).bitwiseAND(top)
         return F.concat(
-            F.slice(state, F.lit(1), F.greatest(at - 2, F.lit(0))),
-            F.when(at > 1, F.array(packed(left, best), whole)).otherwise(F.array(whole)),
+            F.slice(state, F.lit(1), at - 2),
+            F.array(packed(left, best), packed(best, right)),
             F.slice(state, at + 2, F.size(state)),
         )
 
@@ -172,11 +167,14 @@ def fold_merges(symbols: Column, shift: Column, cells: Column) -> Column:
 
         return _let(F.array_min(state), lowest)
 
-    n = F.size(symbols)
-    pairs = F.zip_with(F.slice(symbols, F.lit(1), n - 1), F.slice(symbols, F.lit(2), n - 1), packed)
-    start = F.concat(pairs, F.array(alone(F.get(symbols, n - 1))))
-    ids = F.aggregate(pairs, start, step, lambda done: F.transform(done, lambda x: x.bitwiseAND(top)))
-    return F.when(n < 2, symbols).otherwise(ids)
+    edge = F.array(border)
+    bordered = F.concat(edge, symbols, edge)
+    # The right border has no right neighbour and so begins no pair.
+    start = F.zip_with(bordered, F.concat(symbols, edge), packed)
+    rounds = F.slice(symbols, F.lit(2), F.size(symbols))
+    return F.aggregate(
+        rounds, start, step, lambda done: F.transform(F.slice(done, F.lit(2), F.size(done) - 2), lambda x: x.bitwiseAND(top))
+    )
 
 
 def heap_merges(symbols: list[int], pairs: dict[tuple[int, int], int]) -> list[int]:
@@ -217,11 +215,41 @@ def _byte_lists(words: list[bytes], byte_ids: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
 
 
-def _number_words(passed: list[str], byte_ids: np.ndarray, common: dict[bytes, int], schema: pa.Schema):
+class KnownWords:
+    """Numbers of distinct words, 25 bytes or so beside the letters of each: found by a hash, told apart by their bytes."""
+
+    def __init__(self, words: pa.Array) -> None:
+        hashes = word_hashes(words)
+        self.order = np.argsort(hashes).astype(np.int32)
+        self.hashes = hashes[self.order]
+        self.words = words
+
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        """The number of each word, -1 for those that are not known."""
+        found = np.full(len(words), -1, dtype=np.int32)
+        wanted = word_hashes(words)
+        at = np.searchsorted(self.hashes, wanted)
+        left = np.arange(len(words))
+        while len(left):
+            left = left[at[left] < len(self.hashes)]
+            left = left[self.hashes[at[left]] == wanted[left]]
+            if not len(left):
+                break
+            tried = self.order[at[left]]
+            same = np.asarray(pc.equal(self.words.take(pa.array(tried)), words.take(pa.array(left))))
+            found[left[same]] = tried[same]
+            # Another word can have the same hash.
+            left = left[~same]
+            at[left] += 1
+        return found
+
+
+def _number_words(passed: list[str], byte_ids: np.ndarray, common: KnownWords, schema: pa.Schema):
     """Replace the word arrays by numbers; new words go out with the batch's first row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = dict(common)
+        known: dict[bytes, int] = {}
+        n_common = len(common.words)
         for whole in batches:
             words = whole.column("_words")
             counts = np.diff(words.offsets.to_numpy())
@@ -233,17 +261,18 @@ def _number_words(passed: list[str], byte_ids: np.ndarray, common: dict[bytes, i
                 begin = end
                 held = batch.column("_words")
                 flat = held.flatten().cast(pa.binary()).dictionary_encode()
-                distinct = flat.dictionary.to_pylist()
-                if len(known) + len(distinct) > len(common) + TABLE_WORDS:
-                    known = dict(common)
-                base, fresh = len(known) - len(common), []
-                numbers = np.empty(len(distinct), dtype=np.int32)
-                for k, word in enumerate(distinct):
+                numbers = common.numbers(flat.dictionary)
+                others = np.flatnonzero(numbers < 0)
+                distinct = flat.dictionary.take(pa.array(others)).to_pylist()
+                if len(known) + len(distinct) > TABLE_WORDS:
+                    known = {}
+                base, fresh = len(known), []
+                for k, word in zip(others.tolist(), distinct):
                     at = known.get(word)
                     if at is None:
                         known[word] = at = len(known)
                         fresh.append(word)
-                    numbers[k] = at
+                    numbers[k] = n_common + at
                 codes = numbers[flat.indices.to_numpy(zero_copy_only=False)] if len(flat) else numbers
                 offsets = np.concatenate([[0], np.cumsum(counts[end - batch.num_rows : end])]).astype(np.int32)
                 lists = _byte_lists(fresh, byte_ids)
@@ -276,11 +305,24 @@ class _WordTable:
         self.lengths = np.concatenate([self.lengths, lengths])
 
 
-def _place_ids(passed: list[str], pieces, pairs, common, byte_ids: np.ndarray, schema: pa.Schema, decoded: bool):
+def _cut_bytes(data, edges: np.ndarray) -> pa.Array:
+    """Byte strings between neighbouring edges, without a copy of each."""
+    offsets = pa.py_buffer(edges.astype(np.int64).tobytes())
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(edges) - 1, [None, offsets, pa.py_buffer(data)])
+
+
+def _spelt(pieces: pa.Array, ids: np.ndarray, edges: np.ndarray) -> tuple[pa.Buffer, np.ndarray]:
+    """The bytes of all ids in a row, and the places of the edges between ids in them."""
+    texts = pieces.take(pa.array(ids))
+    places = np.frombuffer(texts.buffers()[1], dtype=np.int64)[: len(ids) + 1] if len(ids) else np.zeros(1, dtype=np.int64)
+    return texts.buffers()[2] or pa.py_buffer(b""), places[edges]
+
+
+def _place_ids(passed: list[str], pieces: pa.Array, common, byte_ids: np.ndarray, schema: pa.Schema, decoded: bool):
     """Replace word numbers by ids, packed as little-endian unsigned 32-bit integers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _WordTable(*common)
+        table, pairs = _WordTable(*common), None
         for whole in batches:
             bases = whole.column("_base").to_pylist()
             marks = [i for i, b in enumerate(bases) if b is not None]
@@ -294,6 +336,7 @@ def _place_ids(passed: list[str], pieces, pairs, common, byte_ids: np.ndarray, s
                     lengths = np.diff(fresh.offsets.to_numpy()).astype(np.int64)
                     parts = [fresh.flatten().to_numpy(zero_copy_only=False).astype(np.int32)]
                     if (lengths == 0).any():
+                        pairs = pairs or pair_ranks(tuple(pieces.to_pylist()))
                         # An empty entry stands for the next long word.
                         long_ids = [
                             heap_merges(byte_ids[np.frombuffer(w, dtype=np.uint8)].tolist(), pairs)
@@ -313,13 +356,13 @@ def _place_ids(passed: list[str], pieces, pairs, common, byte_ids: np.ndarray, s
                 word_ends = np.concatenate([[0], np.cumsum(lengths)])
                 ends = word_ends[np.cumsum(counts)]
                 starts = np.concatenate([[0], ends[:-1]])
-                packed = ids.astype("<u4").tobytes()
                 out = [batch.column(c) for c in passed]
                 out.append(pa.array(ends - starts))
-                out.append(pa.array([packed[4 * a : 4 * b] for a, b in zip(starts, ends)], pa.binary()))
+                # All texts in a row; a document's bytes begin where the one before ends.
+                edges = np.concatenate([[0], ends])
+                out.append(_cut_bytes(ids.astype("<u4").tobytes(), 4 * edges))
                 if decoded:
-                    texts = list(map(pieces.__getitem__, ids.tolist()))
-                    out.append(pa.array([b"".join(texts[a:b]) for a, b in zip(starts, ends)], pa.binary()))
+                    out.append(_cut_bytes(*_spelt(pieces, ids, edges)))
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(out, schema)], schema=schema)
 
     return run
@@ -339,12 +382,14 @@ def _free(df: DataFrame, *names: str) -> list[str]:
 def _folds(words: Column, path: str) -> Column:
     """Ids of every word of an array, given the ids of its bytes."""
     shift, cells = rank_table(path)
-    shifts = F.from_json(F.lit(json.dumps(shift)), "array<int>")
+    # The border's number is the first that is no piece.
+    border = F.lit(len(shift)).cast("long")
+    shifts = F.from_json(F.lit(json.dumps([*shift, 0])), "array<int>")
     table = F.from_json(F.lit(json.dumps(cells)), "array<bigint>")
     # Bound once: the large literals then stand in the expression once.
     return _let(
         shifts,
-        lambda places: _let(table, lambda ranks: F.transform(words, lambda word: fold_merges(word, places, ranks))),
+        lambda places: _let(table, lambda ranks: F.transform(words, lambda word: fold_merges(word, places, ranks, border))),
     )
 
 
@@ -370,14 +415,14 @@ def _count_words(ids: dict[bytes, int]):
     return run
 
 
-def common_words(split: DataFrame, path: str) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def common_words(split: DataFrame, path: str) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Words to fold beforehand with all their ids in a row and the number of ids of each.
 
     ``split`` has one column, the array of a document's words.  The words come from a sample
     of bounded expected size; those of the smallest count are left out as a whole where
     there would be more than ``COMMON_WORDS``.
     """
-    nothing = [], np.empty(0, dtype=np.int32), np.empty(0, dtype=np.int64)
+    nothing = pa.array([], pa.binary()), np.empty(0, dtype=np.int32), np.empty(0, dtype=np.int64)
     total = split.count()
     if total == 0:
         return nothing
@@ -411,7 +456,7 @@ def common_words(split: DataFrame, path: str) -> tuple[list[bytes], np.ndarray,
     folded = spelt.select("word", F.get(_folds(F.array("symbols"), path), F.lit(0)).cast("array<int>").alias("ids")).toArrow()
     lists = folded.column("ids").combine_chunks()
     lengths = np.diff(lists.offsets.to_numpy()).astype(np.int64)
-    return folded.column("word").to_pylist(), lists.flatten().to_numpy().astype(np.int32), lengths
+    return folded.column("word").combine_chunks().cast(pa.binary()), lists.flatten().to_numpy().astype(np.int32), lengths
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", decoded: bool = False) -> DataFrame:
@@ -431,12 +476,12 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", decoded:
     # Pieces are numbered by their rank, common words after them.
     frequent, frequent_ids, frequent_lengths = common_words(df.select(words.alias("_words")), path)
     context = df.sparkSession.sparkContext
-    spelt = context.broadcast([*pieces, *frequent])
+    spelt = context.broadcast(KnownWords(pa.concat_arrays([pa.array(pieces, pa.binary()), frequent])))
     start = (
         np.concatenate([np.arange(len(pieces), dtype=np.int32), frequent_ids]),
         np.concatenate([np.ones(len(pieces), dtype=np.int64), frequent_lengths]),
     )
-    shared = context.broadcast((pieces, pair_ranks(pieces), start))
+    shared = context.broadcast((pa.array(pieces, pa.large_binary()), start))
 
     ints, longs = T.ArrayType(T.IntegerType()), T.ArrayType(T.LongType())
     numbered = [
@@ -449,8 +494,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", decoded:
     arrow_numbered = _arrow(numbered)
 
     def number(batches):
-        common = {word: i for i, word in enumerate(spelt.value)}
-        return _number_words(passed, byte_ids, common, arrow_numbered)(batches)
+        return _number_words(passed, byte_ids, spelt.value, arrow_numbered)(batches)
 
     coded = split.mapInArrow(number, T.StructType(numbered))
 
@@ -467,8 +511,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", decoded:
     arrow = _arrow(result)
 
     def place(batches):
-        known, pairs, common = shared.value
-        return _place_ids(passed, known, pairs, common, byte_ids, arrow, decoded)(batches)
+        return _place_ids(passed, *shared.value, byte_ids, arrow, decoded)(batches)
 
     return merged.mapInArrow(place, T.StructType(result))
 

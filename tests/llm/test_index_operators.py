@@ -66,6 +66,27 @@ def test_phrases_equal_brute_force(spark, seed, parts):
     assert got == brute_phrases(rows, 4, 5, 15)
 
 
+def test_phrases_that_share_a_hash(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "HASH_BITS", 2)
+    monkeypatch.setattr(collocations, "PART_WORDS", 500)
+    rows = phrase_rows(3)
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    got = {(r["lang"], r["phrase"], r["a"], r["l"], r["r"], r["n"], r["score"], r["rank"]) for r in collocations.best_phrases(df, least=4, top=15).collect()}
+    assert got == brute_phrases(rows, 4, 5, 15)
+
+
+def test_rare_phrases_are_not_sent_as_texts(spark):
+    rows = [("en", f"the cat {i} {i}a. {i}b {i}c") for i in range(300)]
+    shards = collocations.first_shards(spark.createDataFrame(rows, "lang string, text string").repartition(3)).localCheckpoint()
+    counts = collocations.shard_counts(shards, 2, 5, 32)
+    # Less than four bytes for each phrase of a shard.
+    sent = counts.selectExpr("sum(length(keys) + length(counts))", "sum(size)").first()
+    assert sent[1] == 903 and sent[0] < 4 * sent[1] + 50 * counts.count()
+    found = collocations.find_phrases(shards, collocations.hot_keys(counts, 100), 2, 5, 5, 32)
+    assert found.selectExpr("explode(phrases) AS p").distinct().collect() == [("the cat",)]
+    assert collocations.sum_phrases(found, 100).collect() == [("en", "the cat", 300)]
+
+
 def test_phrases_of_an_empty_table_and_of_cut_texts(spark, monkeypatch):
     empty = spark.createDataFrame([], "lang string, text string")
     assert collocations.best_phrases(empty).count() == 0

@@ -6,8 +6,14 @@ needed, are extended interval by interval: each step reads the words to the left
 index) or to the right (backward index) of every interval at once, and gives the intervals and
 counts of all phrases one word longer.  Counts are summed across shards.
 
+Most phrases are rare, so their texts are not exchanged.  Each shard first sends the counts by
+``HASH_BITS`` bits of a phrase's hash, packed; only phrases whose hash reaches the least count in all
+shards together are sent as texts (in a list for each range of hashes) and summed.  A sum over a hash is no smaller than that of any phrase
+under it, so none is lost, and phrases that share a hash are told apart by their texts.
+
 Depth grows by one a round.  A phrase can reach the least count only if the phrases one word
-shorter that it holds do, so a round goes on with the places where these begin, and its shards shrink.
+shorter that it holds do, so a round goes on with the places where those that were sent begin, and its
+shards shrink.
 
 Defined results: null counts as an empty text and a null language as ``und``; repeated rows
 count again; texts of any length are cut into shards between pieces, so no phrase is lost; an
@@ -30,6 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from textmill.llm.flat import FACTOR, mixed, word_hashes
 from textmill.session import cut_lineage, drop_stored, scratch_path
 
 # --- fixed values -----------------------------------------------------------
@@ -44,6 +51,12 @@ WORD_BORDERS = b" \t"
 SHARD_WORDS = 1 << 22
 #: Bytes of text held for all languages before every shard is closed.
 HELD_BYTES = 1 << 26
+#: Bits of a phrase's hash that rare phrases are recognised by (32 at most).
+HASH_BITS = 32
+#: Words of all shards together for each range of hashes that is summed at a time.
+PART_WORDS = 1 << 21
+#: Phrases hashed at a time.
+HASHED_PHRASES = 1 << 18
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
@@ -194,7 +207,15 @@ CODEC = "zstd"
 
 SHARD_SCHEMA = "shard bigint, lang string, size bigint, sequence binary, words array<string>"
 _SHARD = pa.schema([("shard", pa.int64()), ("lang", pa.string()), ("size", pa.int64()), ("sequence", pa.binary()), ("words", pa.list_(pa.string()))])
-PHRASE_SCHEMA = "shard bigint, lang string, phrase string, n bigint"
+COUNT_SCHEMA = "part int, shard bigint, size int, keys binary, counts binary"
+_COUNTS = pa.schema([("part", pa.int32()), ("shard", pa.int64()), ("size", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+HOT_SCHEMA = "shard bigint, size int, keys binary"
+_HOT = pa.schema([("shard", pa.int64()), ("size", pa.int32()), ("keys", pa.binary())])
+# A row holds the phrases of a shard in a range of hashes with their counts there, or (without phrases) a shard.
+FOUND_SCHEMA = f"{SHARD_SCHEMA}, part int, phrases array<string>, counts array<bigint>"
+_FOUND = pa.schema([*_SHARD, ("part", pa.int32()), ("phrases", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
+SUM_SCHEMA = "lang string, phrase string, f bigint"
+_SUM = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64())])
 
 
 def _shard_row(shard: int, lang: str, sequence: np.ndarray, words: pa.Array) -> pa.Table:
@@ -259,8 +280,52 @@ def first_shards(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, SHARD_SCHEMA)
 
 
-def shard_phrases(shards: DataFrame, length: int) -> DataFrame:
-    """All phrases of ``length`` words of each shard, with their counts there."""
+def phrase_hashes(found: Intervals, words: pa.Array, lang: str, bits: int) -> np.ndarray:
+    """The first ``bits`` bits of a hash of the language and the phrase's words."""
+    hashed, start = word_hashes(words), word_hashes(pa.array([lang], pa.large_string()))
+    keys = np.empty(len(found.count), dtype=np.uint32)
+    for at in range(0, len(keys), HASHED_PHRASES):
+        symbols = found.symbols[at : at + HASHED_PHRASES]
+        state = np.repeat(start, len(symbols))
+        for column in symbols.T:
+            state = mixed(state * FACTOR + hashed[column])
+        keys[at : at + len(symbols)] = state >> np.uint64(64 - bits)
+    return keys
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers of 32 bits, byte by byte: most are small, so the upper bytes take no room."""
+    return pa.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), CODEC, asbytes=True)
+
+
+def _unpacked(data: bytes, size: int) -> np.ndarray:
+    flat = np.frombuffer(pa.decompress(data, 4 * size, CODEC, asbytes=True), dtype=np.uint8)
+    return flat.reshape(4, -1).T.copy().view("<u4").ravel()
+
+
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Rising numbers as the gaps between them."""
+    return _packed(np.diff(keys, prepend=np.uint32(0)))
+
+
+def _unpacked_keys(data: bytes, size: int) -> np.ndarray:
+    return np.cumsum(_unpacked(data, size), dtype=np.uint32)
+
+
+def shard_words(shards: DataFrame) -> DataFrame:
+    """``lang, n``: words of each shard."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, size, sequence in zip(*(batch.column(c).to_pylist() for c in ("lang", "size", "sequence"))):
+                numbers = np.frombuffer(pa.decompress(sequence, 4 * size, CODEC, asbytes=True), dtype=np.int32)
+                yield pa.RecordBatch.from_pydict({"lang": pa.array([lang]), "n": pa.array([np.count_nonzero(numbers)], pa.int64())})
+
+    return shards.select("lang", "size", "sequence").mapInArrow(run, "lang string, n bigint")
+
+
+def shard_counts(shards: DataFrame, length: int, parts: int, bits: int) -> DataFrame:
+    """Counts by hash of the phrases of ``length`` words in each shard, in ``parts`` ranges of hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,48 +333,96 @@ def shard_phrases(shards: DataFrame, length: int) -> DataFrame:
                 row = {name: batch.column(name)[i] for name in batch.schema.names}
                 sequence, words = _opened(row["size"].as_py(), row["sequence"].as_py(), row["words"].values)
                 found = BothWays(sequence, len(words), length).phrases(length)
-                for at in range(0, len(found.count), 1 << 16):
-                    part = Intervals(*(v[at : at + (1 << 16)] for v in (found.symbols, found.low, found.back_low, found.count)))
-                    size = len(part.count)
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "shard": np.full(size, row["shard"].as_py(), dtype=np.int64),
-                            "lang": pa.repeat(row["lang"].as_py(), size),
-                            "phrase": phrase_texts(part, words).cast(pa.string()),
-                            "n": part.count.astype(np.int64),
-                        }
-                    )
-
-    return shards.mapInArrow(run, PHRASE_SCHEMA)
-
-
-def cut_shards(shards: DataFrame, frequent: DataFrame, length: int) -> DataFrame:
-    """Shards cut down to the places where two frequent phrases of ``length - 1`` words follow each other."""
+                keys = phrase_hashes(found, words, row["lang"].as_py(), bits)
+                order = np.argsort(keys)
+                keys, counts = keys[order], found.count[order]
+                begin = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, dtype=np.int64)
+                keys, counts = keys[begin], np.add.reduceat(counts, begin) if len(begin) else counts
+                edges = np.searchsorted(keys, [(part << bits) // parts for part in range(parts + 1)])
+                rows = [
+                    (part, row["shard"].as_py(), end - at, _packed_keys(keys[at:end]), _packed(counts[at:end]))
+                    for part, (at, end) in enumerate(zip(edges.tolist(), edges[1:].tolist()))
+                    if end > at
+                ]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _COUNTS)], schema=_COUNTS)
+
+    return shards.mapInArrow(run, COUNT_SCHEMA)
+
+
+def hot_keys(counts: DataFrame, least: int) -> DataFrame:
+    """For each shard those of its hashes whose counts in all shards together reach ``least``."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        sizes = rows["size"].to_pylist()
+        own = [_unpacked_keys(data, size) for data, size in zip(rows["keys"].to_pylist(), sizes)]
+        keys = np.concatenate(own)
+        order = np.argsort(keys)
+        number = np.concatenate([_unpacked(data, size) for data, size in zip(rows["counts"].to_pylist(), sizes)])[order]
+        keys = keys[order]
+        begin = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        hot = keys[begin][np.add.reduceat(number.astype(np.int64), begin) >= least]
+        kept = [mine[np.isin(mine, hot, assume_unique=True)] for mine in own]
+        made = [(shard, len(mine), _packed_keys(mine)) for shard, mine in zip(rows["shard"].to_pylist(), kept) if len(mine)]
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*made), _HOT)], schema=_HOT) if made else _HOT.empty_table()
+
+    return counts.groupBy("part").applyInArrow(run, HOT_SCHEMA)
+
+
+def find_phrases(shards: DataFrame, hot: DataFrame, length: int, longest: int, parts: int, bits: int) -> DataFrame:
+    """The phrases of each shard whose hashes are hot, and below ``longest`` the shard cut down to the places where two of them follow each other."""
 
     def run(shard: pa.Table, known: pa.Table) -> pa.Table:
         if not len(shard) or not len(known):
-            return _SHARD.empty_table()
+            return _FOUND.empty_table()
         row = {name: shard[name][0] for name in shard.schema.names}
+        number, lang = row["shard"].as_py(), row["lang"].as_py()
         sequence, words = _opened(row["size"].as_py(), row["sequence"].as_py(), row["words"].values)
-        index = BothWays(sequence, len(words), length - 1)
-        found = index.phrases(length - 1)
-        chosen = pc.is_in(phrase_texts(found, words), value_set=known["phrase"].combine_chunks().cast(pa.large_string()))
-        begins = index.places(found, np.asarray(chosen))
-        cut, words = renumber(keep_promising(sequence, begins, length), words)
+        index = BothWays(sequence, len(words), length)
+        found = index.phrases(length)
+        wanted = np.concatenate([_unpacked_keys(data, size) for data, size in zip(known["keys"].to_pylist(), known["size"].to_pylist())])
+        keys = phrase_hashes(found, words, lang, bits)
+        chosen = np.isin(keys, wanted)
+        range_of = (keys[chosen].astype(np.uint64) * np.uint64(parts) >> np.uint64(bits)).astype(np.int32)
+        order = np.argsort(range_of, kind="stable")
+        picked = np.flatnonzero(chosen)[order]
+        part = Intervals(*(v[picked] for v in (found.symbols, found.low, found.back_low, found.count)))
+        used, begin = np.unique(range_of[order], return_index=True)
+        edges = pa.array([*begin.tolist(), len(picked)], pa.int32())
+        columns = {name: pa.nulls(len(used), _FOUND.field(name).type) for name in ("size", "sequence", "words")} | {
+            "shard": pa.array(np.full(len(used), number, dtype=np.int64)),
+            "lang": pa.repeat(lang, len(used)),
+            "part": pa.array(used),
+            "phrases": pa.ListArray.from_arrays(edges, phrase_texts(part, words).cast(pa.string())),
+            "counts": pa.ListArray.from_arrays(edges, pa.array(part.count.astype(np.int64))),
+        }
+        made = pa.table([columns[name] for name in _FOUND.names], schema=_FOUND)
+        if length == longest:
+            return made
+        cut, words = renumber(keep_promising(sequence, index.places(found, chosen), length + 1), words)
         if len(words) < 2:
-            return _SHARD.empty_table()
-        return _shard_row(row["shard"].as_py(), row["lang"].as_py(), cut, words)
+            return made
+        whole = _shard_row(number, lang, cut, words)
+        for name in ("part", "phrases", "counts"):
+            whole = whole.append_column(_FOUND.field(name), pa.nulls(1, _FOUND.field(name).type))
+        return pa.concat_tables([made, whole])
+
+    return shards.groupBy("shard").cogroup(hot.groupBy("shard")).applyInArrow(run, FOUND_SCHEMA)
+
 
-    return shards.groupBy("shard").cogroup(frequent.groupBy("shard")).applyInArrow(run, SHARD_SCHEMA)
+def sum_phrases(found: DataFrame, least: int) -> DataFrame:
+    """``lang, phrase, f`` of the phrases whose sum over all shards reaches ``least``; equal phrases share a range of hashes."""
 
+    def run(rows: pa.Table) -> pa.Table:
+        lists = rows["phrases"].combine_chunks()
+        owner = np.repeat(np.arange(len(lists)), np.asarray(pc.list_value_length(lists)))
+        langs = rows["lang"].combine_chunks().take(pa.array(owner))
+        each = pa.table({"lang": langs, "phrase": lists.flatten(), "n": rows["counts"].combine_chunks().flatten()})
+        summed = each.group_by(["lang", "phrase"], use_threads=False).aggregate([("n", "sum")])
+        kept = summed.filter(pc.greater_equal(summed["n_sum"], least))
+        return pa.table([kept["lang"], kept["phrase"], kept["n_sum"]], schema=_SUM)
 
-def frequent_phrases(counted: DataFrame, least: int) -> DataFrame:
-    """``shard, lang, phrase, f`` of the phrases whose sum over all shards reaches ``least``."""
-    # The digest comes first because its order is cheap; phrases are told apart by themselves.
-    # It is added after the exchange.
-    same = Window.partitionBy("digest", "lang", "phrase")
-    named = counted.repartition("lang", "phrase").withColumn("digest", F.xxhash64("lang", "phrase"))
-    return named.withColumn("f", F.sum("n").over(same)).filter(F.col("f") >= least).select("shard", "lang", "phrase", "f")
+    return found.filter("part IS NOT NULL").select("part", "lang", "phrases", "counts").groupBy("part").applyInArrow(run, SUM_SCHEMA)
 
 
 def count_phrases(df: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST_COUNT, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
@@ -318,17 +431,17 @@ def count_phrases(df: DataFrame, text: str = "text", lang: str = "lang", least:
     levels = []
     spark = df.sparkSession
     shards, path = _store(first_shards(texts), "shards1")
-    words = shard_phrases(shards, 1)
-    totals = cut_lineage(words.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
+    totals = cut_lineage(shard_words(shards).groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     for length in range(1, longest + 1):
-        frequent = cut_lineage(frequent_phrases(shard_phrases(shards, length), least), f"phrases{length}")
-        levels.append(frequent.groupBy("lang", "phrase").agg(F.max("f").alias("f")).withColumn("words", F.lit(length)))
-        if length < longest:
-            shorter, old = _store(cut_shards(shards, frequent.select("shard", "phrase"), length + 1), f"shards{length + 1}")
-            # Nothing reads the longer shards again.
-            drop_stored(spark, path)
-            shards, path = shorter, old
-            _forget(spark)
+        parts = max(1, -(-(shards.agg(F.sum("size")).first()[0] or 0) // PART_WORDS))
+        hot = hot_keys(shard_counts(shards, length, parts, HASH_BITS), least)
+        found, new = _store(find_phrases(shards, hot, length, longest, parts, HASH_BITS), f"shards{length + 1}")
+        levels.append(cut_lineage(sum_phrases(found, least), f"phrases{length}").withColumn("words", F.lit(length)))
+        # Nothing reads the longer shards again.
+        drop_stored(spark, path)
+        shards, path = found.filter("part IS NULL").select(*_SHARD.names), new
+        _forget(spark)
+    drop_stored(spark, path)
     return cut_lineage(reduce(DataFrame.unionByName, levels), "phrases"), totals
 
 

@@ -2,9 +2,11 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from textmill.functions.markup import drop_nested, unescape_entities
@@ -126,6 +128,53 @@ def test_merge_rounds_do_not_depend_on_rare_words(spark, monkeypatch):
     assert len(want) > 100 and all(kept == tried for kept, tried in rounds)
 
 
+@pytest.mark.parametrize("long_word", [5, 512])
+def test_words_are_folded_many_at_once(monkeypatch, long_word):
+    monkeypatch.setattr(vocabulary, "LONG_WORD", long_word)
+    rng = random.Random(1)
+    for _ in range(150):
+        letters = rng.choice(["ab", "aab", "abcd", "aé漢"])
+        words = ["".join(rng.choices(letters, k=rng.randint(1, 14))) for _ in range(20)]
+        merges, pool = [], list(letters)
+        for _ in range(rng.randint(0, 9)):
+            merges.append((rng.choice(pool), rng.choice(pool)))
+            pool.append("".join(merges[-1]))
+        freq, changes, tables = [rng.randint(1, 9) for _ in words], {}, []
+        want = [vocabulary.fold(list(w), vocabulary._places(merges), changes, n) for w, n in zip(words, freq)]
+        joined = [vocabulary.SEPARATOR.join(w) for w in words]
+        batch = pa.RecordBatch.from_arrays([pa.array(freq, pa.int64()), pa.array(joined)], names=["freq", "symbols"])
+        got = vocabulary.Merges(merges).fold_batch(batch, tables)
+        assert sorted(zip(*got.to_pydict().values())) == sorted(zip(freq, map(vocabulary.SEPARATOR.join, want)))
+        found = {}
+        for r in (r for t in tables for r in t.to_pylist()):
+            found[r["a"], r["b"], r["step"]] = found.get((r["a"], r["b"], r["step"]), 0) + r["n"]
+        assert {k: n for k, n in found.items() if n} == {k: n for k, n in changes.items() if n}
+
+
+def test_guesses_from_all_words_are_those_of_one_by_one_training():
+    rng = random.Random(5)
+    for _ in range(50):
+        words = {"".join(rng.choices("aabcd", k=rng.randint(1, 12))): rng.randint(1, 9) for _ in range(40)}
+        held = [(list(w), n) for w, n in words.items()]
+        want = []
+        while len(want) < 15:
+            counts = Counter()
+            for w, n in held:
+                for pair in zip(w, w[1:]):
+                    counts[pair] += n
+            best = min(counts, key=lambda p: (-counts[p], p), default=None)
+            if best is None or counts[best] < 2:
+                break
+            want.append(best)
+            held = [(vocabulary.fold(w, {best: [0]}), n) for w, n in held]
+        exact = Counter()
+        for w, n in words.items():
+            for pair in zip(w, w[1:]):
+                exact[pair] += n
+        symbols = pa.array([vocabulary.SEPARATOR.join(w) for w in words])
+        assert vocabulary.guess_merges(symbols, np.array(list(words.values())), dict(exact), 15, 2) == want
+
+
 def test_words_are_cut_between_pairs_that_are_not_live(spark):
     joined = vocabulary.SEPARATOR.join
     words = spark.createDataFrame([(2, joined("abcab")), (3, joined("xab")), (5, "a"), (7, "")], "freq bigint, symbols string")

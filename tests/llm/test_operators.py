@@ -6,6 +6,7 @@ import collections
 import hashlib
 import re
 import struct
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -287,6 +288,17 @@ def _labelled(spark, n=160):
     return spark.createDataFrame(rows, "doc_id long, text string, toxic int")
 
 
+def test_rank_table_takes_little_of_the_driver():
+    byte_bpe.load_pieces(RANKS)
+    tracemalloc.start()
+    try:
+        shift, cells = byte_bpe.rank_table.__wrapped__(RANKS)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(shift) < len(cells) and peak < 45e6
+
+
 def test_toxicity_finds_gapped_insults(spark, odd, none):
     train = _labelled(spark)
     model = toxicity.fit(train.select("doc_id", "text"), train.select("doc_id", "toxic"))

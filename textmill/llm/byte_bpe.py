@@ -29,6 +29,8 @@ import json
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -92,16 +94,17 @@ def rank_table(path: str) -> tuple[list[int], list[int]]:
     """
     pieces = load_pieces(path)
     pairs = pair_ranks(pieces)
-    splits: dict[int, tuple[set[int], set[int]]] = {}
-    for (left, right), rank in pairs.items():
-        lefts, rights = splits.setdefault(rank, (set(), set()))
-        lefts.add(left)
-        rights.add(right)
     # Pairs (x, y) and (y, z) of one rank overlap; with one split only, the order by id is the order by place.
-    odd = {rank for rank, (lefts, rights) in splits.items() if len(lefts) > 1 and lefts & rights}
+    odd = set()
+    # The splits of a piece follow one another.
+    for rank, splits in groupby(pairs.items(), key=itemgetter(1)):
+        lefts, rights = map(set, zip(*(pair for pair, _ in splits)))
+        if len(lefts) > 1 and lefts & rights:
+            odd.add(rank)
     rows: dict[int, list[tuple[int, int]]] = {}
     for (left, right), rank in pairs.items():
         rows.setdefault(left, []).append((right, 2 * rank + (rank in odd)))
+    del pairs
     cells = np.full(16 * len(pieces) + (1 << 16), -1, dtype=np.int64)
     free = np.ones(len(cells), dtype=bool)
     shift = [0] * len(pieces)
